@@ -216,18 +216,17 @@ def block_distance_sums(points: DataFrame, label: str, tile: int = QUERY_BLOCK)
     return partial.groupBy("item_id", "other").agg(F.sum("distance").alias("distance"))
 
 
-def small_matrix(df: DataFrame, max_cells: int, vec: str = "embedding") -> tuple[np.ndarray, np.ndarray] | None:
-    """Rows (code, vector) as a driver-side matrix, or None when over ``max_cells`` numbers.
+def small_matrix(
+    df: DataFrame, max_rows: int, vec: str = "embedding"
+) -> tuple[np.ndarray, np.ndarray] | None:
+    """Rows (code, vector) as a driver-side matrix, or None when over ``max_rows`` rows.
 
     Only for models whose size is a parameter (codebooks, centroids). One row
     more than allowed is asked for, so a larger table is noticed, not fetched.
     """
-    first = df.select(F.size(vec).alias("d")).first()
-    if first is None:
-        return None
-    allowed = max(1, max_cells // max(1, first["d"]))
-    rows = df.select("code", F.col(vec).cast("array<double>").alias("v")).limit(allowed + 1).collect()
-    if len(rows) > allowed:
+    rows = df.select("code", F.col(vec).cast("array<double>").alias("v"))
+    rows = rows.limit(max_rows + 1).collect()
+    if not rows or len(rows) > max_rows:
         return None
     rows.sort(key=lambda r: r["code"])
     return (

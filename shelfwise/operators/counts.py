@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.operators.joins import attach_metadata
-from shelfwise.operators.ordering import global_position, rounded, top_k
+from shelfwise.operators.ordering import global_position, rounded, rounded_blend, top_k
 
 
 def item_counts(df: DataFrame) -> DataFrame:
@@ -135,13 +135,16 @@ def exact_quantile(
         slice_of = F.floor(F.col("_v") / width).cast("bigint")
         if picks is None:
             sizes = base.groupBy(slice_of.alias("_s")).agg(F.count("*").alias("_n"))
-            rank = (F.sum("_n").over(Window.partitionBy()) - 1) * F.lit(p)
+            rank = F.col("_rank")
             ends = F.array(
                 F.struct(F.lit(0).alias("end"), F.floor(rank).alias("r"), rank.alias("at")),
                 F.struct(F.lit(1).alias("end"), F.ceil(rank).alias("r"), rank.alias("at")),
             )
             before = F.sum("_n").over(Window.orderBy("_s")) - F.col("_n")
-            cells = sizes.select("_s", "_n", before.alias("_b"), F.explode(ends).alias("_e"))
+            sizes = sizes.withColumns({
+                "_rank": (F.sum("_n").over(Window.partitionBy()) - 1) * F.lit(p), "_b": before
+            })
+            cells = sizes.select("_s", "_n", "_b", F.explode(ends).alias("_e"))
             cells = cells.select("_s", "_n", "_b", "_e.end", "_e.r", "_e.at")
         else:
             inside = base.withColumn("_outer", F.floor(F.col("_v") / outer_width).cast("bigint"))
@@ -165,11 +168,11 @@ def exact_quantile(
 def popularity_shift(df: DataFrame, items: DataFrame, us: str = "event_us") -> DataFrame:
     """Per-item counts up to and after the median event time, and their difference."""
     middle = exact_quantile(df, us, 0.5)
-    late = F.col(us) > middle.scalar()
+    timed = df.where(F.col("item_id").isNotNull() & F.col(us).isNotNull())
     counts = (
-        df.where(F.col("item_id").isNotNull())
+        timed.select("item_id", (F.col(us) > middle.scalar()).alias("_late"))
         .groupBy("item_id")
-        .agg(F.count_if(~late).alias("early"), F.count_if(late).alias("late"))
+        .agg(F.count_if(~F.col("_late")).alias("early"), F.count_if("_late").alias("late"))
         .withColumn("shift", F.col("late") - F.col("early"))
     )
     return attach_metadata(counts, items, ["title"])
@@ -281,7 +284,7 @@ def score_vs_seeds(
     return (
         candidates.join(sums, ["user_id", "item_id"], "left")
         .join(seed_counts, "user_id", "left")
-        .withColumn("seed_similarity", rounded(F.coalesce(score, F.lit(0.0))))
+        .withColumn("seed_similarity", rounded_blend(F.coalesce(score, F.lit(0.0))))
         .drop("_sum", "_max", "_seeds")
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise.session import cut_lineage
 
 SCORE_DIGITS = 6
+HALF_NUDGE = 1e-9
 
 
 def rounded(col: Column | str) -> Column:
@@ -17,6 +18,15 @@ def rounded(col: Column | str) -> Column:
     return F.round(col, SCORE_DIGITS)
 
 
+def rounded_blend(col: Column) -> Column:
+    """Rounding for sums and means of rounded scores.
+
+    These often end in an exact half, which float noise would push either way;
+    the nudge makes halves always go up.
+    """
+    return F.round(col + F.lit(HALF_NUDGE), SCORE_DIGITS)
+
+
 def top_k(
     df: DataFrame,
     k: int,

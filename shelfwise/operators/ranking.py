@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators.blocks import _matrix, block_top_k
 from shelfwise.operators.counts import merge_by_max, popularity, score_vs_seeds
 from shelfwise.operators.joins import add_signal, attach_metadata, drop_seen, feature_lookup
-from shelfwise.operators.ordering import rounded, stable_order, top_k, user_history
+from shelfwise.operators.ordering import rounded, rounded_blend, stable_order, top_k, user_history
 from shelfwise.operators.similarity import (
     cold_start_fallback, similar_by_tags, similar_items, unseen_from_pool,
 )
@@ -24,7 +24,7 @@ def blend(df: DataFrame, weights: Mapping[str, float], score: str = "score") ->
     total: Column = F.lit(0.0)
     for signal, weight in weights.items():
         total = total + F.coalesce(F.col(signal), F.lit(0.0)) * F.lit(float(weight))
-    return df.withColumn(score, rounded(total))
+    return df.withColumn(score, rounded_blend(total))
 
 
 def rank_blend(
@@ -63,7 +63,7 @@ def weight_sweep(
     each = F.explode(F.array(*[F.lit(float(w)) for w in weights]))
     swept = df.withColumn("weight", each)
     score = F.col("weight") * F.col("similarity") + (1 - F.col("weight")) * F.col("popularity")
-    return top_k(swept.withColumn("score", rounded(score)), k, per=[per, "weight"])
+    return top_k(swept.withColumn("score", rounded_blend(score)), k, per=[per, "weight"])
 
 
 def neighbours_of_recent(

@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import vectors as V
+from shelfwise.operators.blocks import small_matrix
 from shelfwise.operators.ordering import leaf_numbers, rounded
-from shelfwise.operators.vector_index import first_k_codebook, kmeans_codebook, nearest_code
+from shelfwise.operators.vector_index import (
+    MODEL_CODES, first_k_codebook, kmeans_codebook, nearest_code, settle_codebook,
+)
 from shelfwise.session import cut_lineage
 
 # Fixed values of the training rules.
@@ -29,8 +32,19 @@ def level_of(codebooks: DataFrame, level: int) -> DataFrame:
     return codebooks.where(F.col("level") == level).select("code", "embedding")
 
 
-def _centroids(codebook: DataFrame) -> DataFrame:
-    return codebook.select("code", F.col("embedding").alias("centroid"))
+def with_centroid(coded: DataFrame, codebook: DataFrame) -> DataFrame:
+    centroids = codebook.select("code", F.col("embedding").alias("centroid"))
+    small = small_matrix(codebook, MODEL_CODES) is not None
+    return coded.join(F.broadcast(centroids) if small else centroids, "code")
+
+
+def vector_sums(vectors: DataFrame) -> DataFrame:
+    """One row over all numbers: rows, count n, sum s and sum of squares q."""
+    return vectors.select(
+        F.size("embedding").alias("n"),
+        F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x).alias("s"),
+        V.dot("embedding", "embedding").alias("q"),
+    ).agg(F.count("*").alias("rows"), *[F.sum(c).alias(c) for c in "nsq"])
 
 
 def lloyd_step(vectors: DataFrame, codebook: DataFrame) -> DataFrame:
@@ -54,18 +68,18 @@ def fit_codebooks(
     for level, size in enumerate(sizes):
         if level:
             residuals = cut_lineage(residuals)
-        shape = residuals.select("item_id", F.explode("embedding").alias("x")).agg(
-            F.stddev_pop("x").alias("spread")
-        )
-        if (shape.first()["spread"] or 0.0) < MIN_SPREAD or residuals.limit(size).count() < size:
+        shape = vector_sums(residuals).select(
+            "rows", (F.col("q") / F.col("n") - (F.col("s") / F.col("n")) ** 2).alias("variance")
+        ).first()
+        if shape["rows"] < size or shape["variance"] < MIN_SPREAD**2:
             continue
         if init == "kmeans":
             book = kmeans_codebook(residuals, size, seed)
         else:
-            book = cut_lineage(first_k_codebook(residuals, size))
+            book = settle_codebook(first_k_codebook(residuals, size))
             for _ in range(iters):
-                book = cut_lineage(lloyd_step(residuals, book))
-        assigned = assign_codes(residuals, book).join(F.broadcast(_centroids(book)), "code")
+                book = settle_codebook(lloyd_step(residuals, book))
+        assigned = with_centroid(assign_codes(residuals, book), book)
         residuals = assigned.select(
             "item_id", V.minus("embedding", "centroid").alias("embedding")
         )
@@ -91,7 +105,7 @@ def residual_quantize(vectors: DataFrame, codebooks: DataFrame, levels: int) ->
     )
     for level in range(levels):
         book = level_of(codebooks, level)
-        out = nearest_code(out, book).join(F.broadcast(_centroids(book)), "code")
+        out = with_centroid(nearest_code(out, book), book)
         out = out.withColumns(
             {
                 "codes": F.concat("codes", F.array("code")),
@@ -109,11 +123,9 @@ def reconstruct(codes: DataFrame, codebooks: DataFrame, levels: int) -> DataFram
     out = codes.select("item_id", "codes")
     total: Column | None = None
     for level in range(levels):
-        book = level_of(codebooks, level).select(
-            F.col("code").alias(f"_code{level}"), F.col("embedding").alias(f"_c{level}")
-        )
-        keyed = out.withColumn(f"_code{level}", F.col("codes")[level])
-        out = keyed.join(F.broadcast(book), f"_code{level}")
+        keyed = out.withColumn("code", F.col("codes")[level])
+        out = with_centroid(keyed, level_of(codebooks, level)).drop("code")
+        out = out.withColumnRenamed("centroid", f"_c{level}")
         part = F.col(f"_c{level}")
         total = part if total is None else V.plus(total, part)
     return out.select("item_id", total.alias("embedding"))

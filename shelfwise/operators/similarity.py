@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -223,11 +225,18 @@ def top_idf_terms(postings: DataFrame, n: int = 10) -> DataFrame:
 
 def content_vectors(postings: DataFrame, max_terms: int = 500) -> DataFrame:
     """Dense (item_id, embedding) over the vocabulary, which is a bounded number of terms."""
-    entries = F.map_from_entries(F.collect_list(F.struct("term_id", "weight")))
-    sparse = postings.groupBy("item_id").agg(entries.alias("_w"))
-    slots = F.sequence(F.lit(0).cast("bigint"), F.lit(max_terms - 1).cast("bigint"))
-    dense = F.transform(slots, lambda i: F.coalesce(F.col("_w")[i], F.lit(0.0)))
-    return sparse.select("item_id", dense.alias("embedding"))
+
+    @F.pandas_udf("array<double>")
+    def dense(term_ids: pd.Series, weights: pd.Series) -> pd.Series:
+        out = np.zeros((len(term_ids), max_terms))
+        rows = np.repeat(np.arange(len(term_ids)), [len(t) for t in term_ids])
+        if len(rows):
+            out[rows, np.concatenate(term_ids.to_list())] = np.concatenate(weights.to_list())
+        return pd.Series(list(out))
+
+    entries = F.collect_list(F.struct("term_id", "weight")).alias("_w")
+    sparse = postings.groupBy("item_id").agg(entries)
+    return sparse.select("item_id", dense("_w.term_id", "_w.weight").alias("embedding"))
 
 
 def similar_by_content(

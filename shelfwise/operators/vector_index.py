@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import vectors as V
 from shelfwise.functions.checks import vector_dim_check
 from shelfwise.operators.blocks import _scores, block_top_k, small_matrix
 from shelfwise.operators.ordering import top_k
+from shelfwise.session import cut_lineage
 
-MODEL_CELLS = 8_000_000
+MODEL_CODES = 16_384
 
 
 def build_flat(vectors: DataFrame, dim: int | None = None) -> DataFrame:
@@ -46,10 +48,10 @@ def search_by_item(index: DataFrame, requests: DataFrame, k: int = 100) -> DataF
 def nearest_code(vectors: DataFrame, codebook: DataFrame, code: str = "code") -> DataFrame:
     """Add the code of the nearest centroid (squared distance, lowest code on ties).
 
-    A codebook within ``MODEL_CELLS`` numbers travels to the tasks; a larger
+    A codebook of at most ``MODEL_CODES`` rows travels to the tasks; a larger
     one is searched block by block.
     """
-    model = small_matrix(codebook, MODEL_CELLS)
+    model = small_matrix(codebook, MODEL_CODES)
     if model is None:
         centroids = codebook.select(F.col("code").cast("bigint").alias("item_id"), "embedding")
         queries = vectors.select(F.col("item_id").alias("query_id"), "embedding")
@@ -77,8 +79,24 @@ def kmeans_codebook(
 
     points = vectors.select(array_to_vector(V.as_doubles("embedding")).alias("features"))
     model = KMeans(k=k, seed=seed, maxIter=max_iter).fit(points)
-    rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    return vectors.sparkSession.createDataFrame(rows, "code bigint, embedding array<double>")
+    centers = np.array(model.clusterCenters())
+    return local_codebook(vectors.sparkSession, np.arange(len(centers)), centers)
+
+
+def local_codebook(spark: SparkSession, codes: np.ndarray, centroids: np.ndarray) -> DataFrame:
+    table = pa.table({
+        "code": pa.array(np.asarray(codes, dtype=np.int64)),
+        "embedding": pa.array(list(np.asarray(centroids, dtype=np.float64))),
+    })
+    return spark.createDataFrame(table)
+
+
+def settle_codebook(codebook: DataFrame) -> DataFrame:
+    """The same codebook without its lineage: as local rows when small, else checkpointed."""
+    model = small_matrix(codebook, MODEL_CODES)
+    if model is None:
+        return cut_lineage(codebook)
+    return local_codebook(codebook.sparkSession, *model)
 
 
 def first_k_codebook(vectors: DataFrame, k: int) -> DataFrame:
@@ -151,7 +169,7 @@ def _pq_model(codebooks: DataFrame) -> np.ndarray:
     flat = codebooks.select(
         (F.col("sub").cast("bigint") * F.lit(1 << 20) + F.col("code")).alias("code"), "embedding"
     )
-    model = small_matrix(flat, MODEL_CELLS)
+    model = small_matrix(flat, MODEL_CODES)
     if model is None:
         raise ValueError("sub-codebooks exceed the model bound; use fewer bits")
     keys, rows = model

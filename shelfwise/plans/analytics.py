@@ -210,7 +210,7 @@ SEEDS_SQL = (
     v_seeds AS (SELECT * FROM v_recent SEMI JOIN v_counts USING (item_id)),
     v_score AS (SELECT c.user_id, c.item_id,
         round(coalesce({agg}(CASE WHEN s.item_id = c.item_id THEN 1.0
-          ELSE coalesce(e.similarity, 0.0) END), 0.0), 6) AS seed_similarity
+          ELSE coalesce(e.similarity, 0.0) END), 0.0) + 1e-9, 6) AS seed_similarity
       FROM (SELECT u.user_id, p.item_id FROM (SELECT DISTINCT user_id FROM v_history) u
             CROSS JOIN v_pool p) c
       LEFT JOIN v_seeds s ON s.user_id = c.user_id
@@ -286,9 +286,9 @@ def support(v: Views) -> DataFrame:
 @query(
     "d20_median_activity_user",
     """SELECT user_id, interactions FROM (SELECT *, row_number() OVER
-         (ORDER BY interactions, user_id) - 1 AS at, count(*) OVER () AS n FROM (
+         (ORDER BY interactions, user_id) - 1 AS pos, count(*) OVER () AS n FROM (
          SELECT user_id, count(*) AS interactions FROM v_purchases GROUP BY user_id))
-         WHERE at = n // 2""",
+         WHERE pos = n // 2""",
 )
 def median_user(v: Views) -> DataFrame:
     return counts.median_activity_user(v.purchases)
@@ -370,7 +370,7 @@ def serving(v: Views) -> DataFrame:
     "WITH " + RECENT_SQL.format(n=10) + """,
       v_lists AS (SELECT w.name AS list, c.user_id, c.item_id, row_number() OVER
           (PARTITION BY w.name, c.user_id ORDER BY round(w.w * c.similarity
-            + (1 - w.w) * p.popularity, 6) DESC, c.item_id) AS rank
+            + (1 - w.w) * p.popularity + 1e-9, 6) DESC, c.item_id) AS rank
         FROM v_cand c JOIN v_popularity p USING (item_id) CROSS JOIN (VALUES ('similarity',
           CAST(1 AS DOUBLE)), ('mixed', CAST(0.5 AS DOUBLE)), ('popularity', CAST(0 AS DOUBLE)))
           AS w(name, w) QUALIFY rank <= 10)

@@ -119,6 +119,15 @@ class Views:
     def docs(self) -> DataFrame:
         return self.table("documents").select(F.col("doc_id").alias("item_id"), "text")
 
+    @cached_property
+    def postings(self) -> DataFrame:
+        return similarity.tfidf_fit(self.docs)
+
+    @cached_property
+    def content_near(self) -> DataFrame:
+        """The 50 nearest texts of every text."""
+        return similarity.similar_by_content(self.postings, self.docs, 50)
+
     @cached_property
     def daypart_tags(self) -> DataFrame:
         return self.spark.createDataFrame(DAYPART_TAGS, "daypart string, tag string")
@@ -259,9 +268,28 @@ VIEW_SQL: dict[str, str] = {
         lambda p: p[1] + p[2]) AS embedding FROM v_ids
         JOIN v_book0_{STEPS} a ON a.code = c0 JOIN v_book1_{STEPS} b ON b.code = c1""",
 }
+# Text views: postings of the 500 most frequent terms, and each text's 50 nearest texts.
+_STOP_LIST = ", ".join(f"'{w}'" for w in similarity.STOP_WORDS)
+VIEW_SQL |= {
+    "v_tf": f"""SELECT item_id, term, count(*) AS tf FROM (SELECT item_id,
+        unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+')) AS term FROM v_docs)
+        WHERE term NOT IN ({_STOP_LIST}) GROUP BY ALL""",
+    "v_vocab": """SELECT term, ln((1 + (SELECT count(*) FROM v_docs)) / (1 + df)) + 1 AS idf
+        FROM (SELECT term, sum(tf) AS total, count(*) AS df FROM v_tf GROUP BY term
+              ORDER BY total DESC, term LIMIT 500)""",
+    "v_post": """SELECT item_id, term, idf, raw / sqrt(sum(raw * raw) OVER (PARTITION BY item_id))
+        AS weight FROM (SELECT item_id, term, idf, tf * idf AS raw FROM v_tf JOIN v_vocab
+        USING (term))""",
+    "v_content": """SELECT *, row_number() OVER (PARTITION BY item_id
+        ORDER BY similarity DESC, other_id) AS rank FROM (
+        SELECT a.item_id, b.item_id AS other_id, round(sum(a.weight * b.weight), 6) AS similarity
+        FROM v_post a JOIN v_post b ON a.term = b.term AND a.item_id <> b.item_id GROUP BY ALL)
+        WHERE similarity > 0 QUALIFY rank <= 50""",
+}
 # Views that several later ones read are computed once.
 COMPUTED_ONCE = {
     name for name in VIEW_SQL
     if name.startswith(("v_near", "v_book", "v_res", "v_edges", "v_profiles", "v_requests",
-                        "v_ids", "v_unit", "v_queries", "v_interactions"))
+                        "v_ids", "v_unit", "v_queries", "v_interactions",
+                        "v_tf", "v_vocab", "v_post", "v_content"))
 }
