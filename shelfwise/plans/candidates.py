@@ -61,7 +61,7 @@ def user_dots(v: Views) -> DataFrame:
     "WITH v_nb AS (" + DOT_SQL.format(x="user_id", y="other_user", g="item_id") + """)
       SELECT n.user_id, u.item_id, count(*) AS votes, row_number() OVER
         (PARTITION BY n.user_id ORDER BY count(*) DESC, u.item_id) AS rank
-      FROM v_nb n JOIN v_ui u ON u.user_id = n.other_user
+      FROM (SELECT user_id, other_user FROM v_nb) n JOIN v_ui u ON u.user_id = n.other_user
       ANTI JOIN v_ui o ON o.user_id = n.user_id AND o.item_id = u.item_id
       GROUP BY n.user_id, u.item_id QUALIFY rank <= 3""",
 )

@@ -1 +1,187 @@
-"""placeholder"""
+"""Queries of the vector indexes. The query vectors are all user profiles."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from shelfwise.functions import vectors as V
+from shelfwise.operators import vector_index as index
+from shelfwise.operators.ordering import rounded
+from shelfwise.plans.catalog import query
+from shelfwise.plans.views import DIM, SIZES, Views
+
+PARTS, BITS = 8, 4
+CELLS = SIZES[0]
+
+FLAT_SQL = """v_flat AS (SELECT q.query_id, u.item_id,
+      round(list_dot_product(q.embedding, u.embedding), 6) AS score, row_number() OVER
+      (PARTITION BY q.query_id ORDER BY round(list_dot_product(q.embedding, u.embedding), 6) DESC,
+       u.item_id) AS rank FROM v_queries q CROSS JOIN v_unit u)"""
+
+
+@query(
+    "h01_build_flat",
+    """SELECT item_id, CAST(generate_subscripts(embedding, 1) - 1 AS BIGINT) AS dim,
+         round(unnest(embedding), 6) AS x FROM v_unit""",
+)
+def flat(v: Views) -> DataFrame:
+    built = index.build_flat(v.vectors, DIM)
+    return built.select("item_id", F.posexplode("embedding").alias("dim", "x")).select(
+        "item_id", F.col("dim").cast("bigint").alias("dim"), rounded("x").alias("x")
+    )
+
+
+@query("h02_search_flat", f"WITH {FLAT_SQL} SELECT * FROM v_flat WHERE rank <= 50")
+def flat_search(v: Views) -> DataFrame:
+    return index.search_flat(v.unit, v.profile_queries, 50)
+
+
+def sq_sql(a: str, b: str) -> str:
+    return (f"list_sum(list_transform(list_zip({a}, {b}), "
+            "lambda p: (p[1] - p[2]) * (p[1] - p[2])))")
+
+
+@query(
+    "h03_search_by_item",
+    f"""SELECT request_id, seed_item_id, item_id, round(d, 6) AS distance, row_number() OVER
+          (PARTITION BY request_id ORDER BY round(d, 6), item_id) AS rank FROM (
+          SELECT r.request_id, r.seed_item_id, x.item_id,
+            {sq_sql('s.embedding', 'x.embedding')} AS d
+          FROM v_requests r JOIN v_unit s ON s.item_id = r.seed_item_id CROSS JOIN v_unit x)
+        QUALIFY rank <= 20""",
+)
+def by_item(v: Views) -> DataFrame:
+    return index.search_by_item(v.unit, v.requests, 20)
+
+
+CELL_SQL = f"""v_cent AS MATERIALIZED (SELECT row_number() OVER (ORDER BY item_id) - 1 AS code,
+      embedding FROM (SELECT * FROM v_unit ORDER BY item_id LIMIT {CELLS})),
+    v_cell AS MATERIALIZED (SELECT item_id, code AS cell FROM (
+      SELECT u.item_id, c.code, row_number() OVER (PARTITION BY u.item_id
+        ORDER BY {sq_sql('u.embedding', 'c.embedding')}, c.code) AS n
+      FROM v_unit u CROSS JOIN v_cent c) WHERE n = 1)"""
+IVF_SQL = FLAT_SQL + f""", {CELL_SQL},
+    v_probe AS (SELECT query_id, code AS cell FROM (SELECT q.query_id, c.code, row_number() OVER
+        (PARTITION BY q.query_id ORDER BY round({sq_sql('q.embedding', 'c.embedding')}, 6), c.code)
+        AS n FROM v_queries q CROSS JOIN v_cent c) WHERE n <= 4),
+    v_ivf AS (SELECT f.query_id, f.item_id, f.score, row_number() OVER (PARTITION BY f.query_id
+        ORDER BY f.score DESC, f.item_id) AS rank FROM v_flat f JOIN v_cell c USING (item_id)
+      JOIN v_probe p ON p.query_id = f.query_id AND p.cell = c.cell)"""
+
+
+def ivf_index(v: Views) -> tuple[DataFrame, DataFrame]:
+    return index.ivf_build(v.vectors, centroids=v.seed_codebook)
+
+
+@query("h04_ivf_build", f"WITH {CELL_SQL} SELECT * FROM v_cell")
+def ivf(v: Views) -> DataFrame:
+    return ivf_index(v)[0].select("item_id", "cell")
+
+
+@query("h04_ivf_build_kmeans")
+def ivf_kmeans(v: Views) -> DataFrame:
+    return index.ivf_build(v.vectors)[0].select("item_id", F.col("cell").cast("bigint").alias("cell"))
+
+
+@query("h05_ivf_search", f"WITH {IVF_SQL} SELECT * FROM v_ivf WHERE rank <= 20")
+def ivf_search(v: Views) -> DataFrame:
+    cells, centroids = ivf_index(v)
+    return index.ivf_search(cells, centroids, v.profile_queries, 20, nprobe=4)
+
+
+def _sub(vec: str, part: int) -> str:
+    width = DIM // PARTS
+    return f"{vec}[{part * width + 1}:{(part + 1) * width}]"
+
+
+PQ_SQL = f"""v_books AS MATERIALIZED (SELECT row_number() OVER (ORDER BY item_id) - 1 AS code,
+      embedding FROM (SELECT * FROM v_unit ORDER BY item_id LIMIT {2**BITS})),
+    v_part AS (SELECT u.item_id, p.part, u.embedding[p.part * {DIM // PARTS} + 1
+        : (p.part + 1) * {DIM // PARTS}] AS x FROM v_unit u
+      CROSS JOIN (SELECT unnest(generate_series(0, {PARTS - 1})) AS part) p),
+    v_bookpart AS (SELECT b.code, p.part, b.embedding[p.part * {DIM // PARTS} + 1
+        : (p.part + 1) * {DIM // PARTS}] AS c FROM v_books b
+      CROSS JOIN (SELECT unnest(generate_series(0, {PARTS - 1})) AS part) p),
+    v_code AS MATERIALIZED (SELECT item_id, part, code, c FROM (
+      SELECT v.item_id, v.part, b.code, b.c, row_number() OVER (PARTITION BY v.item_id, v.part
+        ORDER BY {sq_sql('v.x', 'b.c')}, b.code) AS n
+      FROM v_part v JOIN v_bookpart b USING (part)) WHERE n = 1)"""
+
+
+def pq_books(v: Views) -> DataFrame:
+    return index.pq_first_k_codebooks(v.unit, PARTS, DIM, BITS)
+
+
+@query(
+    "h06_pq_encode",
+    f"""WITH {PQ_SQL} SELECT item_id, array_to_string(list(code ORDER BY part), ',') AS codes
+        FROM v_code GROUP BY item_id""",
+)
+def pq(v: Views) -> DataFrame:
+    codes = index.pq_encode(v.unit, pq_books(v))
+    return codes.select("item_id", F.array_join(F.col("codes").cast("array<string>"), ",").alias("codes"))
+
+
+@query(
+    "h07_pq_search",
+    f"""WITH {PQ_SQL}, v_dec AS MATERIALIZED (SELECT item_id, flatten(list(c ORDER BY part)) AS e
+          FROM v_code GROUP BY item_id)
+        SELECT query_id, item_id, round(d, 6) AS score, row_number() OVER
+          (PARTITION BY query_id ORDER BY round(d, 6), item_id) AS rank FROM (
+          SELECT q.query_id, x.item_id, {sq_sql('q.embedding', 'x.e')} AS d
+          FROM v_queries q CROSS JOIN v_dec x) QUALIFY rank <= 20""",
+)
+def pq_search(v: Views) -> DataFrame:
+    books = pq_books(v)
+    queries = v.profile_queries.select(
+        "query_id", V.l2_normalize("embedding").alias("embedding")
+    )
+    return index.pq_search(index.pq_encode(v.unit, books), books, queries, 20)
+
+
+@query("h08_lsh_search")
+def lsh(v: Views) -> DataFrame:
+    return index.lsh_search(v.unit, v.profile_queries, 20, DIM)
+
+
+@query(
+    "h09_recall_at_k",
+    f"""WITH {IVF_SQL} SELECT count(i.item_id) AS hits, count(*) AS expected,
+          round(count(i.item_id) / count(*), 6) AS recall
+        FROM (SELECT * FROM v_flat WHERE rank <= 20) f LEFT JOIN
+          (SELECT * FROM v_ivf WHERE rank <= 20) i
+          ON i.query_id = f.query_id AND i.item_id = f.item_id""",
+)
+def recall(v: Views) -> DataFrame:
+    exact = index.search_flat(v.unit, v.profile_queries, 20)
+    return index.recall_at_k(ivf_search(v), exact, sample=None)
+
+
+@query(
+    "h10_add_items",
+    f"""WITH {CELL_SQL}, v_new AS (SELECT item_id, list_transform(u.embedding, lambda x: -x)
+            AS embedding FROM v_unit u JOIN v_vectors v USING (item_id) WHERE v.label % 2 = 0
+          UNION ALL SELECT item_id + 1000000, u.embedding FROM v_unit u
+            JOIN v_vectors v USING (item_id) WHERE v.label % 2 = 1),
+          v_new_cell AS (SELECT item_id, embedding, code AS cell FROM (
+            SELECT u.item_id, u.embedding, c.code, row_number() OVER (PARTITION BY u.item_id
+              ORDER BY {sq_sql('u.embedding', 'c.embedding')}, c.code) AS n
+            FROM v_new u CROSS JOIN v_cent c) WHERE n = 1)
+        SELECT item_id, cell, round(list_sum(embedding), 6) AS total FROM (
+          SELECT item_id, embedding, cell FROM v_new_cell UNION ALL
+          SELECT u.item_id, u.embedding, c.cell FROM v_unit u JOIN v_cell c USING (item_id)
+          ANTI JOIN v_new n ON n.item_id = u.item_id)""",
+)
+def added(v: Views) -> DataFrame:
+    """Even labels come again with the opposite vector, odd labels as new items."""
+    cells, centroids = ivf_index(v)
+    even = F.col("label") % 2 == 0
+    new = v.vectors.select(
+        F.when(even, F.col("item_id")).otherwise(F.col("item_id") + 1_000_000).alias("item_id"),
+        F.when(even, F.transform("embedding", lambda x: -x)).otherwise(F.col("embedding"))
+        .alias("embedding"),
+    )
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
+    whole = index.add_items(cells.select("item_id", "embedding", "cell"), new, centroids)
+    return whole.select("item_id", "cell", rounded(total).alias("total"))

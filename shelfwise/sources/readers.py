@@ -42,6 +42,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getFileStatus(hadoop).isDirectory()
+
+
 def read_interactions_tsv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_schema(RATINGS)).option("sep", "\t").csv(path)
 
