@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.operators.joins import attach_metadata
-from shelfwise.operators.ordering import global_position, rounded, rounded_blend, top_k
+from shelfwise.operators.ordering import global_position, ratio, rounded, rounded_blend, top_k
 
 
 def item_counts(df: DataFrame) -> DataFrame:
@@ -56,12 +56,12 @@ def dataset_summary(df: DataFrame) -> DataFrame:
         ],
     )
     users = df.select("user_id").distinct().agg(F.count("user_id"))
-    mean = F.col("interactions") / F.col("items")
-    var = (F.col("_squares") - F.col("items") * mean * mean) / (F.col("items") - 1)
+    mean = ratio("interactions", "items")
+    var = ratio(F.col("_squares") - F.col("items") * mean * mean, F.col("items") - 1)
     return spread.select(
         users.scalar().alias("users"), "items", "interactions",
         rounded(mean).alias("mean_count"),
-        rounded(F.sqrt(F.greatest(var, F.lit(0.0)))).alias("std_count"),
+        rounded(F.sqrt(F.when(var > 0, var).when(var <= 0, F.lit(0.0)))).alias("std_count"),
         "min_count", "p50", "p90", "p95", "p99", "max_count",
     )
 
@@ -113,7 +113,7 @@ def sparsity(df: DataFrame) -> DataFrame:
     items = item_counts(df).agg(F.count("*").alias("items"), F.sum("interactions").alias("rows"))
     users = df.select("user_id").distinct().agg(F.count("user_id"))
     items = items.withColumn("users", users.scalar())
-    density = F.col("rows") / (F.col("users") * F.col("items"))
+    density = ratio(F.col("rows"), F.col("users") * F.col("items"))
     return items.select(
         "users", "items", "rows", rounded(F.lit(1.0) - density).alias("sparsity")
     )
@@ -303,8 +303,7 @@ def interval_response_rates(events: DataFrame, interval: str = "10 minutes") ->
 
 
 def response_rate(clicks: str, impressions: str) -> Column:
-    ratio = F.col(clicks) / F.col(impressions)
-    return rounded(F.when(F.col(impressions) > 0, ratio).otherwise(F.lit(0.0)))
+    return rounded(F.coalesce(ratio(clicks, impressions), F.lit(0.0)))
 
 
 def overall_response_rate(rates: DataFrame) -> DataFrame:

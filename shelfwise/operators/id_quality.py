@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import vectors as V
 from shelfwise.operators.blocks import block_distance_sums
-from shelfwise.operators.ordering import rounded, top_k
+from shelfwise.operators.ordering import ratio, rounded, top_k
 
 # Thresholds of the reports.
 USAGE_TARGET = 80.0
@@ -125,12 +125,13 @@ def silhouette(points: DataFrame, label: str = "label") -> DataFrame:
     own = points.select("item_id", F.col(label).alias("own"))
     sums = block_distance_sums(points, label).join(sizes, "other").join(own, "item_id")
     same = F.col("other") == F.col("own")
-    inner = F.max(F.when(same, F.col("distance") / (F.col("members") - 1)))
+    inner = F.max(F.when(same, ratio(F.col("distance"), F.col("members") - 1)))
     outer = F.min(F.when(~same, F.col("distance") / F.col("members")))
     alone = F.max(F.when(same, F.col("members"))) == 1
     scored = sums.groupBy("item_id").agg(
         F.when(alone, F.lit(0.0))
-        .otherwise((outer - inner) / F.greatest(outer, inner)).alias("s")
+        .otherwise(F.coalesce(ratio(outer - inner, F.greatest(outer, inner)), F.lit(0.0)))
+        .alias("s")
     )
     value = F.when(F.count("s") == 0, F.lit(-1.0)).otherwise(F.avg(F.coalesce("s", F.lit(0.0))))
     several = sizes.agg(F.count("*")).scalar()
@@ -157,7 +158,7 @@ def calinski_harabasz(points: DataFrame, label: str = "label") -> DataFrame:
     n, k = F.max("n"), F.max("k")
     within = F.sum(F.col("q") - F.col("m"))
     between = F.sum(F.col("m") - F.col("s") * F.col("s") / F.col("n"))
-    score = (between / (k - 1)) / (within / (n - k))
+    score = ratio(ratio(between, k - 1), ratio(within, n - k))
     return per_dim.agg(
         rounded(F.when(k < 2, F.lit(0.0)).otherwise(score)).alias("calinski_harabasz")
     )
@@ -248,7 +249,7 @@ def vector_stats(vectors: DataFrame, vec: str = "embedding") -> DataFrame:
     t = rows.agg(*[F.sum(c).alias(c) for c in ("n", "s", "q")],
                  F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     mean = F.col("s") / F.col("n")
-    var = (F.col("q") - F.col("s") * mean) / (F.col("n") - 1)
+    var = ratio(F.col("q") - F.col("s") * mean, F.col("n") - 1)
     return t.select(
         rounded(mean).alias("mean"), rounded(F.sqrt(var)).alias("std"),
         rounded("lo").alias("min"), rounded("hi").alias("max"),

@@ -27,6 +27,11 @@ def rounded_blend(col: Column) -> Column:
     return F.round(col + F.lit(HALF_NUDGE), SCORE_DIGITS)
 
 
+def ratio(a: Column | str, b: Column | str) -> Column:
+    """a / b, null when b is 0."""
+    return F.try_divide(F.col(a) if isinstance(a, str) else a, F.col(b) if isinstance(b, str) else b)
+
+
 def top_k(
     df: DataFrame,
     k: int,

@@ -104,8 +104,8 @@ def weighted_log_softmax_loss(labels: DataFrame, key: str = "anchor_id") -> Data
         F.sum(F.col("weight") * F.col("logit")).alias("_wl"),
         F.count("*").alias("labels"),
     )
-    lse = F.col("_m") + F.log("_e")
-    return sums.select(key, "labels", rounded(F.col("_w") * lse - F.col("_wl")).alias("loss"))
+    loss = rounded(F.col("_w") * (F.col("_m") + F.log("_e")) - F.col("_wl"))
+    return sums.select(key, "labels", F.when(loss == 0, F.lit(0.0)).otherwise(loss).alias("loss"))
 
 
 def sample_negatives(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions import vectors as V
 from shelfwise.functions.checks import vector_dim_check
 from shelfwise.operators.blocks import _scores, block_top_k, small_matrix
-from shelfwise.operators.ordering import top_k
+from shelfwise.operators.ordering import ratio, rounded, top_k
 from shelfwise.session import cut_lineage
 
 MODEL_CODES = 16_384
@@ -263,7 +263,7 @@ def recall_at_k(
     found = approximate.select("query_id", "item_id").distinct().withColumn("_hit", F.lit(1))
     joined = exact.select("query_id", "item_id").join(found, ["query_id", "item_id"], "left")
     totals = joined.agg(F.count("_hit").alias("hits"), F.count("*").alias("expected"))
-    return totals.withColumn("recall", F.round(F.col("hits") / F.col("expected"), 6))
+    return totals.withColumn("recall", rounded(ratio("hits", "expected")))
 
 
 def add_items(

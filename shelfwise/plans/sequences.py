@@ -70,9 +70,10 @@ def labels(v: Views) -> DataFrame:
     "j05_weighted_log_softmax_loss",
     f"""WITH v_l AS (SELECT anchor_id, weight, list_dot_product(p.embedding, u.embedding) AS logit
           FROM ({LABEL_SQL}) l JOIN v_profiles p USING (user_id) JOIN v_vectors u USING (item_id))
-        SELECT anchor_id, count(*) AS labels,
-          round(sum(weight) * ln(sum(exp(logit))) - sum(weight * logit), 6) AS loss
-        FROM v_l GROUP BY anchor_id""",
+        SELECT anchor_id, labels, CASE WHEN loss = 0 THEN 0.0e0 ELSE loss END AS loss FROM (
+          SELECT anchor_id, count(*) AS labels,
+            round(sum(weight) * ln(sum(exp(logit))) - sum(weight * logit), 6) AS loss
+          FROM v_l GROUP BY anchor_id)""",
 )
 def label_loss(v: Views) -> DataFrame:
     found = sequences.multi_token_labels(anchors(v), rewards(v))
