@@ -75,12 +75,29 @@ def feature_cross(
     )
 
 
-def mean_vectors(df: DataFrame, per: str | Sequence[str], vec: str = "embedding") -> DataFrame:
-    """Mean vector per key: a per-dimension average, combined map-side."""
+def vector_dim(df: DataFrame, vec: str = "embedding") -> int | None:
+    """Number of dimensions, read from one row of a table of equally long vectors."""
+    row = df.select(F.size(vec).alias("d")).first()
+    return row["d"] if row else None
+
+
+def mean_vectors(
+    df: DataFrame, per: str | Sequence[str], vec: str = "embedding", dim: int | None = None
+) -> DataFrame:
+    """Mean vector per key, combined map-side.
+
+    With ``dim`` a key ships one row of sums per map task; without it the
+    dimensions are aggregated as rows of their own.
+    """
     keys = [per] if isinstance(per, str) else list(per)
-    cells = df.select(*keys, F.posexplode(vec).alias("dim", "x"))
-    means = cells.groupBy(*keys, "dim").agg(F.avg("x").alias("x"))
-    return collect_vectors(means, keys, vec)
+    if dim is None:
+        cells = df.select(*keys, F.posexplode(vec).alias("dim", "x"))
+        means = cells.groupBy(*keys, "dim").agg(F.avg("x").alias("x"))
+        return collect_vectors(means, keys, vec)
+    sums = df.groupBy(*keys).agg(
+        F.count("*").alias("_n"), *[F.sum(F.col(vec)[i]).alias(f"_s{i}") for i in range(dim)]
+    )
+    return sums.select(*keys, F.array(*[F.col(f"_s{i}") / F.col("_n") for i in range(dim)]).alias(vec))
 
 
 def collect_vectors(cells: DataFrame, keys: Sequence[str], vec: str = "embedding") -> DataFrame:

@@ -265,16 +265,18 @@ def score_vs_seeds(
     """Max or mean similarity of each candidate to all known seeds of its user.
 
     An absent edge is 0 and counts in the mean, an item is similar to itself
-    with 1, an unknown candidate scores 0. Only existing edges are joined; the
-    zeros enter through the number of seeds.
+    with 1, an unknown candidate scores 0. Only existing edges to candidates are
+    joined; the zeros enter through the number of seeds.
     """
     known_seeds = seeds.select("user_id", "item_id").join(known.select("item_id"), "item_id")
     seed_counts = known_seeds.groupBy("user_id").agg(F.count("*").alias("_seeds"))
-    near = known_seeds.join(edges, "item_id").select(
+    wanted = candidates.select("user_id", "item_id").distinct()
+    targets = wanted.select(F.col("item_id").alias("other_id")).distinct()
+    block = edges.join(targets, "other_id", "left_semi")
+    near = known_seeds.join(block, "item_id").select(
         "user_id", F.col("other_id").alias("item_id"), "similarity"
     )
     near = near.unionByName(known_seeds.withColumn("similarity", F.lit(1.0)))
-    wanted = candidates.select("user_id", "item_id").distinct()
     sums = (
         near.join(wanted, ["user_id", "item_id"], "left_semi")
         .groupBy("user_id", "item_id")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.operators.ordering import top_k
+from shelfwise.session import stored
 
 HOT_GROUP = 4096
 
@@ -70,39 +71,35 @@ def genre_overlap_join(
     return wanted.join(tagged, "genre").select(key, "item_id").distinct()
 
 
-def split_hot_groups(
-    rows: DataFrame, group: str, member: Column, hot: int = HOT_GROUP
-) -> tuple[DataFrame, DataFrame]:
-    """Both sides of a self-join on ``group``, with groups over ``hot`` rows split.
+def co_sums(
+    rows: DataFrame, group: str, member: str, weight: str, hot: int = HOT_GROUP
+) -> DataFrame:
+    """Per unordered pair a < b: sum over shared groups of the product of weights.
 
-    The first side spreads a hot group over ``ceil(rows / hot)`` parts, the
-    second repeats it once per part; small groups have one part. Joining on
-    (group, part) yields every pair exactly once.
+    ``rows`` has one row per (group, member). Pairs are added up in the stage
+    that joins them, so only partial sums are shuffled. A group of more than
+    ``hot`` rows is split: one side is spread over ``ceil(rows / hot)`` parts,
+    the other is repeated once per part, and every pair meets exactly once.
+    The rows are read several times and are therefore stored first.
     """
+    rows = stored(rows.select(group, member, weight), "pair-rows")
     sizes = (
         rows.groupBy(group)
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > hot)
         .select(group, F.ceil(F.col("_rows") / hot).cast("int").alias("_parts"))
     )
-    sized = rows.join(sizes, group, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
-    spread = sized.withColumn("_part", F.pmod(F.xxhash64(member), F.col("_parts")).cast("int"))
-    repeated = sized.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-    return spread.drop("_parts"), repeated.drop("_parts")
-
+    a = rows.select(group, F.col(member).alias("a"), F.col(weight).alias("_wa"))
+    b = rows.select(group, F.col(member).alias("b"), F.col(weight).alias("_wb"))
+    plain = a.join(sizes, group, "left_anti").join(b, group)
 
-def co_sums(
-    rows: DataFrame, group: str, member: str, weight: str, hot: int = HOT_GROUP
-) -> DataFrame:
-    """Per unordered pair a < b: sum over shared groups of the product of weights.
+    part = F.pmod(F.xxhash64("a"), F.col("_parts")).cast("int")
+    spread = a.join(sizes, group).withColumn("_part", part).drop("_parts")
+    every = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+    repeated = b.join(sizes, group).withColumn("_part", every).drop("_parts")
+    split = spread.join(repeated, [group, "_part"]).drop("_part")
 
-    ``rows`` has one row per (group, member). The pairs are added up in the
-    stage that joins them, so only partial sums are shuffled.
-    """
-    spread, repeated = split_hot_groups(rows, group, F.col(member), hot)
-    a = spread.select(group, "_part", F.col(member).alias("a"), F.col(weight).alias("_wa"))
-    b = repeated.select(group, "_part", F.col(member).alias("b"), F.col(weight).alias("_wb"))
-    paired = a.join(b, [group, "_part"]).where(F.col("a") < F.col("b"))
+    paired = plain.unionByName(split).where(F.col("a") < F.col("b"))
     return paired.groupBy("a", "b").agg(F.sum(F.col("_wa") * F.col("_wb")).alias("weight"))
 
 

@@ -49,7 +49,7 @@ def vector_sums(vectors: DataFrame) -> DataFrame:
 
 def lloyd_step(vectors: DataFrame, codebook: DataFrame) -> DataFrame:
     """One K-means step; a code without members keeps its centroid."""
-    means = V.mean_vectors(assign_codes(vectors, codebook), "code", "embedding")
+    means = V.mean_vectors(assign_codes(vectors, codebook), "code", dim=V.vector_dim(codebook))
     moved = codebook.join(means.withColumnRenamed("embedding", "_mean"), "code", "left")
     return moved.select("code", F.coalesce("_mean", "embedding").alias("embedding"))
 

@@ -16,7 +16,9 @@ from shelfwise.operators.counts import popularity, user_item_counts
 from shelfwise.operators.joins import (
     HOT_GROUP, co_sums, drop_seen, merge_candidates,
 )
-from shelfwise.operators.ordering import dense_ids, rounded, top_k, user_history
+from shelfwise.operators.ordering import (
+    dense_ids, rounded, rounded_blend, top_k, user_history,
+)
 
 # Common English function words, used when no stop list is given.
 STOP_WORDS = (
@@ -55,17 +57,16 @@ def item_cosine(
         )
     counts = user_item_counts(interactions)
     norms = counts.groupBy("item_id").agg(
-        F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("norm"), F.sum("n").alias("_support")
+        F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("_norm"), F.sum("n").alias("_support")
     )
     if min_support > 1:
         norms = norms.where(F.col("_support") >= min_support)
-        counts = counts.join(norms.select("item_id"), "item_id", "left_semi")
-    pairs = co_sums(counts, "user_id", "item_id", "n", hot)
-    a = norms.select(F.col("item_id").alias("a"), F.col("norm").alias("_na"))
-    b = norms.select(F.col("item_id").alias("b"), F.col("norm").alias("_nb"))
-    scored = pairs.join(a, "a").join(b, "b")
-    similarity = rounded(F.col("weight") / (F.col("_na") * F.col("_nb")))
-    return mirror(scored, similarity, "similarity")
+    # Dividing by the norms here touches every row once, not every pair twice.
+    unit = counts.join(norms, "item_id").select(
+        "user_id", "item_id", (F.col("n") / F.col("_norm")).alias("w")
+    )
+    pairs = co_sums(unit, "user_id", "item_id", "w", hot)
+    return mirror(pairs, rounded_blend(F.col("weight")), "similarity")
 
 
 def similar_items(edges: DataFrame, seeds: DataFrame, k: int = 100) -> DataFrame:
@@ -171,7 +172,7 @@ def user_profiles(history: DataFrame, vectors: DataFrame) -> DataFrame:
     owned = history.select("user_id", "item_id").distinct().join(
         vectors.select("item_id", "embedding"), "item_id"
     )
-    return V.mean_vectors(owned, "user_id")
+    return V.mean_vectors(owned, "user_id", dim=V.vector_dim(vectors))
 
 
 def recommend_from_profile(history: DataFrame, vectors: DataFrame, k: int = 2) -> DataFrame:
@@ -186,9 +187,15 @@ def recommend_from_profile(history: DataFrame, vectors: DataFrame, k: int = 2) -
     return found.withColumnsRenamed({"query_id": "user_id", "score": "similarity"})
 
 
+def use_all_cores(df: DataFrame) -> DataFrame:
+    """Spread an input of fewer splits than cores; a large input is left as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def term_counts(docs: DataFrame, stop_words: Sequence[str]) -> DataFrame:
     """(item_id, term, tf) without stop words, over whole texts."""
-    terms = docs.select("item_id", F.explode(words("text")).alias("term"))
+    terms = use_all_cores(docs).select("item_id", F.explode(words("text")).alias("term"))
     kept = terms.where(~F.col("term").isin(list(stop_words))) if stop_words else terms
     return kept.groupBy("item_id", "term").agg(F.count("*").alias("tf"))
 

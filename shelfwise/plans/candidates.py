@@ -23,8 +23,8 @@ def cosine(v: Views) -> DataFrame:
          v_norm AS (SELECT item_id, sqrt(sum(n * n)) AS norm FROM v_pc GROUP BY item_id),
          v_pair AS (SELECT a.item_id, b.item_id AS other_id, sum(a.n * b.n) AS w
            FROM v_pc a JOIN v_pc b ON a.user_id = b.user_id AND a.item_id <> b.item_id GROUP BY ALL)
-       SELECT p.item_id, other_id, round(w / (a.norm * b.norm), 6) AS similarity, row_number() OVER
-         (PARTITION BY p.item_id ORDER BY round(w / (a.norm * b.norm), 6) DESC, other_id) AS rank
+       SELECT p.item_id, other_id, round(w / (a.norm * b.norm) + 1e-9, 6) AS similarity, row_number() OVER
+         (PARTITION BY p.item_id ORDER BY round(w / (a.norm * b.norm) + 1e-9, 6) DESC, other_id) AS rank
        FROM v_pair p JOIN v_norm a ON a.item_id = p.item_id JOIN v_norm b ON b.item_id = p.other_id
        QUALIFY rank <= 10""",
 )

@@ -234,7 +234,8 @@ VIEW_SQL: dict[str, str] = {
         FROM v_counts""",
     "v_ui": "SELECT user_id, item_id, count(*) AS n FROM v_interactions GROUP BY ALL",
     "v_edges": """SELECT a.item_id, b.item_id AS other_id,
-        round(sum(a.n * b.n) / (any_value(na.norm) * any_value(nb.norm)), 6) AS similarity
+        round(sum(a.n * b.n) / (any_value(na.norm) * any_value(nb.norm)) + 1e-9, 6)
+          AS similarity
         FROM v_ui a JOIN v_ui b ON a.user_id = b.user_id AND a.item_id <> b.item_id
         JOIN (SELECT item_id, sqrt(sum(n * n)) AS norm FROM v_ui GROUP BY item_id) na
           ON na.item_id = a.item_id

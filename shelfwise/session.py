@@ -56,3 +56,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows live in the shared folder, not on executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """The rows as a Parquet table in the shared folder, for inputs that are read several times.
+
+    Unlike a recomputed plan the table is scanned by column, has a known size
+    and survives the loss of executors.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
