@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Fixed value: a closing year or year span in brackets, years 1900 to 2099.
 TITLE_YEAR = r"\s*\((?:19|20)\d{2}(?:-(?:19|20)\d{2})?\)\s*$"
 # Fixed value: runs of letters, digits and underscore in any script.
-WORD = r"(?U)\b\w+\b"
+WORD = r"[\p{L}\p{N}_]+"
 # The flag columns of the piped item file, in file order.
 GENRE_FLAGS = [
     "unknown", "Action", "Adventure", "Animation", "Children's", "Comedy", "Crime",

@@ -94,10 +94,8 @@ def mean_vectors(
         cells = df.select(*keys, F.posexplode(vec).alias("dim", "x"))
         means = cells.groupBy(*keys, "dim").agg(F.avg("x").alias("x"))
         return collect_vectors(means, keys, vec)
-    sums = df.groupBy(*keys).agg(
-        F.count("*").alias("_n"), *[F.sum(F.col(vec)[i]).alias(f"_s{i}") for i in range(dim)]
-    )
-    return sums.select(*keys, F.array(*[F.col(f"_s{i}") / F.col("_n") for i in range(dim)]).alias(vec))
+    means = ", ".join(f"sum({vec}[{i}]) / count(1)" for i in range(dim))
+    return df.groupBy(*keys).agg(F.expr(f"array({means})").alias(vec))
 
 
 def collect_vectors(cells: DataFrame, keys: Sequence[str], vec: str = "embedding") -> DataFrame:

@@ -20,6 +20,7 @@ from shelfwise.operators.ordering import SCORE_DIGITS, top_k
 
 TILE = 4096
 QUERY_BLOCK = 2048
+COLUMN_BLOCK = 512
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -235,6 +236,67 @@ def small_matrix(
     )
 
 
+def block_products(
+    cells: DataFrame, members: int = QUERY_BLOCK, columns: int = COLUMN_BLOCK
+) -> DataFrame:
+    """(a, b, product) with a < b: products of the member rows of a sparse matrix.
+
+    ``cells`` (column, member, weight). The members are cut into blocks and the
+    columns into chunks; a task multiplies two member blocks over one chunk and
+    returns the pairs that share a column there. The pair sums of the chunks
+    remain to be added up.
+    """
+    sizes = cells.agg(
+        F.struct(
+            F.ceil(F.approx_count_distinct("member") / members).cast("int").alias("m"),
+            F.ceil(F.approx_count_distinct("column") / columns).cast("int").alias("c"),
+        )
+    ).scalar()
+    placed = cells.withColumn("_s", sizes).select(
+        "column", "member", F.col("weight").cast("double").alias("weight"),
+        F.pmod(F.xxhash64("column"), F.col("_s.c")).cast("int").alias("_chunk"),
+        F.pmod(F.xxhash64("member"), F.col("_s.m")).cast("int").alias("_block"),
+        (F.col("_s.m") - 1).alias("_last"),
+    )
+    later = F.explode(F.sequence(F.col("_block"), F.col("_last")))
+    earlier = F.explode(F.sequence(F.lit(0), F.col("_block")))
+    fields = ["_chunk", "_i", "_j", "column", "member", "weight"]
+    left = placed.withColumn("_j", later).withColumnRenamed("_block", "_i").select(*fields)
+    right = placed.withColumn("_i", earlier).withColumnRenamed("_block", "_j")
+    right = right.select(*[F.col(f).alias(f) for f in fields])
+    keys = ["_chunk", "_i", "_j"]
+    kind = cells.schema["member"].dataType.simpleString()
+    none = pa.array([], pa.string() if kind == "string" else pa.int64())
+    empty = pa.table({"a": none, "b": none, "product": pa.array([], pa.float64())})
+
+    def multiply(one: pa.Table, two: pa.Table) -> pa.Table:
+        if one.num_rows == 0 or two.num_rows == 0:
+            return empty
+        width = np.unique(np.concatenate([t["column"].to_numpy() for t in (one, two)]))
+        sides = []
+        for t in (one, two):
+            ids, line = np.unique(t["member"].to_numpy(), return_inverse=True)
+            dense = np.zeros((len(ids), len(width)))
+            dense[line, np.searchsorted(width, t["column"].to_numpy())] = t["weight"].to_numpy()
+            sides.append((ids, dense))
+        (ids_a, x), (ids_b, y) = sides
+        shared = (x != 0).astype(np.float32) @ (y != 0).astype(np.float32).T > 0
+        if one["_i"][0] == one["_j"][0]:
+            shared &= ids_a[:, None] < ids_b[None, :]
+        rows, cols = np.nonzero(shared)
+        first, second = ids_a[rows], ids_b[cols]
+        return pa.table({
+            "a": pa.array(np.minimum(first, second), none.type),
+            "b": pa.array(np.maximum(first, second), none.type),
+            "product": (x @ y.T)[rows, cols],
+        })
+
+    return (
+        left.groupBy(*keys).cogroup(right.groupBy(*keys))
+        .applyInArrow(multiply, f"a {kind}, b {kind}, product double")
+    )
+
+
 def block_logsumexp(queries: DataFrame, sample: DataFrame, tile: int = TILE) -> DataFrame:
     """(query_id, lse): log of the summed exp of inner products with every sample row.
 

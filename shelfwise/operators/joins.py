@@ -12,10 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.operators.blocks import block_products
 from shelfwise.operators.ordering import top_k
 from shelfwise.session import stored
 
 HOT_GROUP = 4096
+DENSE_GROUP = 256
 
 
 def one_row_per_item(items: DataFrame) -> DataFrame:
@@ -72,35 +74,52 @@ def genre_overlap_join(
 
 
 def co_sums(
-    rows: DataFrame, group: str, member: str, weight: str, hot: int = HOT_GROUP
+    rows: DataFrame, group: str, member: str, weight: str, hot: int = HOT_GROUP,
+    dense: int = DENSE_GROUP,
 ) -> DataFrame:
     """Per unordered pair a < b: sum over shared groups of the product of weights.
 
-    ``rows`` has one row per (group, member). Pairs are added up in the stage
-    that joins them, so only partial sums are shuffled. A group of more than
-    ``hot`` rows is split: one side is spread over ``ceil(rows / hot)`` parts,
-    the other is repeated once per part, and every pair meets exactly once.
-    The rows are read several times and are therefore stored first.
+    ``rows`` has one row per (group, member) and is stored first, as it is read
+    several times. Pairs are added up in the stage that makes them, so only
+    partial sums are shuffled. Groups differ in size by far, so there are three
+    exact ways, and a group takes one of them:
+
+    * a small group is joined with itself;
+    * a group of more than ``hot`` rows is split: one side is spread over
+      ``ceil(rows / hot)`` parts, the other is repeated once per part;
+    * a group with over ``dense`` rows and over 1 % of all members shares most
+      of its pairs with other such groups: these are multiplied as matrices,
+      which makes every pair once per block of groups and not once per group.
     """
     rows = stored(rows.select(group, member, weight), "pair-rows")
-    sizes = (
-        rows.groupBy(group)
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > hot)
-        .select(group, F.ceil(F.col("_rows") / hot).cast("int").alias("_parts"))
+    wide = F.greatest(
+        rows.agg(F.ceil(F.approx_count_distinct(member) / 100)).scalar(), F.lit(dense)
+    )
+    sizes = rows.groupBy(group).agg(F.count("*").alias("_rows"))
+    sizes = sizes.where(F.col("_rows") > min(hot, dense)).withColumn("_dense", F.col("_rows") > wide)
+    sizes = sizes.where(F.col("_dense") | (F.col("_rows") > hot)).select(
+        group, "_dense", F.ceil(F.col("_rows") / hot).cast("int").alias("_parts")
     )
     a = rows.select(group, F.col(member).alias("a"), F.col(weight).alias("_wa"))
     b = rows.select(group, F.col(member).alias("b"), F.col(weight).alias("_wb"))
-    plain = a.join(sizes, group, "left_anti").join(b, group)
+    plain = a.join(sizes.select(group), group, "left_anti").join(b, group)
 
+    parted = sizes.where(~F.col("_dense")).drop("_dense")
     part = F.pmod(F.xxhash64("a"), F.col("_parts")).cast("int")
-    spread = a.join(sizes, group).withColumn("_part", part).drop("_parts")
+    spread = a.join(parted, group).withColumn("_part", part).drop("_parts")
     every = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
-    repeated = b.join(sizes, group).withColumn("_part", every).drop("_parts")
+    repeated = b.join(parted, group).withColumn("_part", every).drop("_parts")
     split = spread.join(repeated, [group, "_part"]).drop("_part")
 
-    paired = plain.unionByName(split).where(F.col("a") < F.col("b"))
-    return paired.groupBy("a", "b").agg(F.sum(F.col("_wa") * F.col("_wb")).alias("weight"))
+    joined = plain.unionByName(split).where(F.col("a") < F.col("b"))
+    products = joined.select("a", "b", (F.col("_wa") * F.col("_wb")).cast("double").alias("_p"))
+    kept = rows.join(sizes.where("_dense").select(group), group, "left_semi")
+    blocks = block_products(
+        kept.select(F.col(group).alias("column"), F.col(member).alias("member"),
+                    F.col(weight).alias("weight"))
+    )
+    weighed = products.unionByName(blocks.withColumnRenamed("product", "_p"))
+    return weighed.groupBy("a", "b").agg(F.sum("_p").alias("weight"))
 
 
 def co_pairs(baskets: DataFrame, hot: int = HOT_GROUP) -> DataFrame:
@@ -110,8 +129,9 @@ def co_pairs(baskets: DataFrame, hot: int = HOT_GROUP) -> DataFrame:
     their counts, an item with itself gives n(n-1)/2.
     """
     counted = baskets.groupBy("basket_id", "item_id").agg(F.count("*").alias("n"))
+    pair_count = F.col("weight").cast("bigint").alias("pair_count")
     distinct_pairs = co_sums(counted, "basket_id", "item_id", "n", hot).select(
-        F.col("a").alias("item_a"), F.col("b").alias("item_b"), F.col("weight").alias("pair_count")
+        F.col("a").alias("item_a"), F.col("b").alias("item_b"), pair_count
     )
     twice = (F.col("n") * (F.col("n") - 1) / 2).cast("bigint")
     own_pairs = (

@@ -78,14 +78,14 @@ def similar_items(edges: DataFrame, seeds: DataFrame, k: int = 100) -> DataFrame
 
 def similar_items_dot(counts: DataFrame, k: int = 3, hot: int = HOT_GROUP) -> DataFrame:
     pairs = co_sums(counts, "user_id", "item_id", "n", hot)
-    dots = mirror(pairs, F.col("weight"), "dot")
+    dots = mirror(pairs, F.col("weight").cast("bigint"), "dot")
     return top_k(dots, k, by="dot", tie="other_id", per="item_id")
 
 
 def similar_users(counts: DataFrame, k: int = 3, hot: int = HOT_GROUP) -> DataFrame:
     """The k users with the highest dot product of count vectors; popular items are split."""
     pairs = co_sums(counts, "item_id", "user_id", "n", hot)
-    dots = mirror(pairs, F.col("weight"), "dot").withColumnsRenamed(
+    dots = mirror(pairs, F.col("weight").cast("bigint"), "dot").withColumnsRenamed(
         {"item_id": "user_id", "other_id": "other_user"}
     )
     return top_k(dots, k, by="dot", tie="other_user", per="user_id")
@@ -193,19 +193,29 @@ def use_all_cores(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def term_counts(docs: DataFrame, stop_words: Sequence[str]) -> DataFrame:
-    """(item_id, term, tf) without stop words, over whole texts."""
-    terms = use_all_cores(docs).select("item_id", F.explode(words("text")).alias("term"))
-    kept = terms.where(~F.col("term").isin(list(stop_words))) if stop_words else terms
-    return kept.groupBy("item_id", "term").agg(F.count("*").alias("tf"))
+def term_stats(docs: DataFrame, stop_words: Sequence[str]) -> DataFrame:
+    """(term, total, df) over whole texts, without stop words.
+
+    A text adds every word to the total and every distinct word to df, in one
+    pass, so only per-task sums of terms are shuffled. Stop words are taken out
+    of the few terms, not of the many words.
+    """
+    terms = use_all_cores(docs).select(words("text").alias("w"))
+    each = F.transform("w", lambda t: F.struct(t.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("d")))
+    once = F.transform(
+        F.array_distinct("w"),
+        lambda t: F.struct(t.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("d")),
+    )
+    cells = terms.select(F.explode(F.concat(each, once)).alias("c")).select("c.*")
+    sums = cells.groupBy("term").agg(F.sum("n").alias("total"), F.sum("d").alias("df"))
+    return sums.where(~F.col("term").isin(list(stop_words))) if stop_words else sums
 
 
 def tfidf_vocabulary(
-    docs: DataFrame, tf: DataFrame, max_terms: int = 500
+    docs: DataFrame, max_terms: int = 500, stop_words: Sequence[str] = STOP_WORDS
 ) -> DataFrame:
     """The most frequent terms with their index (by term) and smooth idf."""
-    corpus = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
-    kept = top_k(corpus, max_terms, by="total", tie="term")
+    kept = top_k(term_stats(docs, stop_words), max_terms, by="total", tie="term")
     n = docs.agg(F.count("*")).scalar()
     idf = F.log((1 + n) / (1 + F.col("df"))) + 1
     place = (F.row_number().over(Window.orderBy("term")) - 1).cast("bigint")
@@ -215,14 +225,19 @@ def tfidf_vocabulary(
 def tfidf_fit(
     docs: DataFrame, max_terms: int = 500, stop_words: Sequence[str] = STOP_WORDS
 ) -> DataFrame:
-    """L2-normalised TF-IDF postings (item_id, term, term_id, idf, weight)."""
-    tf = term_counts(docs, stop_words)
-    vocabulary = tfidf_vocabulary(docs, tf, max_terms)
-    raw = tf.join(F.broadcast(vocabulary), "term").withColumn("raw", F.col("tf") * F.col("idf"))
-    length = raw.groupBy("item_id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_len"))
-    return raw.join(length, "item_id").select(
-        "item_id", "term", "term_id", "idf", (F.col("raw") / F.col("_len")).alias("weight")
+    """L2-normalised TF-IDF postings (item_id, term, term_id, idf, weight).
+
+    Words outside the vocabulary are dropped by a lookup before anything is
+    shuffled; an item then has at most ``max_terms`` rows.
+    """
+    vocabulary = F.broadcast(tfidf_vocabulary(docs, max_terms, stop_words))
+    terms = use_all_cores(docs).select("item_id", F.explode(words("text")).alias("term"))
+    counts = terms.join(vocabulary, "term").groupBy("item_id", "term", "term_id", "idf").agg(
+        F.count("*").alias("tf")
     )
+    raw = counts.withColumn("raw", F.col("tf") * F.col("idf"))
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("item_id")))
+    return raw.select("item_id", "term", "term_id", "idf", (F.col("raw") / length).alias("weight"))
 
 
 def top_idf_terms(postings: DataFrame, n: int = 10) -> DataFrame:

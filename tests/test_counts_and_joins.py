@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.operators import counts, joins, ordering, similarity
+from shelfwise.operators import blocks, counts, joins, ordering, similarity
 
 DRAW = random.Random(5)
 # One user holds a third of all rows.
@@ -163,3 +163,33 @@ def test_volume_fills_gaps(spark, rows):
                                "d string, item_id long").withColumn("ts", F.to_timestamp("d"))
     volume = counts.volume_by_period(df).select(F.col("period").cast("string"), "volume")
     assert rows(volume) == [("2024-01-01", 1), ("2024-02-01", 0), ("2024-03-01", 1)]
+
+
+@pytest.mark.parametrize("hot, dense", [(2, 3), (4, 1), (100, 5), (1000, 1000)])
+def test_pair_sums_by_every_way(spark, hot, dense):
+    rows = sorted({(g, DRAW.randrange(14)) for g in range(8) for _ in range(2 + 3 * g)})
+    weight = {r: 1.0 + (r[0] * 7 + r[1]) % 5 for r in rows}
+    want = Counter()
+    for (g, a), (h, b) in itertools.product(rows, rows):
+        if g == h and a < b:
+            want[a, b] += weight[g, a] * weight[g, b]
+    df = spark.createDataFrame([(*r, w) for r, w in weight.items()], "g long, m long, w double")
+    got = joins.co_sums(df, "g", "m", "w", hot, dense).collect()
+    assert {(r.a, r.b): r.weight for r in got} == dict(want)
+    assert len(got) == len(want)
+
+
+@pytest.mark.parametrize("text", [False, True])
+def test_block_products_over_many_blocks(spark, text):
+    cells = sorted({(DRAW.randrange(9), DRAW.randrange(11)) for _ in range(60)})
+    name = (lambda m: f"m{m:02d}") if text else (lambda m: m)
+    want = Counter()
+    for (c, a), (d, b) in itertools.product(cells, cells):
+        if c == d and a < b:
+            want[name(a), name(b)] += (c + a + 1) * (c + b + 1)
+    kind = "string" if text else "long"
+    df = spark.createDataFrame([(c, name(m), float(c + m + 1)) for c, m in cells],
+                               f"column long, member {kind}, weight double")
+    found = blocks.block_products(df, members=3, columns=2)
+    got = found.groupBy("a", "b").agg(F.sum("product").alias("p")).collect()
+    assert {(r.a, r.b): r.p for r in got} == dict(want)
