@@ -69,10 +69,15 @@ def item_cosine(
     return mirror(pairs, rounded_blend(F.col("weight")), "similarity")
 
 
-def similar_items(edges: DataFrame, seeds: DataFrame, k: int = 100) -> DataFrame:
-    """The k nearest items of every distinct seed; an unknown seed has none."""
-    wanted = seeds.select("item_id").distinct()
-    near = edges.join(wanted, "item_id", "left_semi").where(F.col("similarity") > 0)
+def similar_items(edges: DataFrame, seeds: DataFrame | None, k: int = 100) -> DataFrame:
+    """The k nearest items of every distinct seed, or of every item without ``seeds``.
+
+    An unknown seed has none. Without seeds each task keeps its k best edges
+    per item before the shuffle.
+    """
+    near = edges.where(F.col("similarity") > 0)
+    if seeds is not None:
+        near = near.join(seeds.select("item_id").distinct(), "item_id", "left_semi")
     return top_k(near, k, by="similarity", tie="other_id", per="item_id")
 
 

@@ -196,7 +196,7 @@ def overlap(v: Views) -> DataFrame:
 
 @query("d15_merge_by_max", "WITH " + RECENT_SQL.format(n=10) + " SELECT * FROM v_cand")
 def max_merge(v: Views) -> DataFrame:
-    near = similarity.similar_items(v.edges, v.interactions, 50)
+    near = similarity.similar_items(v.edges, None, 50)
     seeds = user_history(v.interactions, 10)
     found = seeds.join(near, "item_id").select(
         "user_id", F.col("other_id").alias("item_id"), "similarity"
@@ -379,7 +379,7 @@ def serving(v: Views) -> DataFrame:
         AS popularity FROM v_lists GROUP BY user_id, item_id""",
 )
 def ranks(v: Views) -> DataFrame:
-    near = similarity.similar_items(v.edges, v.interactions, 50)
+    near = similarity.similar_items(v.edges, None, 50)
     candidates = ranking.neighbours_of_recent(v.interactions, near, 10).join(v.popularity, "item_id")
     swept = ranking.weight_sweep(candidates, (1.0, 0.5, 0.0), 10)
     name = (

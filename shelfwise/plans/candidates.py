@@ -30,9 +30,7 @@ def cosine(v: Views) -> DataFrame:
 )
 def cosine_purchases(v: Views) -> DataFrame:
     """The ten nearest items of every item bought, over all purchases."""
-    return similarity.similar_items(
-        similarity.item_cosine(v.purchases), v.purchases.select("item_id"), 10
-    )
+    return similarity.similar_items(similarity.item_cosine(v.purchases), None, 10)
 
 
 @query("f02_similar_items", "SELECT * FROM v_near_items WHERE rank <= 20")
@@ -189,7 +187,7 @@ HYBRID_SQL = """v_hybrid AS (SELECT coalesce(a.item_id, b.item_id) AS item_id,
 
 def hybrid_lists(v: Views) -> DataFrame:
     content = similarity.similar_by_content(v.postings, v.docs, 10)
-    behaviour = similarity.similar_items(v.edges, v.interactions, 10)
+    behaviour = similarity.similar_items(v.edges, None, 10)
     return similarity.hybrid_candidates(content, behaviour, 20)
 
 

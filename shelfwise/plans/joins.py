@@ -33,7 +33,7 @@ def top_titles(v: Views) -> DataFrame:
 
 def _near_candidates(v: Views) -> DataFrame:
     """(user_id, item_id, similarity): neighbours of each user's ten newest items."""
-    near = similarity.similar_items(v.edges, v.interactions, 50)
+    near = similarity.similar_items(v.edges, None, 50)
     return ranking.neighbours_of_recent(v.interactions, near, 10)
 
 

@@ -20,7 +20,7 @@ from shelfwise.plans.views import Views
 
 def scored_candidates(v: Views) -> DataFrame:
     """(user_id, item_id, similarity, popularity), seen items included."""
-    near = similarity.similar_items(v.edges, v.interactions, 50)
+    near = similarity.similar_items(v.edges, None, 50)
     candidates = ranking.neighbours_of_recent(v.interactions, near, 10)
     return add_signal(candidates, v.popularity, "popularity")
 
@@ -171,7 +171,7 @@ def by_daypart(v: Views) -> DataFrame:
 
 
 def four_stage(v: Views, score_first: bool) -> DataFrame:
-    near = similarity.similar_items(v.edges, v.interactions, 50)
+    near = similarity.similar_items(v.edges, None, 50)
     candidates = ranking.neighbours_of_recent(v.interactions, near, 10)
     stages = ranking.FourStage(
         retrieve=lambda users: candidates.join(users.select("user_id"), "user_id", "left_semi"),
