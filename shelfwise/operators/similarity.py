@@ -19,6 +19,7 @@ from shelfwise.operators.joins import (
 from shelfwise.operators.ordering import (
     dense_ids, rounded, rounded_blend, top_k, user_history,
 )
+from shelfwise.session import stored
 
 # Common English function words, used when no stop list is given.
 STOP_WORDS = (
@@ -183,7 +184,7 @@ def user_profiles(history: DataFrame, vectors: DataFrame) -> DataFrame:
 def recommend_from_profile(history: DataFrame, vectors: DataFrame, k: int = 2) -> DataFrame:
     """Cosine of the user's mean vector to all items the user does not have."""
     owned = history.select("user_id", "item_id").distinct()
-    profiles = user_profiles(owned, vectors).select(
+    profiles = stored(user_profiles(owned, vectors), "profiles").select(
         F.col("user_id").alias("query_id"), V.l2_normalize("embedding").alias("embedding")
     )
     unit = vectors.select("item_id", V.l2_normalize("embedding").alias("embedding"))
@@ -272,9 +273,9 @@ def similar_by_content(
     """TF-IDF cosine top-k of every seed: (item_id, other_id, similarity, rank).
 
     Frequent terms are shared by most texts, so instead of joining postings the
-    short term vectors are compared block by block.
+    short term vectors are stored once and compared block by block.
     """
-    dense = content_vectors(postings, max_terms)
+    dense = stored(content_vectors(postings, max_terms), "term-vectors")
     wanted = seeds.select("item_id").distinct()
     queries = dense.join(wanted, "item_id", "left_semi").withColumnRenamed("item_id", "query_id")
     found = block_top_k(queries, dense, k, skip_self=True, positive_only=True)

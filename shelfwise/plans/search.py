@@ -10,6 +10,7 @@ from shelfwise.operators import vector_index as index
 from shelfwise.operators.ordering import rounded
 from shelfwise.plans.catalog import query
 from shelfwise.plans.views import DIM, SIZES, Views
+from shelfwise.session import stored
 
 PARTS, BITS = 8, 4
 CELLS = SIZES[0]
@@ -71,7 +72,9 @@ IVF_SQL = FLAT_SQL + f""", {CELL_SQL},
 
 
 def ivf_index(v: Views) -> tuple[DataFrame, DataFrame]:
-    return index.ivf_build(v.vectors, centroids=v.seed_codebook)
+    """The built index as a stored table, and its centroids."""
+    cells, centroids = index.ivf_build(v.vectors, centroids=v.seed_codebook)
+    return stored(cells, "ivf"), centroids
 
 
 @query("h04_ivf_build", f"WITH {CELL_SQL} SELECT * FROM v_cell")
@@ -137,7 +140,8 @@ def pq_search(v: Views) -> DataFrame:
     queries = v.profile_queries.select(
         "query_id", V.l2_normalize("embedding").alias("embedding")
     )
-    return index.pq_search(index.pq_encode(v.unit, books), books, queries, 20)
+    codes = stored(index.pq_encode(v.unit, books), "codes")
+    return index.pq_search(codes, books, queries, 20)
 
 
 @query("h08_lsh_search")

@@ -19,6 +19,7 @@ from shelfwise.operators import counts, similarity, vector_index
 from shelfwise.operators.semantic_ids import (
     assign_semantic_ids, fit_codebooks, residual_quantize,
 )
+from shelfwise.session import stored
 from shelfwise.sources.readers import read_interaction_log
 
 # The tags preferred per daypart (two per daypart).
@@ -109,7 +110,8 @@ class Views:
 
     @cached_property
     def profiles(self) -> DataFrame:
-        return similarity.user_profiles(self.interactions, self.vectors)
+        """A table of its own, as several steps of a search read it."""
+        return stored(similarity.user_profiles(self.interactions, self.vectors), "profiles")
 
     @cached_property
     def profile_queries(self) -> DataFrame:
