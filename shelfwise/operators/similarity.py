@@ -193,12 +193,6 @@ def recommend_from_profile(history: DataFrame, vectors: DataFrame, k: int = 2) -
     return found.withColumnsRenamed({"query_id": "user_id", "score": "similarity"})
 
 
-def use_all_cores(df: DataFrame) -> DataFrame:
-    """Spread an input of fewer splits than cores; a large input is left as it is read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def term_stats(docs: DataFrame, stop_words: Sequence[str]) -> DataFrame:
     """(term, total, df) over whole texts, without stop words.
 
@@ -206,7 +200,7 @@ def term_stats(docs: DataFrame, stop_words: Sequence[str]) -> DataFrame:
     pass, so only per-task sums of terms are shuffled. Stop words are taken out
     of the few terms, not of the many words.
     """
-    terms = use_all_cores(docs).select(words("text").alias("w"))
+    terms = docs.select(words("text").alias("w"))
     each = F.transform("w", lambda t: F.struct(t.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("d")))
     once = F.transform(
         F.array_distinct("w"),
@@ -237,7 +231,7 @@ def tfidf_fit(
     shuffled; an item then has at most ``max_terms`` rows.
     """
     vocabulary = F.broadcast(tfidf_vocabulary(docs, max_terms, stop_words))
-    terms = use_all_cores(docs).select("item_id", F.explode(words("text")).alias("term"))
+    terms = docs.select("item_id", F.explode(words("text")).alias("term"))
     counts = terms.join(vocabulary, "term").groupBy("item_id", "term", "term_id", "idf").agg(
         F.count("*").alias("tf")
     )
@@ -348,7 +342,6 @@ def popular_in_genre(
         requests.join(seed, "request_id", "left").join(owned, "user_id", "left")
         .select(*requests.columns, F.array_distinct(F.coalesce(
             pairs, F.array().cast("array<struct<g1:string,g2:string>>"))).alias("pairs"))
-        .withColumn("profile", F.xxhash64("pairs"))
     )
     scores = popularity(interactions)
     scored = items.select("item_id", F.array_distinct("genres").alias("genres")).join(
@@ -365,9 +358,9 @@ def popular_in_genre(
         .select("pairs", "item_id", "popularity").distinct()
     )
     lists = top_k(lists, n, by="popularity", per="pairs")
-    direct = profiled.drop("profile").join(lists, "pairs").drop("pairs")
+    direct = profiled.join(lists, "pairs").drop("pairs")
     empty = asked.join(lists.select("pairs").distinct(), "pairs", "left_anti").select("pairs")
-    fallback = profiled.drop("profile").join(empty, "pairs", "left_semi").drop("pairs")
+    fallback = profiled.join(empty, "pairs", "left_semi").drop("pairs")
     everything = top_k(scores, n, by="popularity")
     listed = fallback.select(
         "*", F.explode(pool_list(everything, ["item_id", "popularity"])).alias("_p")

@@ -140,9 +140,6 @@ def collapse(v: Views) -> DataFrame:
     return quality.collapse_check(v.ids, SIZES)
 
 
-SQ = "list_dot_product({0}.embedding, {0}.embedding)"
-
-
 @query(
     "i11_quantization_loss",
     """SELECT CAST(0 AS BIGINT) AS level, round(1.5e0 * sum(list_dot_product(embedding, embedding))

@@ -93,11 +93,6 @@ def ivf_search(v: Views) -> DataFrame:
     return index.ivf_search(cells, centroids, v.profile_queries, 20, nprobe=4)
 
 
-def _sub(vec: str, part: int) -> str:
-    width = DIM // PARTS
-    return f"{vec}[{part * width + 1}:{(part + 1) * width}]"
-
-
 PQ_SQL = f"""v_books AS MATERIALIZED (SELECT row_number() OVER (ORDER BY item_id) - 1 AS code,
       embedding FROM (SELECT * FROM v_unit ORDER BY item_id LIMIT {2**BITS})),
     v_part AS (SELECT u.item_id, p.part, u.embedding[p.part * {DIM // PARTS} + 1

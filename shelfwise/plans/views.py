@@ -20,7 +20,7 @@ from shelfwise.operators.semantic_ids import (
     assign_semantic_ids, fit_codebooks, residual_quantize,
 )
 from shelfwise.session import stored
-from shelfwise.sources.readers import read_interaction_log
+from shelfwise.sources.readers import read_interaction_log, read_texts
 
 # The tags preferred per daypart (two per daypart).
 DAYPART_TAGS = [
@@ -119,7 +119,7 @@ class Views:
 
     @cached_property
     def docs(self) -> DataFrame:
-        return self.table("documents").select(F.col("doc_id").alias("item_id"), "text")
+        return read_texts(self.spark, self.path("documents"))
 
     @cached_property
     def postings(self) -> DataFrame:

@@ -108,6 +108,16 @@ def read_served_table(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return best_rows(spark.read.parquet(path), kind)
 
 
+def read_texts(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
+    """(item_id, text), spread over all cores when the files have fewer splits than that.
+
+    An input of many splits is left as it is read.
+    """
+    texts = spark.read.parquet(path).select(F.col(key).alias("item_id"), "text")
+    cores = spark.sparkContext.defaultParallelism
+    return texts.repartition(cores) if texts.rdd.getNumPartitions() < cores else texts
+
+
 def read_interaction_log(spark: SparkSession, path: str) -> DataFrame:
     """An event log as interactions: the item is the ``k`` of the JSON properties."""
     return spark.read.parquet(path).select(
