@@ -10,7 +10,7 @@ from shelfwise.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session("4", shuffle_partitions=4, memory="6g")
+    return local_session("8", shuffle_partitions=2, memory="6g")
 
 
 @pytest.fixture
