@@ -4,12 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from shelfwise.plans import registered
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = registered.QUERIES
+ORACLES = registered.ORACLES
 # Random or iterative fits, checked by their properties in the other tests.
 WITHOUT_SQL = {
     "f17_random_items", "h04_ivf_build_kmeans", "h08_lsh_search", "i01_fit_codebooks_kmeans",
@@ -47,5 +48,10 @@ def test_equals_sql(spark, duck, name):
     assert got
 
 
+def test_entry_has_all():
+    assert QUERIES.items() <= entry.queries().items()
+    assert ORACLES.items() <= entry.oracle_sql().items()
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
