@@ -53,3 +53,24 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfwise.llm.hilbert import shard_report
 
     return shard_report(table(spark, sf_dir, "documents"))
+
+
+@query("op8_language")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.langid import language_report
+
+    return language_report(table(spark, sf_dir, "documents"))
+
+
+@query("op3_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.quality_knn import quality_report
+
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_kneser_ney")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.kneser_ney import lm_report
+
+    return lm_report(table(spark, sf_dir, "documents"))

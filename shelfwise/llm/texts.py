@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 PIECE = 4 << 20
+HASHED_AT_ONCE = 1 << 20
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 U = np.uint64
@@ -98,7 +99,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     done = 0
     while done < len(starts):
         low = starts[done]
-        stop = max(done + 1, int(np.searchsorted(ends, low + PIECE, "right")))
+        stop = max(done + 1, int(np.searchsorted(ends, low + HASHED_AT_ONCE, "right")))
         high = ends[stop - 1]
         powers, inverse = _power_tables(int(high - low))
         sums = np.zeros(high - low + 1, U)
