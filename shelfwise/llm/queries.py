@@ -74,3 +74,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfwise.llm.kneser_ney import lm_report
 
     return lm_report(table(spark, sf_dir, "documents"))
+
+
+@query("op10_parity_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.parity_join import jaccard_classes
+
+    return jaccard_classes(table(spark, sf_dir, "documents"))
