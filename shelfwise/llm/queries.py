@@ -81,3 +81,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfwise.llm.parity_join import jaccard_classes
 
     return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
+@query("op2_spaced_seeds")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.decontaminate import find_overlaps
+    from shelfwise.llm.shared import deal_out
+
+    documents = deal_out(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return find_overlaps(documents, table(spark, sf_dir, "benchmark"))
