@@ -90,3 +90,28 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     documents = deal_out(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return find_overlaps(documents, table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_multi_index", """
+    WITH v AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, e -> e IS NULL OR NOT isfinite(e))) = 0
+          AND len(list_filter(embedding, e -> e <> 0)) > 0),
+    l AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+        ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+        AND list_cosine_similarity(a.x, b.x) >= 0.98),
+    r AS (
+        WITH RECURSIVE reach(s, t) AS (
+            SELECT a, b FROM l UNION SELECT reach.s, l.b FROM reach JOIN l ON reach.t = l.a)
+        SELECT s, min(t) AS m FROM reach GROUP BY s)
+    SELECT e.vec_id, coalesce(n.n, 0) AS n_links, least(e.vec_id, coalesce(r.m, e.vec_id)) AS component_id,
+           e.vec_id = least(e.vec_id, coalesce(r.m, e.vec_id)) AS kept
+    FROM embeddings e LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY a) n ON n.a = e.vec_id
+    LEFT JOIN r ON r.s = e.vec_id
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.imi_dedup import link_vectors
+
+    return link_vectors(table(spark, sf_dir, "embeddings"))
