@@ -1,8 +1,7 @@
 """Count features of whole texts and bounded labelled samples, for the three classifiers.
 
 All features come from byte arrays (see ``texts``): n-grams of letters for
-languages, n-grams of character classes and repetition for quality, hashed
-words for domains. A text of any length gives one row of counts.
+languages, n-grams of character classes and repetition for quality. A text of any length gives one row of counts.
 """
 
 from __future__ import annotations
@@ -24,14 +23,13 @@ for _number, _chars in enumerate(CLASSES):
     _CLASS_OF[list(_chars.encode())] = _number
 _CLASS_OF[128:] = 0
 
-_LETTER = np.where(np.isin(np.arange(256), [*range(97, 123), *range(128, 256)]), np.arange(256), 32).astype(np.uint8)
+LETTER = np.where(np.isin(np.arange(256), [*range(97, 123), *range(128, 256)]), np.arange(256), 32).astype(np.uint8)
 
 LETTER_DIMS = 4096
 CLASS_DIMS = 4096
 LEVELS = 16
 LEVEL_WEIGHT = 12
 SHAPE_DIMS = CLASS_DIMS + 3 * LEVELS
-WORD_DIMS = 4096
 
 
 def _row_of_byte(at: np.ndarray) -> np.ndarray:
@@ -40,7 +38,7 @@ def _row_of_byte(at: np.ndarray) -> np.ndarray:
 
 def letter_counts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Hashed counts of 1-, 2- and 3-grams of lower-cased letters; anything else is one space."""
-    letters = _LETTER[LOWER[data]].astype(np.uint32)
+    letters = LETTER[LOWER[data]].astype(np.uint32)
     rows, n = _row_of_byte(at), len(at) - 1
     total = np.zeros((n, LETTER_DIMS), np.int64)
     for size in (1, 2, 3):
@@ -80,12 +78,6 @@ def shape_counts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_counts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Hashed counts of words."""
-    words, of = hashed_words(data, at)
-    return code_counts(of, (words >> U(52)).astype(np.int64), len(at) - 1, WORD_DIMS)
-
-
 Counter = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -161,4 +153,4 @@ def smooth_idf(n: int, held: np.ndarray) -> np.ndarray:
 
 
 __all__ = ["as_bytes", "counted", "document_frequencies", "letter_counts", "sample_ids", "shape_counts",
-           "smooth_idf", "unpack", "weighted", "word_counts"]
+           "smooth_idf", "unpack", "weighted"]

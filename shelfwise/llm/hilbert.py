@@ -71,9 +71,9 @@ def hilbert_shards(df: DataFrame, dims: list[str], ties: list[str], n_shards: in
     spark = df.sparkSession
     df = df.drop("shard", "slot")
     keys = [f"__key{i}" for i in range(len(dims))]
-    keyed = stored(df.select("*", *[_key(df, d).alias(k) for d, k in zip(dims, keys)]), "hilbert-keys")
+    keyed = df.select("*", *[_key(df, d).alias(k) for d, k in zip(dims, keys)])
     cuts = [i / (1 << bits) for i in range(1, 1 << bits)]
-    row = keyed.agg(F.count("*").alias("n"), *[F.percentile_approx(k, cuts, 10_000).alias(k) for k in keys]).first()
+    row = keyed.select(*keys).agg(F.count("*").alias("n"), *[F.percentile_approx(k, cuts, 10_000).alias(k) for k in keys]).first()
     bounds = [np.unique(np.array(row[k] or [], float)) for k in keys]
     total = row["n"]
 
@@ -114,6 +114,6 @@ def shard_report(documents: DataFrame) -> DataFrame:
     meta = documents.select(
         "doc_id", "lang", "source", (F.octet_length(data) + 1).cast("long").alias("size"),
         F.crc32(data).alias("text_crc32"))
-    return hilbert_shards(meta, ["lang", "source", "size"], ["doc_id", "text_crc32"]).select(
+    return hilbert_shards(stored(meta, "hilbert-meta"), ["lang", "source", "size"], ["doc_id", "text_crc32"]).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))

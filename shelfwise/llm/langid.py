@@ -74,17 +74,17 @@ def fit_centroids(train: DataFrame, id_col: str, text_col: str, label_col: str,
 
 
 def identify(df: DataFrame, text_col: str, model: dict, keep: list[str], least: float = LEAST) -> DataFrame:
-    """The kept columns with lang_pred, score (best cosine, 0 to 1) and rejected."""
-    sc = df.sparkSession.sparkContext
-    shared = sc.broadcast(model)  # centroids per language times 4096 numbers
+    """The kept columns with lang_pred, score (best cosine, 0 to 1) and rejected; these names replace kept ones."""
+    keep = [c for c in keep if c not in ("lang_pred", "score", "rejected")]
+    shared = df.sparkSession.sparkContext.broadcast(model)  # centroids per language times 4096 numbers
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         langs = np.array([*m["langs"], "und"], object)
         for batch in batches:
-            letters = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
-            for first, end, data, at in pieces(batch.column(batch.num_columns - 2)):
+            letters = batch.column(len(keep)).to_numpy(zero_copy_only=False).astype(bool)
+            for first, end, data, at in pieces(batch.column(batch.schema.get_field_index(text_col))):
                 best, cos = np.full(end - first, len(langs) - 1), np.zeros(end - first)
                 if len(m["langs"]):
                     close = weighted(letter_counts(data, at), m["idf"]) @ m["centres"].T.astype(np.float32)
@@ -92,13 +92,13 @@ def identify(df: DataFrame, text_col: str, model: dict, keep: list[str], least:
                     cos = close[np.arange(len(best)), best].astype(float)
                 some = letters[first:end] & (len(m["langs"]) > 0)
                 best, cos = np.where(some, best, len(langs) - 1), np.where(some, np.clip(cos, 0, 1), 0.0)
-                out = batch.slice(first, end - first).select(range(batch.num_columns - 2))
+                out = batch.slice(first, end - first).select(range(len(keep)))
                 out = out.append_column("lang_pred", pa.array(langs[best], pa.string()))
                 out = out.append_column("score", pa.array(cos))
                 yield out.append_column("rejected", pa.array(~some | (cos < least)))
 
-    letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    return df.select(*keep, F.col(text_col).alias("__text"), letters.alias("__letters")).mapInArrow(
+    letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("__letters")
+    return df.select(*keep, letters, *([] if text_col in keep else [text_col])).mapInArrow(
         score, ", ".join([*fields, "lang_pred string", "score double", "rejected boolean"]))
 
 

@@ -115,3 +115,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfwise.llm.imi_dedup import link_vectors
 
     return link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op9_soft_mixing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm import mixing
+
+    labelled = mixing.label_domains(table(spark, sf_dir, "labels"))
+    return mixing.mixed(table(spark, sf_dir, "documents"), labelled, mixing.TARGETS)
