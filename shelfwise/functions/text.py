@@ -11,7 +11,7 @@ TITLE_YEAR = r"\s*\((?:19|20)\d{2}(?:-(?:19|20)\d{2})?\)\s*$"
 WORD = r"[\p{L}\p{N}_]+"
 # The flag columns of the piped item file, in file order.
 GENRE_FLAGS = [
-    "unknown", "Action", "Adventure", "Animation", "Children's", "Comedy", "Crime",
+    "unknown", "Action", "Adventure", "Animation", "Children", "Comedy", "Crime",
     "Documentary", "Drama", "Fantasy", "Film-Noir", "Horror", "Musical", "Mystery",
     "Romance", "Sci-Fi", "Thriller", "War", "Western",
 ]
@@ -52,13 +52,21 @@ def words(col: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(_col(col)), F.lit(WORD), F.lit(0))
 
 
+def starts_with(col: Column | str, prefix: str) -> Column:
+    return _col(col).startswith(prefix)
+
+
+def has_word(col: Column | str, word: str) -> Column:
+    """Whole-word match, ignoring case; the word is taken literally."""
+    return _col(col).rlike(rf"(?i)\b\Q{word}\E\b")
+
+
 def title_starts_with(df: DataFrame, prefix: str, col: str = "title") -> DataFrame:
-    return df.where(F.col(col).startswith(prefix))
+    return df.where(starts_with(col, prefix))
 
 
 def title_has_word(df: DataFrame, word: str, col: str = "title") -> DataFrame:
-    """Whole-word match, ignoring case; the word is taken literally."""
-    return df.where(F.col(col).rlike(rf"(?i)\b\Q{word}\E\b"))
+    return df.where(has_word(col, word))
 
 
 def with_title(df: DataFrame, col: str = "title") -> DataFrame:

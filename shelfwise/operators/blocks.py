@@ -41,15 +41,19 @@ def _scores(queries: np.ndarray, vectors: np.ndarray, metric: str) -> np.ndarray
 
 def _pick(scores: np.ndarray, k: int, ascending: bool) -> np.ndarray:
     """Column positions of the k best per row; columns are in id order, which breaks ties."""
-    columns = scores.shape[1]
-    k = min(k, columns)
-    places = np.arange(columns, dtype=np.int64)
-    sign = 1 if ascending else -1
-    order = sign * scores.astype(np.int64) * columns + places
-    best = np.argpartition(order, k - 1, axis=1)[:, :k] if k < columns else (
-        np.broadcast_to(places, scores.shape)
-    )
-    return best
+    rows, columns = scores.shape
+    if k >= columns:
+        return np.broadcast_to(np.arange(columns, dtype=np.int64), scores.shape)
+    cost = scores if ascending else -scores
+    last = np.partition(cost, k - 1, axis=1)[:, k - 1:k]
+    better, tied = cost < last, cost == last
+    room = k - better.sum(axis=1, keepdims=True)
+    return np.nonzero(better | (tied & (np.cumsum(tied, axis=1) <= room)))[1].reshape(rows, k)
+
+
+def _round(scores: np.ndarray, unit: float) -> np.ndarray:
+    """Half away from zero, as Spark's ``round``."""
+    return np.copysign(np.floor(np.abs(scores) * unit + 0.5), scores) / unit
 
 
 def paired_blocks(
@@ -97,6 +101,7 @@ def block_top_k(
     exclude: DataFrame | None = None,
     tile: int = TILE,
     query_block: int = QUERY_BLOCK,
+    digits: int | None = SCORE_DIGITS,
 ) -> DataFrame:
     """Exact top-k of every query over the index, or over the cells it names.
 
@@ -105,10 +110,11 @@ def block_top_k(
     "l2" (squared distance, lowest first). Rows (query_id, item_id) of
     ``exclude`` are left out: each travels to the one block that compares the
     two, so a query may exclude any number of items. Returns (query_id,
-    item_id, score, rank), scores rounded and ties by item id.
+    item_id, score, rank), scores rounded to ``digits`` (not at all if None) and
+    ties by item id. A vector with a number that is not one is nobody's neighbour.
     """
     ascending = metric == "l2"
-    unit = 10.0**SCORE_DIGITS
+    unit = None if digits is None else 10.0**digits
     q, x, keys = paired_blocks(queries, index, tile, query_block)
     q = q.select(
         *keys, "query_id", F.col("embedding").cast("array<double>"),
@@ -118,8 +124,9 @@ def block_top_k(
     if exclude is not None:
         if "cell" in index.columns:
             raise ValueError("exclude works on an index without cells")
-        groups = queries.agg(F.ceil(F.count("*") / query_block).cast("int")).scalar()
-        tiles = index.agg(F.ceil(F.count("*") / tile).cast("int")).scalar()
+        some = F.greatest(F.count("*"), F.lit(1))
+        groups = queries.agg(F.ceil(some / query_block).cast("int")).scalar()
+        tiles = index.agg(F.ceil(some / tile).cast("int")).scalar()
         q = q.unionByName(
             exclude.select(
                 F.lit(0).cast("bigint").alias("cell"),
@@ -145,28 +152,29 @@ def block_top_k(
         by_id = np.argsort(ids, kind="stable")
         ids = ids[by_id]
         scores = _scores(_matrix(left["embedding"]), _matrix(right["embedding"])[by_id], metric)
-        scores = np.floor(scores * unit + 0.5)
-        allowed = np.ones(scores.shape, dtype=bool)
+        if unit is not None:
+            scores = _round(scores, unit)
+        allowed = ~np.isnan(scores)
         if skip_self:
             allowed &= query_ids[:, None] != ids[None, :]
         if positive_only:
             allowed &= scores > 0
         if skipped.num_rows:
-            line = {q: i for i, q in enumerate(query_ids.tolist())}
-            place = {x: i for i, x in enumerate(ids.tolist())}
-            for q_id, x_id in zip(skipped["query_id"].to_pylist(), skipped["_skip"].to_pylist()):
-                if q_id in line and x_id in place:
-                    allowed[line[q_id], place[x_id]] = False
+            lines, line = np.unique(query_ids, return_inverse=True)
+            places, place = np.unique(ids, return_inverse=True)
+            row, col = skipped["query_id"].to_numpy(), skipped["_skip"].to_numpy()
+            here = np.isin(row, lines) & np.isin(col, places)
+            banned = np.zeros((len(lines), len(places)), dtype=bool)
+            banned[np.searchsorted(lines, row[here]), np.searchsorted(places, col[here])] = True
+            allowed &= ~banned[line][:, place]
         worst = np.inf if ascending else -np.inf
-        limit = 2.0**62 / (scores.shape[1] + 1)
-        ranked = np.clip(np.where(allowed, scores, worst), -limit, limit)
-        best = _pick(ranked, k, ascending)
+        best = _pick(np.where(allowed, scores, worst), k, ascending)
         rows = np.repeat(np.arange(len(query_ids)), best.shape[1])
         cols = best.ravel()
         keep = allowed[rows, cols]
         rows, cols = rows[keep], cols[keep]
         return pa.table(
-            {"query_id": query_ids[rows], "item_id": ids[cols], "score": scores[rows, cols] / unit}
+            {"query_id": query_ids[rows], "item_id": ids[cols], "score": scores[rows, cols]}
         )
 
     found = (
@@ -222,13 +230,17 @@ def small_matrix(
 ) -> tuple[np.ndarray, np.ndarray] | None:
     """Rows (code, vector) as a driver-side matrix, or None when over ``max_rows`` rows.
 
+    An empty table is a matrix without rows.
+
     Only for models whose size is a parameter (codebooks, centroids). One row
     more than allowed is asked for, so a larger table is noticed, not fetched.
     """
     rows = df.select("code", F.col(vec).cast("array<double>").alias("v"))
     rows = rows.limit(max_rows + 1).collect()
-    if not rows or len(rows) > max_rows:
+    if len(rows) > max_rows:
         return None
+    if not rows:
+        return np.zeros(0, dtype=np.int64), np.zeros((0, 0))
     rows.sort(key=lambda r: r["code"])
     return (
         np.array([r["code"] for r in rows], dtype=np.int64),
@@ -243,8 +255,8 @@ def block_products(
 
     ``cells`` (column, member, weight). The members are cut into blocks and the
     columns into chunks; a task multiplies two member blocks over one chunk and
-    returns the pairs that share a column there. The pair sums of the chunks
-    remain to be added up.
+    returns the pairs that share a column there, whatever their weights;
+    repeated cells add up. The pair sums of the chunks remain to be added up.
     """
     sizes = cells.agg(
         F.struct(
@@ -277,10 +289,13 @@ def block_products(
         for t in (one, two):
             ids, line = np.unique(t["member"].to_numpy(), return_inverse=True)
             dense = np.zeros((len(ids), len(width)))
-            dense[line, np.searchsorted(width, t["column"].to_numpy())] = t["weight"].to_numpy()
-            sides.append((ids, dense))
-        (ids_a, x), (ids_b, y) = sides
-        shared = (x != 0).astype(np.float32) @ (y != 0).astype(np.float32).T > 0
+            held = np.zeros(dense.shape, dtype=np.float32)
+            at = line, np.searchsorted(width, t["column"].to_numpy())
+            np.add.at(dense, at, t["weight"].to_numpy())
+            held[at] = 1
+            sides.append((ids, dense, held))
+        (ids_a, x, in_a), (ids_b, y, in_b) = sides
+        shared = in_a @ in_b.T > 0
         if one["_i"][0] == one["_j"][0]:
             shared &= ids_a[:, None] < ids_b[None, :]
         rows, cols = np.nonzero(shared)

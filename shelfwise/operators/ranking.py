@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 from shelfwise.operators.blocks import _matrix, block_top_k
 from shelfwise.operators.counts import merge_by_max, popularity, score_vs_seeds
 from shelfwise.operators.joins import add_signal, attach_metadata, drop_seen, feature_lookup
-from shelfwise.operators.ordering import rounded, rounded_blend, stable_order, top_k, user_history
+from shelfwise.operators.ordering import (
+    long_order, rounded, rounded_blend, stable_order, top_k, user_history,
+)
 from shelfwise.operators.similarity import (
     cold_start_fallback, similar_by_tags, similar_items, unseen_from_pool,
 )
+from shelfwise.session import stored
 
 
 def blend(df: DataFrame, weights: Mapping[str, float], score: str = "score") -> DataFrame:
@@ -158,11 +161,34 @@ def rerank_by_seed_similarity(
 def recommend_popular(
     users: DataFrame, interactions: DataFrame, k: int = 10, pool: int = 1000
 ) -> DataFrame:
-    """The most popular items a user has not seen, out of the ``pool`` most popular."""
-    popular = top_k(popularity(interactions), pool, by="popularity")
-    return unseen_from_pool(
-        users.select("user_id"), popular, user_history(interactions), k, ["item_id", "popularity"]
+    """The most popular items a user has not seen.
+
+    The ``pool`` most popular are one list for all. A user who has seen so many
+    of them that the list may not do is served from the ranking of all items:
+    the first k ranks that are missing among those of the history.
+    """
+    counts = popularity(interactions)
+    popular = top_k(counts, pool, by="popularity")
+    history = user_history(interactions)
+    asked = users.select("user_id")
+    in_pool = history.join(popular.select("item_id"), "item_id", "left_semi").groupBy("user_id").agg(
+        F.count("*").alias("_n")
+    )
+    heavy = stored(in_pool.where(F.col("_n") > pool - k).select("user_id"), "heavy-users")
+    fields = ["item_id", "popularity"]
+    if heavy.isEmpty():
+        return unseen_from_pool(asked, popular, history, k, fields)
+    light = unseen_from_pool(asked.join(heavy, "user_id", "left_anti"), popular, history, k, fields)
+    ranked = stored(long_order(counts, "popularity"), "popularity-ranks")
+    seen = history.join(heavy, "user_id", "left_semi").join(ranked.select("item_id", "position"), "item_id")
+    seen = seen.groupBy("user_id").agg(F.collect_set("position").alias("_seen"))
+    reach = F.sequence(F.lit(1).cast("bigint"), F.lit(k) + F.size("_seen"))
+    missing = F.slice(F.array_sort(F.array_except(reach, "_seen")), 1, k)
+    places = asked.join(seen, "user_id").select("user_id", F.posexplode(missing).alias("_at", "position"))
+    rest = places.join(ranked, "position").select(
+        "user_id", *fields, (F.col("_at") + 1).cast("bigint").alias("rank")
     )
+    return light.unionByName(rest)
 
 
 def rerank_by_daypart(

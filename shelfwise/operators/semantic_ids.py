@@ -105,7 +105,10 @@ def residual_quantize(vectors: DataFrame, codebooks: DataFrame, levels: int) ->
     )
     for level in range(levels):
         book = level_of(codebooks, level)
-        out = with_centroid(nearest_code(out, book), book)
+        coded = nearest_code(out, book)
+        # A skipped level has no centroids: its code is 0 and takes nothing away.
+        out = with_centroid(coded, book) if not book.isEmpty() else coded.withColumn(
+            "centroid", F.transform("embedding", lambda x: F.lit(0.0)))
         out = out.withColumns(
             {
                 "codes": F.concat("codes", F.array("code")),
@@ -119,10 +122,12 @@ def residual_quantize(vectors: DataFrame, codebooks: DataFrame, levels: int) ->
 
 
 def reconstruct(codes: DataFrame, codebooks: DataFrame, levels: int) -> DataFrame:
-    """(item_id, embedding): the sum of the chosen centroids."""
+    """(item_id, embedding): the sum of the chosen centroids; a skipped level adds nothing."""
     out = codes.select("item_id", "codes")
     total: Column | None = None
     for level in range(levels):
+        if level_of(codebooks, level).isEmpty():
+            continue
         keyed = out.withColumn("code", F.col("codes")[level])
         out = with_centroid(keyed, level_of(codebooks, level)).drop("code")
         out = out.withColumnRenamed("centroid", f"_c{level}")

@@ -21,7 +21,7 @@ from shelfwise.operators.ordering import (
 )
 from shelfwise.session import stored
 
-# Common English function words, used when no stop list is given.
+# Common English function words, used when no stop list is given.
 STOP_WORDS = (
     "a an and are as at be been but by for from had has have he her his i if in into is it its "
     "me my no not of on or our she so such that the their them then there these they this to "
@@ -43,19 +43,13 @@ def mirror(pairs: DataFrame, value: Column, name: str) -> DataFrame:
 def item_cosine(
     interactions: DataFrame,
     min_support: int = 1,
-    max_history: int | None = None,
     hot: int = HOT_GROUP,
 ) -> DataFrame:
     """Cosine between the item columns of the count matrix as (item_id, other_id, similarity).
 
-    ``min_support`` leaves out items with fewer interactions; ``max_history``
-    (off by default, changes the result) looks only at each user's newest rows.
-    Users with many items are split, see ``co_sums``.
+    ``min_support`` leaves out items with fewer interactions. Users with many
+    items are split, see ``co_sums``.
     """
-    if max_history is not None:
-        interactions = interactions.join(
-            user_history(interactions, max_history), ["user_id", "item_id"], "left_semi"
-        )
     counts = user_item_counts(interactions)
     norms = counts.groupBy("item_id").agg(
         F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("_norm"), F.sum("n").alias("_support")

@@ -15,6 +15,8 @@ from shelfwise.operators.ordering import ratio, rounded, top_k
 from shelfwise.session import cut_lineage
 
 MODEL_CODES = 16_384
+# Sub-codes of all parts together; parts times codes per part, both parameters.
+PART_CODES = 1 << 20
 
 
 def build_flat(vectors: DataFrame, dim: int | None = None) -> DataFrame:
@@ -49,16 +51,19 @@ def nearest_code(vectors: DataFrame, codebook: DataFrame, code: str = "code") ->
     """Add the code of the nearest centroid (squared distance, lowest code on ties).
 
     A codebook of at most ``MODEL_CODES`` rows travels to the tasks; a larger
-    one is searched block by block.
+    one is searched block by block, by the same distances. Without any centroid
+    every vector has code 0.
     """
     model = small_matrix(codebook, MODEL_CODES)
+    if model is not None and not len(model[0]):
+        return vectors.withColumn(code, F.lit(0).cast("bigint"))
     if model is None:
         centroids = codebook.select(F.col("code").cast("bigint").alias("item_id"), "embedding")
         queries = vectors.select(F.col("item_id").alias("query_id"), "embedding")
-        near = block_top_k(queries, centroids, 1, metric="l2").select(
+        near = block_top_k(queries, centroids, 1, metric="l2", digits=None).select(
             F.col("query_id").alias("item_id"), F.col("item_id").alias(code)
         )
-        return vectors.join(near, "item_id")
+        return vectors.join(near, "item_id", "left")
     shared = vectors.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("bigint")
@@ -169,9 +174,9 @@ def _pq_model(codebooks: DataFrame) -> np.ndarray:
     flat = codebooks.select(
         (F.col("sub").cast("bigint") * F.lit(1 << 20) + F.col("code")).alias("code"), "embedding"
     )
-    model = small_matrix(flat, MODEL_CODES)
-    if model is None:
-        raise ValueError("sub-codebooks exceed the model bound; use fewer bits")
+    model = small_matrix(flat, PART_CODES)
+    if model is None or not len(model[0]):
+        raise ValueError("no sub-codebooks, or beyond the model bound; use fewer bits")
     keys, rows = model
     parts = int(keys.max() >> 20) + 1
     return rows.reshape(parts, -1, rows.shape[1])
@@ -254,9 +259,9 @@ def lsh_search(
 
 
 def recall_at_k(
-    approximate: DataFrame, exact: DataFrame, sample: int | None = 1000
+    approximate: DataFrame, exact: DataFrame, sample: int | None = None
 ) -> DataFrame:
-    """One row: hits, expected and their ratio over the first ``sample`` queries (all if None)."""
+    """One row: hits, expected and their ratio over all queries, or the ``sample`` lowest ids."""
     if sample is not None:
         first = exact.select("query_id").distinct().orderBy("query_id").limit(sample)
         exact = exact.join(first, "query_id", "left_semi")
@@ -269,8 +274,11 @@ def recall_at_k(
 def add_items(
     index: DataFrame, new_vectors: DataFrame, centroids: DataFrame | None = None
 ) -> DataFrame:
-    """Upsert: new vectors replace rows of the same id, cells are not rebuilt."""
-    fresh = build_flat(new_vectors)
+    """Upsert: new vectors replace rows of the same id, cells are not rebuilt.
+
+    Of several new rows of one id the largest vector (by its numbers in order) stays.
+    """
+    fresh = build_flat(new_vectors.groupBy("item_id").agg(F.max("embedding").alias("embedding")))
     if centroids is not None:
         fresh = nearest_code(fresh, centroids, "cell")
     kept = index.join(fresh.select("item_id"), "item_id", "left_anti")

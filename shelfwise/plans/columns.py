@@ -12,7 +12,7 @@ from shelfwise.operators.ordering import dense_ids, rounded
 from shelfwise.plans.catalog import query
 from shelfwise.plans.views import DIM, Views
 
-CLEAN_SQL = r"trim(regexp_replace(title, '\s*\((?:19|20)\d{2}(?:-(?:19|20)\d{2})?\)\s*$', ''))"
+CLEAN_SQL = f"trim(regexp_replace(title, '{text.TITLE_YEAR}', ''))"
 
 
 @query("b02_clean_title", f"SELECT item_id, {CLEAN_SQL} AS clean_title FROM v_items")
@@ -81,12 +81,9 @@ def parsed_time(v: Views) -> DataFrame:
 )
 def filtered(v: Views) -> DataFrame:
     named = text.with_title(v.items).select("item_id", "title")
-    red = text.title_starts_with(named, "red").select("item_id", F.lit(True).alias("_red"))
-    widget = text.title_has_word(named, "WIDGET").select("item_id", F.lit(True).alias("_widget"))
-    marked = named.join(red, "item_id", "left").join(widget, "item_id", "left")
-    marked = marked.select(
-        "item_id", "title", F.coalesce("_red", F.lit(False)).alias("red"),
-        F.coalesce("_widget", F.lit(False)).alias("widget"),
+    marked = named.select(
+        "item_id", "title", text.starts_with("title", "red").alias("red"),
+        text.has_word("title", "WIDGET").alias("widget"),
     )
     return marked.where(F.col("red") | F.col("widget"))
 

@@ -115,19 +115,21 @@ def links(v: Views) -> DataFrame:
 
 @query(
     "a05_read_descriptions",
-    """SELECT 'Document ' || doc_id AS title, text AS description, lang AS genres
-         FROM documents WHERE text <> ''""",
+    """SELECT 'Document ' || doc_id AS title, coalesce(text, '') AS description, lang AS genres
+         FROM documents""",
 )
 def descriptions(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "descriptions")
     title = F.concat(F.lit("Document "), F.col("doc_id").cast("string"))
-    raw = v.table("documents").where(F.col("text") != "").select(
+    raw = v.table("documents").select(
         title.alias("Title"), F.col("text").alias("Overview"), F.col("lang").alias("Genre")
     )
     raw.write.option("header", True).option("quoteAll", True).option("escape", '"').option(
         "lineSep", "\n"
     ).csv(path)
-    return readers.read_descriptions(v.spark, path)
+    return readers.read_descriptions(v.spark, path).withColumn(
+        "description", F.coalesce("description", F.lit(""))
+    )
 
 
 def _served_tables(v: Views, kind: str) -> str:
@@ -222,11 +224,11 @@ def recommendations_json(v: Views) -> DataFrame:
 )
 def saved_index(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "index")
-    index, _ = vector_index.ivf_build(v.vectors, centroids=v.seed_codebook)
-    writers.save_index(index.select("item_id", "embedding", "cell"), path, by_cell=True)
+    index, centroids = vector_index.ivf_build(v.vectors, centroids=v.seed_codebook)
+    writers.save_index(index.select("item_id", "embedding", "cell"), path, True, centroids)
     loaded = writers.load_index(v.spark, path)
     return loaded.select(
-        "item_id", F.col("cell").cast("bigint").alias("cell"),
+        "item_id", "cell",
         F.posexplode("embedding").alias("dim", "x"),
     ).select("item_id", "cell", F.col("dim").cast("bigint").alias("dim"), F.round("x", 6).alias("x"))
 

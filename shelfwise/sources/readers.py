@@ -115,7 +115,7 @@ def read_texts(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame
     """
     texts = spark.read.parquet(path).select(F.col(key).alias("item_id"), "text")
     cores = spark.sparkContext.defaultParallelism
-    return texts.repartition(cores) if texts.rdd.getNumPartitions() < cores else texts
+    return texts.repartition(cores) if len(texts.inputFiles()) < cores else texts
 
 
 def read_interaction_log(spark: SparkSession, path: str) -> DataFrame:

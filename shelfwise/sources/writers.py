@@ -32,8 +32,15 @@ def write_token_corpus(df: DataFrame, path: str, col: str = "sentence") -> None:
     df.select(F.col(col).alias("value")).write.text(path)
 
 
-def save_index(index: DataFrame, path: str, by_cell: bool = False) -> None:
-    """Vectors with their ids; ``by_cell`` lays the files out for cell pruning."""
+def save_index(
+    index: DataFrame, path: str, by_cell: bool = False, centroids: DataFrame | None = None
+) -> None:
+    """Vectors with their ids; ``by_cell`` lays the files out for cell pruning.
+
+    The centroids of a clustered index go beside it, so it can be searched again.
+    """
+    if centroids is not None:
+        centroids.write.parquet(f"{path}.centroids")
     writer = index.write
     if by_cell:
         writer = writer.partitionBy("cell")
@@ -41,4 +48,9 @@ def save_index(index: DataFrame, path: str, by_cell: bool = False) -> None:
 
 
 def load_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    index = spark.read.parquet(path)
+    return index.withColumn("cell", F.col("cell").cast("bigint")) if "cell" in index.columns else index
+
+
+def load_centroids(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}.centroids")

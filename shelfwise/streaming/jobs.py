@@ -62,6 +62,9 @@ def stream_add_items(
 
 
 def read_index(batches: DataFrame) -> DataFrame:
-    """The current index from the batch folders: the newest row of every id."""
-    newest = top_k(batches, 1, by="batch_id", tie="batch_id", per="item_id")
+    """The current index from the batch folders: the newest row of every id.
+
+    Of several rows of one batch the one with the lowest vector wins.
+    """
+    newest = top_k(batches, 1, by="batch_id", tie="embedding", per="item_id")
     return newest.drop("rank", "batch_id")

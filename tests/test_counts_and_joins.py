@@ -45,8 +45,6 @@ def test_item_cosine_options(interactions):
     kept = {i for i, n in counted.items() if n >= 7}
     edges = similarity.item_cosine(interactions, min_support=7).collect()
     assert {r.item_id for r in edges} <= kept
-    short = similarity.item_cosine(interactions, max_history=3)
-    assert short.count() < similarity.item_cosine(interactions).count()
 
 
 @pytest.mark.parametrize("hot", [1, 3, 1000])
@@ -193,3 +191,12 @@ def test_block_products_over_many_blocks(spark, text):
     found = blocks.block_products(df, members=3, columns=2)
     got = found.groupBy("a", "b").agg(F.sum("product").alias("p")).collect()
     assert {(r.a, r.b): r.p for r in got} == dict(want)
+
+
+def test_pair_sums_do_not_depend_on_the_way(spark, rows):
+    data = [(g, m, float(w)) for g in range(3) for m, w in ((1, 0), (2, 1), (2, 2), (3, -1), (4, 5))]
+    df = spark.createDataFrame(data, "g long, m long, w double")
+    joined = rows(joins.co_sums(df, "g", "m", "w"))
+    assert rows(joins.co_sums(df, "g", "m", "w", dense=1)) == joined
+    assert rows(joins.co_sums(df, "g", "m", "w", hot=1)) == joined
+    assert len(joined) == 6

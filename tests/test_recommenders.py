@@ -154,3 +154,16 @@ def test_serving_plan_counts_empty_intervals(spark, rows):
     got = rows(counts.serving_plan(df, 1, 100, top=1), "interval", "item_id", "mean_rate", "planned")
     assert got == [(0, 1, None, 50), (0, 2, None, 50), (1, 1, 1.0, 100), (2, 1, 0.5, 100),
                    (3, 2, 0.366667, 100)]
+
+
+def test_popular_for_a_user_who_has_seen_the_pool(spark):
+    seen = [(1, i) for i in range(60)] + [(2, i) for i in range(100) for _ in range(2)] + [(3, 99)]
+    data = spark.createDataFrame(seen, "user_id long, item_id long").withColumn("ts", F.current_timestamp())
+    users = data.select("user_id").distinct()
+    found = ranking.recommend_popular(users, data, k=10, pool=30).collect()
+    mine = sorted((r["rank"], r["item_id"]) for r in found if r["user_id"] == 1)
+    counted = {i: sum(1 for _, x in seen if x == i) for i in range(100)}
+    want = sorted((i for i in range(60, 100)), key=lambda i: (-counted[i], i))[:10]
+    assert mine == [(n + 1, i) for n, i in enumerate(want)]
+    assert not [r for r in found if r["user_id"] == 2]
+    assert sum(r["user_id"] == 3 for r in found) == 10

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import blocks, id_quality, ranking, semantic_ids, similarity
 from shelfwise.operators import vector_index as index
+from shelfwise.sources import writers
 
 RNG = np.random.default_rng(3)
 DIM = 6
@@ -198,3 +199,61 @@ def test_joint_score_against_numpy(spark):
     want = (h @ layers[1]["weight"].T + layers[1]["bias"]).ravel()
     got = {r.item_id: r.score for r in ranking.joint_score(df, layers).collect()}
     assert all(abs(got[i] - want[i]) < 1e-9 for i in range(9))
+
+
+def test_top_k_of_large_scores(spark):
+    values = frame(spark, [[float(i), 1e5 * i] for i in range(300)])
+    found = blocks.block_top_k(frame(spark, [[1.0, 1e8]], "query_id"), values, 5).orderBy("rank").collect()
+    assert [r.item_id for r in found] == [299, 298, 297, 296, 295]
+
+
+def test_ties_go_to_the_lowest_id_and_exclusions_take_no_slot(spark):
+    values = frame(spark, [[1.0], [2.0], [2.0], [2.0], [0.5]])
+    asked = frame(spark, [[1.0]], "query_id")
+    out = spark.createDataFrame([(0, 1)], "query_id long, item_id long")
+    found = blocks.block_top_k(asked, values, 3, exclude=out).orderBy("rank").collect()
+    assert [r.item_id for r in found] == [2, 3, 0]
+    empty = values.where("item_id < 0")
+    assert blocks.block_top_k(asked, empty, 3, exclude=out).count() == 0
+
+
+def test_small_residuals_get_the_same_code_both_ways(spark, rows, monkeypatch):
+    x, c = 1e-4 * RNG.normal(size=(40, DIM)), 1e-4 * RNG.normal(size=(9, DIM))
+    vectors, book = frame(spark, x), frame(spark, c, "code")
+    small = rows(index.nearest_code(vectors, book), "item_id", "code")
+    monkeypatch.setattr(index, "MODEL_CODES", 3)
+    assert rows(index.nearest_code(vectors, book), "item_id", "code") == small
+    assert len({k for _, k in small}) > 1
+
+
+def test_skipped_level_keeps_every_vector(spark):
+    vectors = frame(spark, RNG.normal(size=(20, DIM)))
+    books = semantic_ids.fit_codebooks(vectors, [4, 100], init="first_k")
+    coded = semantic_ids.residual_quantize(vectors, books, 2)
+    assert coded.count() == 20
+    assert all(r["codes"][1] == 0 for r in coded.collect())
+    assert semantic_ids.reconstruct(coded, books, 2).count() == 20
+
+
+def test_many_parts_of_product_codes(spark):
+    width = 96
+    vectors = frame(spark, RNG.normal(size=(256, width)))
+    books = index.pq_first_k_codebooks(vectors, width, width, 8)
+    assert index.pq_encode(vectors, books).count() == 256
+
+
+def test_new_rows_of_one_id_leave_one(spark):
+    stock = index.build_flat(frame(spark, RNG.normal(size=(3, DIM))))
+    new = frame(spark, RNG.normal(size=(2, DIM)), "row").withColumn("item_id", F.lit(1).cast("long"))
+    both = index.add_items(stock, new.select("item_id", "embedding"))
+    assert both.count() == 3 and both.where("item_id = 1").count() == 1
+
+
+def test_reloaded_clustered_index_is_searchable(spark, rows, tmp_path):
+    vectors, asked = frame(spark, RNG.normal(size=(30, DIM))), frame(spark, RNG.normal(size=(4, DIM)), "query_id")
+    cells, centroids = index.ivf_build(vectors, nlist=4)
+    path = str(tmp_path / "index")
+    writers.save_index(cells, path, by_cell=True, centroids=centroids)
+    again = index.ivf_search(
+        writers.load_index(spark, path), writers.load_centroids(spark, path), asked, 5, nprobe=2)
+    assert rows(again) == rows(index.ivf_search(cells, centroids, asked, 5, nprobe=2))
