@@ -65,8 +65,7 @@ def paired_blocks(
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Give both sides the block keys (cell, _group, _tile).
 
-    The sizes per cell have one row per cell and cells are few by construction
-    (about the square root of the vectors, or a fixed number of buckets).
+    The sizes have one row per cell; Spark broadcasts them if they are small.
     """
     if "cell" not in index.columns:
         queries = queries.withColumn("cell", F.lit(0).cast("bigint"))
@@ -83,9 +82,9 @@ def paired_blocks(
     def every(of: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(of) - 1))
 
-    q = queries.join(F.broadcast(sizes), "cell")
+    q = queries.join(sizes, "cell")
     q = q.withColumn("_group", part(query_id, "_groups")).withColumn("_tile", every("_tiles"))
-    x = index.join(F.broadcast(sizes), "cell")
+    x = index.join(sizes, "cell")
     x = x.withColumn("_tile", part("item_id", "_tiles")).withColumn("_group", every("_groups"))
     keys = ["cell", "_group", "_tile"]
     return q.drop("_tiles", "_groups"), x.drop("_tiles", "_groups"), keys

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators.joins import attach_metadata
 from shelfwise.operators.ordering import global_position, ratio, rounded, rounded_blend, top_k
+from shelfwise.session import stored
 
 
 def item_counts(df: DataFrame) -> DataFrame:
@@ -128,8 +129,7 @@ def exact_quantile(
     ranks; only those are counted again at the next finer width, and at last by
     value. No task ever holds the values.
     """
-    values = values.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull())
-    base = values
+    base = stored(values.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull()), "values")
     picks = None
     for width in [*widths, 1]:
         slice_of = F.floor(F.col("_v") / width).cast("bigint")

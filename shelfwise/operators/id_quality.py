@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions import vectors as V
 from shelfwise.operators.blocks import block_distance_sums
 from shelfwise.operators.ordering import ratio, rounded, top_k
+from shelfwise.session import stored
 
 # Thresholds of the reports.
 USAGE_TARGET = 80.0
@@ -121,6 +122,7 @@ def silhouette(points: DataFrame, label: str = "label") -> DataFrame:
     The distance sums are exact and need every pair once, in blocks; only
     (point, label) sums are shuffled.
     """
+    points = stored(points.select("item_id", "embedding", label), "points")
     sizes = points.groupBy(F.col(label).alias("other")).agg(F.count("*").alias("members"))
     own = points.select("item_id", F.col(label).alias("own"))
     sums = block_distance_sums(points, label).join(sizes, "other").join(own, "item_id")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.session import cut_lineage
+from shelfwise.session import stored
 
 SCORE_DIGITS = 6
 HALF_NUDGE = 1e-9
@@ -70,8 +70,8 @@ def global_position(df: DataFrame, order: Sequence[Column], name: str = "positio
     """
     spark = df.sparkSession
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sliced = cut_lineage(
-        df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id())
+    sliced = stored(
+        df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()), "slices"
     )
     before = (
         sliced.groupBy("_slice")

@@ -13,7 +13,7 @@ from shelfwise.operators.ordering import leaf_numbers, rounded
 from shelfwise.operators.vector_index import (
     MODEL_CODES, first_k_codebook, kmeans_codebook, nearest_code, settle_codebook,
 )
-from shelfwise.session import cut_lineage
+from shelfwise.session import stored
 
 # Fixed values of the training rules.
 MIN_SPREAD = 1e-6
@@ -67,7 +67,7 @@ def fit_codebooks(
     books = None
     for level, size in enumerate(sizes):
         if level:
-            residuals = cut_lineage(residuals)
+            residuals = stored(residuals, "residuals")
         shape = vector_sums(residuals).select(
             "rows", (F.col("q") / F.col("n") - (F.col("s") / F.col("n")) ** 2).alias("variance")
         ).first()

@@ -12,7 +12,7 @@ from shelfwise.functions import vectors as V
 from shelfwise.functions.checks import vector_dim_check
 from shelfwise.operators.blocks import _scores, block_top_k, small_matrix
 from shelfwise.operators.ordering import ratio, rounded, top_k
-from shelfwise.session import cut_lineage
+from shelfwise.session import cut_lineage, stored
 
 MODEL_CODES = 16_384
 # Sub-codes of all parts together; parts times codes per part, both parameters.
@@ -135,7 +135,7 @@ def ivf_search(
         unit, centroids.select(F.col("code").alias("item_id"), "embedding"), nprobe, metric="l2"
     )
     probes = cells.select("query_id", F.col("item_id").alias("cell")).join(unit, "query_id")
-    return block_top_k(probes, index, k)
+    return block_top_k(stored(probes, "probes"), index, k)
 
 
 def sub_vectors(vectors: DataFrame, m: int, dim: int, key: str = "item_id") -> DataFrame:
