@@ -76,7 +76,28 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_report(table(spark, sf_dir, "documents"))
 
 
-@query("op10_parity_join")
+@query("op10_parity_join", r"""
+    WITH w AS (
+        SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+        FROM documents),
+    s AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    l AS (
+        SELECT p.a, p.b FROM (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y USING (g)
+            WHERE x.doc_id <> y.doc_id GROUP BY ALL) p
+        JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b
+        WHERE 100 * k >= 80 * (na.n + nb.n - k)),
+    r AS (
+        WITH RECURSIVE reach(s, t) AS (
+            SELECT a, b FROM l UNION SELECT reach.s, l.b FROM reach JOIN l ON reach.t = l.a)
+        SELECT s, min(t) AS m FROM reach GROUP BY s)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(r.m, d.doc_id)) AS component_id
+    FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN r ON r.s = d.doc_id
+""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfwise.llm.parity_join import jaccard_classes
 
@@ -96,8 +117,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH v AS (
         SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
         WHERE label IS NOT NULL AND embedding IS NOT NULL
-          AND len(list_filter(embedding, e -> e IS NULL OR NOT isfinite(e))) = 0
-          AND len(list_filter(embedding, e -> e <> 0)) > 0),
+          AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+          AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
     l AS (
         SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
         ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
