@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.functions.draws import draw
 from shelfwise.functions.text import sid_token
 from shelfwise.functions.vectors import dot
 from shelfwise.operators.blocks import block_logsumexp
@@ -113,8 +114,8 @@ def sample_negatives(
 ) -> DataFrame:
     """Targets plus uniform draws with replacement up to ``num_samples`` rows.
 
-    (position, item_id, is_target). A draw may hit a target. Draws are hashes
-    of (seed, position), so they repeat. The number of targets is counted once.
+    (position, item_id, is_target). A draw may hit a target. Draws follow from
+    (seed, position), so they repeat; the vocabulary is below 2^31. The number of targets is counted once.
     """
     spark = targets.sparkSession
     chosen = targets.select(
@@ -123,7 +124,7 @@ def sample_negatives(
     batch = targets.count()
     draws = spark.range(batch, max(batch, num_samples)).select(
         F.col("id").alias("position"),
-        F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(vocab_size)).cast("bigint").alias("item_id"),
+        (draw(seed, "id") % vocab_size).cast("bigint").alias("item_id"),
         F.lit(False).alias("is_target"),
     )
     return chosen.unionByName(draws)

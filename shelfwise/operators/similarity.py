@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import vectors as V
 from shelfwise.functions.text import words
+from shelfwise.functions.draws import draw as draw_of
 from shelfwise.operators.blocks import block_top_k
 from shelfwise.operators.counts import popularity, user_item_counts
 from shelfwise.operators.joins import (
@@ -414,14 +415,14 @@ def random_items(requests: DataFrame, items: DataFrame, k: int, seed: int = 42)
 
     Floyd's sampling over the dense item index: draw from a range that grows by
     one per step and take the new end when the draw was taken before. The draws
-    are hashes of (request, step, seed); only the k hits are joined to items.
+    follow from (request, step, seed), so there are fewer than 2^31 items; only the k hits are joined to items.
     """
     index = dense_ids(items, "item_id")
     n = F.col("_n")
     step_of = F.sequence(F.greatest(n - k, F.lit(0)), n - 1)
 
     def draw(taken: Column, end: Column) -> Column:
-        at = F.pmod(F.xxhash64("request_id", end, F.lit(seed)), end + 1)
+        at = draw_of(seed, "request_id", end) % (end + 1)
         return F.concat(taken, F.array(F.when(F.array_contains(taken, at), end).otherwise(at)))
 
     none = F.array().cast("array<bigint>")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.functions.draws import draw_sql
 from shelfwise.operators import counts, similarity
 from shelfwise.operators.ordering import rounded, top_k, user_history
 from shelfwise.plans.catalog import query
@@ -225,7 +226,21 @@ def routed(v: Views) -> DataFrame:
     )
 
 
-@query("f17_random_items")
+@query(
+    "f17_random_items",
+    f"""WITH v_d AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS d
+           FROM (SELECT DISTINCT item_id FROM v_items WHERE item_id IS NOT NULL)),
+         v_n AS (SELECT count(*) AS n FROM v_d)
+       SELECT request_id, item_id, rank FROM (
+         SELECT request_id, unnest(taken) AS d, unnest(range(1, len(taken) + 1)) AS rank FROM (
+           WITH RECURSIVE f AS (
+             SELECT request_id, greatest(n - 10, 0) AS e, CAST([] AS BIGINT[]) AS taken, n
+             FROM v_requests, v_n WHERE n > 0
+             UNION ALL
+             SELECT request_id, e + 1, list_append(taken, CASE WHEN list_contains(taken, x) THEN e ELSE x END), n
+             FROM (SELECT *, {draw_sql(42, "request_id", "e")} % (e + 1) AS x FROM f WHERE e < n))
+           SELECT * FROM f WHERE e = n)) JOIN v_d USING (d)""",
+)
 def random(v: Views) -> DataFrame:
     return similarity.random_items(v.requests, v.items, 10, seed=42)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.functions.draws import draw_sql
 from shelfwise.functions.vectors import dot
 from shelfwise.operators import sequences
 from shelfwise.operators.ordering import rounded
@@ -90,7 +91,17 @@ def targets(v: Views) -> DataFrame:
     return newest.select(F.col("user_id").alias("position"), F.col("l.item_id").alias("item_id"))
 
 
-@query("j06_sample_negatives")
+@query(
+    "j06_sample_negatives",
+    f"""WITH v_t AS (SELECT user_id, item_id FROM v_interactions QUALIFY row_number() OVER
+           (PARTITION BY user_id ORDER BY event_us DESC, item_id DESC) = 1),
+         v_b AS (SELECT (SELECT count(*) FROM v_t) AS lo, (SELECT count(*) FROM v_interactions) AS hi,
+           (SELECT count(*) FROM v_vectors) AS n)
+       SELECT user_id AS position, item_id, true AS is_target FROM v_t
+       UNION ALL
+       SELECT p AS position, {draw_sql(42, "p")} % n AS item_id, false AS is_target
+       FROM (SELECT unnest(range(lo, greatest(lo, hi))) AS p, n FROM v_b)""",
+)
 def negatives(v: Views) -> DataFrame:
     """As many draws as there are interactions, from the whole vocabulary of vectors."""
     return sequences.sample_negatives(targets(v), v.vectors.count(), v.interactions.count())

@@ -13,8 +13,7 @@ QUERIES = registered.QUERIES
 ORACLES = registered.ORACLES
 # Random or iterative fits, checked by their properties in the other tests.
 WITHOUT_SQL = {
-    "f17_random_items", "h04_ivf_build_kmeans", "h08_lsh_search", "i01_fit_codebooks_kmeans",
-    "j06_sample_negatives",
+    "h04_ivf_build_kmeans", "h08_lsh_search", "i01_fit_codebooks_kmeans",
 }
 
 
