@@ -34,7 +34,7 @@ from shelfwise.llm.shared import deal_out, stored
 from shelfwise.llm.texts import LOWER, U, hashed_words, pieces, word_bounds
 
 #: Labelled documents the classifier is fitted on, all domains together.
-SAMPLE = 2048
+SAMPLE = 3072
 FIT_STEPS = 300
 STEPS = 40
 #: Largest difference between a domain's share and its target at which the steps end.
@@ -43,7 +43,7 @@ CLOSE = 1e-4
 SETTLE = 0.1
 #: Hash buckets of words, and how many of them the classifier looks at.
 WORD_BITS = 15
-TOLD_WORDS = 16
+TOLD_WORDS = 12
 
 
 def word_buckets(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -53,28 +53,28 @@ def word_buckets(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return flat >> WORD_BITS, flat & ((1 << WORD_BITS) - 1)
 
 
-def told_words(told: DataFrame, text_col: str, domain_col: str, domains: list, shares: np.ndarray) -> np.ndarray:
-    """The buckets whose presence says most about the domain (chi-squared over all labelled texts)."""
+def told_words(picked: DataFrame, domains: list) -> np.ndarray:
+    """The buckets whose presence in the sample says most about the domain (chi-squared)."""
     k, size = len(domains), 1 << WORD_BITS
     number = {d: i for i, d in enumerate(domains)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((k, size), np.int64)
         for batch in batches:
-            label = np.array([number.get(d, -1) for d in batch.column(1).to_pylist()], int)
+            label = np.array([number[d] for d in batch.column(1).to_pylist()], int)
             for first, end, data, at in pieces(batch.column(0)):
                 rows, bucket = word_buckets(data, at)
-                of = label[first:end][rows]
-                held += np.bincount(of[of >= 0] * size + bucket[of >= 0], minlength=k * size).reshape(k, size)
-        at = np.flatnonzero(held.ravel())
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held.ravel()[at])], names=["at", "n"])
+                where, n = np.unique(label[first:end][rows] * size + bucket, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(where), pa.array(n)], names=["at", "n"])
 
-    sums = told.select(text_col, domain_col).mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    shares = np.zeros(k)
+    for r in picked.groupBy("domain").count().collect():
+        shares[number[r["domain"]]] = r["count"]
+    sums = picked.select("text", "domain").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
     held = np.zeros(k * size)
     for r in sums.collect():  # one row per domain and bucket at most
         held[r["at"]] = r["n"]
     held = held.reshape(k, size)
-    expected = shares[:, None] * held.sum(0) / shares.sum()
+    expected = shares[:, None] * held.sum(0) / max(shares.sum(), 1)
     absent = shares[:, None] - expected
     chi = ((held - expected) ** 2 * (1 / np.maximum(expected, 1e-9) + 1 / np.maximum(absent, 1e-9))).sum(0)
     return np.sort(np.argsort(-np.where(held.sum(0) > 0, chi, 0), kind="stable")[:TOLD_WORDS])
@@ -97,7 +97,7 @@ def domain_counter(chosen: np.ndarray):
 
 def features(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """TF-IDF of the shapes and the plain presence of the chosen words."""
-    return np.concatenate([weighted(counts[:, :SHAPE_DIMS], idf), 3 * counts[:, SHAPE_DIMS:].astype(np.float32)], axis=1)
+    return np.concatenate([weighted(counts[:, :SHAPE_DIMS], idf), 10 * counts[:, SHAPE_DIMS:].astype(np.float32)], axis=1)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -105,8 +105,8 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def fit_softmax(rows: np.ndarray, label: np.ndarray, k: int, steps: int = FIT_STEPS, rate: float = 1.0,
-                shrink: float = 1e-3) -> np.ndarray:
+def fit_softmax(rows: np.ndarray, label: np.ndarray, k: int, steps: int = FIT_STEPS, rate: float = 0.3,
+                shrink: float = 1e-4) -> np.ndarray:
     """Weights (features + 1 x classes) of a softmax regression, by gradient steps with momentum."""
     rows = np.concatenate([rows, np.ones((len(rows), 1), rows.dtype)], 1)
     truth = np.eye(k, dtype=np.float32)[label]
@@ -119,32 +119,36 @@ def fit_softmax(rows: np.ndarray, label: np.ndarray, k: int, steps: int = FIT_ST
     return w
 
 
-def fit_domains(labelled: DataFrame, id_col: str, text_col: str, domain_col: str, bound: int = SAMPLE) -> dict:
-    """The classifier: fitted on equal parts per domain, its posteriors corrected to the domains' shares."""
-    told = deal_out(labelled.where(F.col(domain_col).isNotNull()))
-    shares = {r[domain_col]: r["count"] for r in sample_shares(told, domain_col, bound)}
+def fit_domains(texts: DataFrame, labelled: DataFrame, id_col: str, text_col: str, domain_col: str,
+                bound: int = SAMPLE) -> dict:
+    """The classifier: fitted on equal parts per domain, its posteriors corrected to the domains' shares.
+
+    Document frequencies count all texts and shares all labels; only ids meet
+    the labels in a join, texts are fetched for the sample alone.
+    """
+    here = labelled.where(F.col(domain_col).isNotNull()).select(id_col, F.col(domain_col).alias("domain")).join(
+        texts.select(id_col).distinct(), id_col, "left_semi")
+    here = stored(here, "labelled-ids")
+    shares = {r["domain"]: r["count"] for r in here.groupBy("domain").count().orderBy(
+        F.desc("count"), "domain").limit(bound).collect()}
     domains = sorted(shares)
     if not domains:
         return {"domains": []}
     prior = np.array([shares[d] for d in domains], float)
-    n, held = document_frequencies(told, text_col, shape_counts, SHAPE_DIMS)
+    n, held = document_frequencies(deal_out(texts), text_col, shape_counts, SHAPE_DIMS)
     idf = smooth_idf(n, held)
-    chosen = told_words(told, text_col, domain_col, domains, prior)
-    ids = sample_ids(told, id_col, [domain_col], bound)
-    picked = told.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
-    rows = counted(picked, "text", ["id", domain_col], domain_counter(chosen)).orderBy("id").collect()[:bound]
-    label = np.array([domains.index(r[domain_col]) for r in rows])
+    ids = sample_ids(here, id_col, ["domain"], bound)
+    picked = stored(deal_out(texts).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
+        F.broadcast(ids), "id"), "labelled-texts")
+    chosen = told_words(picked, domains)
+    rows = counted(picked, "text", ["id", "domain"], domain_counter(chosen)).orderBy("id").collect()[:bound]
+    label = np.array([domains.index(r["domain"]) for r in rows])
     weights = fit_softmax(features(unpack(rows, SHAPE_DIMS + len(chosen)), idf), label, len(domains))
     fitted = np.bincount(label, minlength=len(domains)) / len(label)
     return {"domains": domains, "idf": idf, "chosen": chosen, "weights": weights,
             "shift": np.log(prior / prior.sum() / np.maximum(fitted, 1e-9))}
 
 
-def sample_shares(told: DataFrame, domain_col: str, bound: int) -> list:
-    """Rows per domain, of the ``bound`` most frequent domains."""
-    return told.groupBy(domain_col).count().orderBy(F.desc("count"), domain_col).limit(bound).collect()
-
-
 def posteriors(df: DataFrame, text_col: str, model: dict, keep: list[str]) -> DataFrame:
     """The kept columns with tokens and the posterior of each domain, in the model's order."""
     shared = df.sparkSession.sparkContext.broadcast(model)
@@ -276,7 +280,7 @@ def mixed(documents: DataFrame, labelled: DataFrame, targets: dict[str, float],
     ``labelled`` has one row per id with its domain.
     """
     docs = documents.select(F.col(id_col), F.col(text_col))
-    model = fit_domains(docs.join(labelled.select(id_col, domain_col), id_col), id_col, text_col, domain_col)
+    model = fit_domains(docs, labelled, id_col, text_col, domain_col)
     mix = stored(posteriors(deal_out(docs), text_col, model, [id_col]), "posteriors")
     taken = solve(mix, model["domains"], targets, anchor=anchor)
     out = rated(mix, taken, id_col)
