@@ -14,8 +14,8 @@ copies are never paired. Of the sets that share a word, first only the links to
 the smallest are verified; then, within the groups that are not yet one
 component, the pairs between different components. A pair inside a component
 cannot change the result, every other candidate pair is verified, so no link
-between different texts is lost. A second parity sketch of 512 bits rejects
-candidates before their texts are read.
+between different texts is lost. A second parity sketch, of about two bits per
+shingle, rejects candidates by its Hamming distance before their texts are read.
 
 Defined results: a text without words (or null) has an empty set and is its own
 component; with fewer than five words the whole sequence is the one shingle; a
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.components import components
@@ -38,15 +38,12 @@ from shelfwise.llm.texts import U, hashed_words, mix, pieces
 WORDS = 5
 #: The threshold as a fraction of whole numbers: similarity of at least NUM / DEN.
 NUM, DEN = 80, 100
-SKETCH_BITS = 512
-LONGS = SKETCH_BITS // 64
 LEAST_WORDS = 64
 HELD = 2 << 20
 #: Entries of a bucket of the word join, and members of a tile of a large group.
 BUCKET_ROWS = 1 << 20
 TILE = 1024
 
-SKETCHES = [f"s{i}" for i in range(LONGS)]
 PARTS = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("nodes", pa.binary())])
 
 
@@ -65,7 +62,16 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, size: int = WORDS) -> tuple[n
         inside = i < length[rows]
         code = np.where(inside, code * U(0x9E3779B97F4A7C15) + words[np.minimum(starts + i, max(len(words) - 1, 0))], code)
     code = mix(code + length[rows].astype(U))
-    order = np.lexsort((code, rows))
+    # Rows and the leading bits of the hashes sort as one number; ties of those are rare.
+    order = None
+    if n < 1 << 20:
+        key = (rows.astype(U) << U(44)) | (code >> U(20))
+        order = np.argsort(key)
+        key = key[order]
+        if ((key[1:] == key[:-1]) & (code[order[1:]] != code[order[:-1]])).any():
+            order = None
+    if order is None:
+        order = np.lexsort((code, rows))
     rows, code = rows[order], code[order]
     new = np.ones(len(rows), bool)
     new[1:] = (rows[1:] != rows[:-1]) | (code[1:] != code[:-1])
@@ -82,11 +88,30 @@ def digests(rows: np.ndarray, code: np.ndarray, n_rows: int) -> tuple[np.ndarray
     return size, total
 
 
-def bit_sketches(rows: np.ndarray, code: np.ndarray, n_rows: int) -> np.ndarray:
-    """Parity of the shingles on each of 512 bits, as rows of 64-bit numbers."""
-    bit = (code & U(SKETCH_BITS - 1)).astype(np.int64)
-    odd = np.bincount(rows * SKETCH_BITS + bit, minlength=n_rows * SKETCH_BITS) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(n_rows, SKETCH_BITS), axis=1).view(np.int64)
+def bit_sketches(rows: np.ndarray, code: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """Parity of the shingles on each bit of a sketch; its bits grow with the size, 64 at least.
+
+    A sketch folds onto half its bits by exclusive or, so two of different
+    lengths are compared at the shorter one.
+    """
+    band = np.zeros(len(size), np.int64)
+    band[size > 0] = np.floor(np.log2(size[size > 0])).astype(np.int64)
+    bits = np.int64(64) << np.maximum(band - 5, 0)
+    offset = np.append(0, np.cumsum(bits))
+    at = offset[rows] + (code & (bits[rows] - 1).astype(U)).astype(np.int64)
+    odd = (np.bincount(at, minlength=int(offset[-1])) & 1).astype(np.uint8)
+    packed = np.packbits(odd, bitorder="little")
+    return [packed[offset[i] // 8: offset[i + 1] // 8].tobytes() for i in range(len(size))]
+
+
+def folded(sketches: np.ndarray, length: int) -> np.ndarray:
+    """Sketches (rows x longs) folded to so many longs."""
+    return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, length), axis=1)
+
+
+def most_apart(both):
+    """Largest symmetric difference of two linked sets with so many elements together."""
+    return both - 2 * -(-both * NUM // (NUM + DEN))
 
 
 def bands(size: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -139,7 +164,7 @@ def sketch_words(rows: np.ndarray, code: np.ndarray, part: np.ndarray, band: np.
         return rows, code
     k = words_of(band, factors[np.maximum(band, 0)])
     word = _picked(code, k[rows])
-    order = np.argsort(rows * int(k.max()) + word, kind="stable")
+    order = np.argsort(rows * int(k.max()) + word)
     rows, code, word = rows[order], code[order], word[order]
     new = np.ones(len(rows), bool)
     new[1:] = (rows[1:] != rows[:-1]) | (word[1:] != word[:-1])
@@ -169,13 +194,10 @@ def sketched(docs: DataFrame) -> DataFrame:
                     out = out.append_column(f"band_{name}", pa.array(band))
                     out = out.append_column(f"factor_{name}", pa.array(
                         factor_needed(rows, code, end - first, part, band, differ).astype(np.int64)))
-                sketch = bit_sketches(rows, code, end - first)
-                for i, name in enumerate(SKETCHES):
-                    out = out.append_column(name, pa.array(np.ascontiguousarray(sketch[:, i])))
-                yield out
+                yield out.append_column("sketch", pa.array(bit_sketches(rows, code, size), pa.binary()))
 
     columns = [f"doc_id {id_type}", "n long", "node long", "band_own long", "factor_own long", "band_below long",
-               "factor_below long", *[f"{s} long" for s in SKETCHES]]
+               "factor_below long", "sketch binary"]
     return docs.mapInArrow(build, ", ".join(columns))
 
 
@@ -234,20 +256,27 @@ def shared_words(docs: DataFrame, factors: dict[int, int], entries: int) -> Data
         meet, "word long, leader long, node long")
 
 
-def most_apart(both: Column) -> Column:
-    """Largest symmetric difference of two linked sets with so many elements together."""
-    return both - 2 * F.ceil(both * NUM / (NUM + DEN))
-
-
 def close_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sizes and bit sketches allow a link."""
-    side = lambda s: nodes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"),
-                                  *[F.col(c).alias(f"{c}_{s}") for c in SKETCHES])
-    apart = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in SKETCHES), F.lit(0))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = np.zeros(batch.num_rows, bool)
+            most = most_apart(batch.column(2).to_numpy())
+            left, right = batch.column(3), batch.column(4)
+            for i in range(batch.num_rows):
+                x, y = (np.frombuffer(c[i].as_buffer(), U)[None, :] for c in (left, right))
+                length = min(x.shape[1], y.shape[1])
+                near[i] = np.bitwise_count(folded(x, length) ^ folded(y, length)).sum() <= most[i]
+            yield batch.filter(pa.array(near)).select([0, 1])
+
+    side = lambda s: nodes.select(
+        F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
     return (
         pairs.join(side("a"), "a").join(side("b"), "b")
         .where(F.least("n_a", "n_b") * DEN >= F.greatest("n_a", "n_b") * NUM)
-        .where(apart <= most_apart(F.col("n_a") + F.col("n_b"))).select("a", "b"))
+        .select("a", "b", (F.col("n_a") + F.col("n_b")).alias("both"), "sketch_a", "sketch_b")
+        .mapInArrow(compare, "a long, b long"))
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -295,7 +324,7 @@ def pairs_between(groups: DataFrame, nodes: DataFrame, parts: DataFrame) -> Data
     so that a task compares two tiles at most.
     """
     member = groups.select("word", "node").join(
-        nodes.select("node", "first_id", "n", *SKETCHES), "node").join(
+        nodes.select("node", "first_id", "n", "sketch"), "node").join(
         parts.withColumnRenamed("node", "first_id"), "first_id", "left").withColumn(
         "component", F.coalesce("component", "first_id")).drop("first_id")
     member = stored(member, "members")
@@ -316,26 +345,31 @@ def pairs_between(groups: DataFrame, nodes: DataFrame, parts: DataFrame) -> Data
         order = np.lexsort((high, low, word))
         word, low, high = word[order], low[order], high[order]
         node, n, part, own = (table[c].to_numpy()[order] for c in ("node", "n", "component", "own"))
-        sketch = np.stack([table[c].to_numpy()[order] for c in SKETCHES], 1).view(U)
+        sketches = table["sketch"].take(pa.array(order)).to_pylist()
+        length = np.array([len(x) // 8 for x in sketches])
         new = np.ones(len(word), bool)
         new[1:] = (word[1:] != word[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
         cuts = np.append(np.flatnonzero(new), len(word))
         found = [np.zeros((0, 2), np.int64)]
         for s, e in zip(cuts[:-1], cuts[1:]):
-            if low[s] == high[s]:
-                left = right = np.arange(s, e)
-            else:
-                left, right = (np.arange(s, e)[own[s:e] == t] for t in (low[s], high[s]))
-            for i in left:
-                at = right[right > i] if low[s] == high[s] else right
-                at = at[part[at] != part[i]]
-                fits = (np.minimum(n[at], n[i]) * DEN >= np.maximum(n[at], n[i]) * NUM)
-                at = at[fits]
-                both = n[at] + n[i]
-                apart = np.bitwise_count(sketch[at] ^ sketch[i]).sum(1, dtype=np.int64)
-                at = at[apart <= both - 2 * -(-both * NUM // (NUM + DEN))]
-                pair = np.stack([np.full(len(at), node[i]), node[at]], 1)
-                found.append(np.sort(pair, 1))
+            members = np.arange(s, e)
+            # Linked sets lie in one band or in neighbours, so sketches have one length or its double.
+            for size in np.unique(length[members]):
+                short, long = (members[length[members] == x] for x in (size, 2 * size))
+                both = np.concatenate([short, long])
+                rows = np.concatenate([
+                    folded(np.frombuffer(b"".join(sketches[i] for i in at), U).reshape(len(at), -1), size)
+                    if len(at) else np.zeros((0, size), U) for at in (short, long)])
+                for k, i in enumerate(short):
+                    at = np.arange(k + 1, len(both))
+                    at = at[part[both[at]] != part[i]]
+                    if low[s] != high[s]:
+                        at = at[own[both[at]] != own[i]]
+                    m = n[both[at]]
+                    at = at[np.minimum(m, n[i]) * DEN >= np.maximum(m, n[i]) * NUM]
+                    apart = np.bitwise_count(rows[at] ^ rows[k]).sum(1, dtype=np.int64)
+                    at = both[at[apart <= most_apart(n[both[at]] + n[i])]]
+                    found.append(np.sort(np.stack([np.full(len(at), node[i]), node[at]], 1), 1))
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -349,7 +383,7 @@ def jaccard_classes(documents: DataFrame, id_col: str = "doc_id", text_col: str
     nodes = stored(
         sketches.where("n > 0 and doc_id is not null").groupBy("node")
         .agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"),
-             *[F.max(c).alias(c) for c in SKETCHES]), "nodes")
+             F.max("sketch").alias("sketch")), "nodes")
     need = sketches.select(F.col("band_own").alias("band"), F.col("factor_own").alias("factor"), "n").union(
         sketches.select("band_below", "factor_below", "n")).where("factor > 0").groupBy("band").agg(
         F.max("factor").alias("factor"), F.sum("n").alias("n")).collect()  # one row per band
