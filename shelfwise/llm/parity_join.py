@@ -39,9 +39,9 @@ WORDS = 5
 #: The threshold as a fraction of whole numbers: similarity of at least NUM / DEN.
 NUM, DEN = 80, 100
 LEAST_WORDS = 64
-HELD = 2 << 20
+HELD = 1 << 20
 #: Entries of a bucket of the word join, and members of a tile of a large group.
-BUCKET_ROWS = 1 << 20
+BUCKET_ROWS = 1 << 19
 TILE = 1024
 
 PARTS = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("nodes", pa.binary())])
@@ -400,7 +400,8 @@ def jaccard_classes(documents: DataFrame, id_col: str = "doc_id", text_col: str
     if not rest.isEmpty():
         more = stored(as_ids(verified(rest, nodes, docs)), "links")
         if not more.isEmpty():
-            parts = stored(components(links.union(more), "id_a", "id_b"), "parts")
+            known = parts.select(F.col("node").alias("id_a"), F.col("component").alias("id_b"))
+            parts = stored(components(known.union(more), "id_a", "id_b"), "parts")
     classes = stored(
         nodes.select("node", "first_id").join(parts.withColumnRenamed("node", "first_id"), "first_id", "left")
         .select("node", F.coalesce("component", "first_id").alias("component_id")), "classes")

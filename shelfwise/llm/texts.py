@@ -13,8 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 4 << 20
-HASHED_AT_ONCE = 1 << 20
+PIECE = 1 << 20
+HASHED_AT_ONCE = 1 << 19
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 U = np.uint64
