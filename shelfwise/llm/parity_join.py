@@ -42,7 +42,7 @@ LEAST_WORDS = 64
 HELD = 1 << 20
 #: Entries of a bucket of the word join, and members of a tile of a large group.
 BUCKET_ROWS = 1 << 19
-TILE = 1024
+TILE = 4096
 
 PARTS = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("nodes", pa.binary())])
 
@@ -321,9 +321,10 @@ def pairs_between(groups: DataFrame, nodes: DataFrame, parts: DataFrame) -> Data
     """Pairs (a, b) that share a word, lie in different components and may be linked.
 
     Groups that are one component are dropped; a large group is cut into tiles,
-    so that a task compares two tiles at most.
+    so that a task compares two tiles of it at most. Groups with one leader have
+    mostly the same members and go to one task, which passes a pair on once.
     """
-    member = groups.select("word", "node").join(
+    member = groups.select("word", "leader", "node").join(
         nodes.select("node", "first_id", "n", "sketch"), "node").join(
         parts.withColumnRenamed("node", "first_id"), "first_id", "left").withColumn(
         "component", F.coalesce("component", "first_id")).drop("first_id")
@@ -337,8 +338,8 @@ def pairs_between(groups: DataFrame, nodes: DataFrame, parts: DataFrame) -> Data
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         .withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
-        .withColumn("task", F.when(F.col("tiles") > 1, F.xxhash64("word", "low", "high"))
-                    .otherwise(F.pmod(F.xxhash64("word"), F.lit(4096)))))
+        .withColumn("task", F.when(F.col("tiles") > 1, F.xxhash64("leader", "tiles", "low", "high"))
+                    .otherwise(F.pmod(F.xxhash64("leader"), F.lit(4096)))))
 
     def pair_up(key, table):
         word, low, high = (table[c].to_numpy() for c in ("word", "low", "high"))
@@ -396,7 +397,8 @@ def jaccard_classes(documents: DataFrame, id_col: str = "doc_id", text_col: str
     as_ids = lambda links: links.join(id_of("a"), "a").join(id_of("b"), "b").select("id_a", "id_b")
     links = stored(as_ids(verified(first, nodes, docs)), "links")
     parts = stored(components(links, "id_a", "id_b"), "parts")
-    rest = stored(pairs_between(groups, nodes, parts).join(first, ["a", "b"], "left_anti"), "pairs")
+    rest = stored(pairs_between(groups, nodes, parts), "pairs").join(first, ["a", "b"], "left_anti")
+    rest = stored(rest, "pairs")
     if not rest.isEmpty():
         more = stored(as_ids(verified(rest, nodes, docs)), "links")
         if not more.isEmpty():
