@@ -27,7 +27,7 @@ from shelfwise.llm.shared import by_crc, deal_out
 from shelfwise.llm.texts import pieces
 
 #: Labelled documents that span the space and vote, both labels together.
-SAMPLE = 4096
+SAMPLE = 2048
 RANK = 64
 NEIGHBOURS = 25
 #: Documents per block of cosines: 1024 x SAMPLE numbers.
@@ -47,14 +47,18 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
-def fit_voters(labelled: DataFrame, id_col: str, text_col: str, label_col: str, bound: int = SAMPLE,
-               rank: int = RANK) -> dict:
-    """Model from labelled rows (one row per id): idf of all of them, space and vectors of the sample."""
-    told = deal_out(labelled.where(F.col(label_col).isNotNull()))
-    n, held = document_frequencies(told, text_col, shape_counts, SHAPE_DIMS)
+def fit_voters(texts: DataFrame, labelled: DataFrame, id_col: str, text_col: str, label_col: str,
+               bound: int = SAMPLE, rank: int = RANK) -> dict:
+    """Model from training texts and labels (one row per id): idf of all texts, space and vectors of the sample.
+
+    Only ids meet the labels in a join; texts are fetched for the sample alone.
+    """
+    n, held = document_frequencies(deal_out(texts), text_col, shape_counts, SHAPE_DIMS)
     idf = smooth_idf(n, held)
-    ids = sample_ids(told, id_col, [label_col], bound)
-    picked = told.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
+    here = labelled.join(texts.select(id_col).distinct(), id_col, "left_semi")
+    ids = sample_ids(here, id_col, [label_col], bound)
+    picked = deal_out(texts).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
+        F.broadcast(ids), "id")
     rows = counted(picked, "text", ["id", label_col], shape_counts).orderBy("id").collect()[:bound]
     if not rows:
         return {"idf": idf, "space": np.zeros((SHAPE_DIMS, 0), np.float32), "voters": np.zeros((0, 0), np.float32),
@@ -102,5 +106,5 @@ def quality_report(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Score of every document; labels are learned where crc32(doc_id) mod 4 is not 2."""
     docs = documents.select("doc_id", "text").withColumn("held_out", by_crc("doc_id", 4) == 2)
     told = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).where(by_crc("doc_id", 4) != 2)
-    model = fit_voters(docs.join(told, "doc_id"), "doc_id", "text", "quality")
+    model = fit_voters(docs.where(~F.col("held_out")), told, "doc_id", "text", "quality")
     return score_quality(deal_out(docs), "text", model, ["doc_id", "held_out"])
