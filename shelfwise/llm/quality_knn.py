@@ -27,7 +27,7 @@ from shelfwise.llm.shared import by_crc, deal_out
 from shelfwise.llm.texts import pieces
 
 #: Labelled documents that span the space and vote, both labels together.
-SAMPLE = 2048
+SAMPLE = 4096
 RANK = 64
 NEIGHBOURS = 25
 #: Documents per block of cosines: 1024 x SAMPLE numbers.
@@ -35,12 +35,18 @@ BLOCK = 1024
 ACCEPT = 0.7
 
 
-def latent_space(rows: np.ndarray, rank: int) -> np.ndarray:
-    """The leading right singular vectors (features x rank), from the small Gram matrix of the rows."""
-    values, left = np.linalg.eigh(rows @ rows.T)
-    order = np.argsort(values)[::-1][:rank]
-    order = order[values[order] > 1e-6 * max(values.max(initial=0), 1e-12)]
-    return (rows.T @ left[:, order]) / np.sqrt(values[order])
+def latent_space(rows: np.ndarray, rank: int, steps: int = 6) -> np.ndarray:
+    """The leading right singular vectors (features x rank), by subspace iteration.
+
+    Beside the rows only matrices of ``rank`` + 16 columns are held.
+    """
+    width = min(rank + 16, *rows.shape)
+    basis = np.random.RandomState(0).standard_normal((rows.shape[1], width)).astype(rows.dtype)
+    for _ in range(steps):
+        basis = np.linalg.qr(rows.T @ (rows @ basis))[0]
+    _, values, right = np.linalg.svd(rows @ basis, full_matrices=False)
+    kept = values[:rank] > 1e-3 * max(values.max(initial=0), 1e-12)
+    return basis @ right[:rank][kept].T
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
