@@ -94,7 +94,11 @@ def sample_ids(df: DataFrame, id_col: str, label_cols: list[str], bound: int) ->
         pairs = pairs.where(F.col(c).isNotNull())
     labels = pairs.groupBy(*label_cols).count().orderBy(F.desc("count"), *label_cols).limit(bound).collect()
     each = max(1, bound // max(1, len(labels)))
-    pairs = pairs.withColumn("h", F.xxhash64("id"))
+    # Only hashes low enough to be among the first few of their label go into the ranking.
+    share = [(*[r[c] for c in label_cols], min(1.0, 2 * (each + 16) / r["count"])) for r in labels]
+    cuts = spark.createDataFrame(share, pairs.select(*label_cols).schema.add("cut", "double"))
+    pairs = pairs.withColumn("h", F.xxhash64("id")).join(F.broadcast(cuts), label_cols).where(
+        F.col("h").cast("double") / 2.0 ** 64 + 0.5 <= F.col("cut"))
     ranked = pairs.withColumn("r", F.row_number().over(
         Window.partitionBy(*label_cols).orderBy("h", "id"))).where(F.col("r") <= each)
     picked = ranked.select("id", *label_cols).collect()[:bound]  # at most ``bound`` ids
@@ -143,9 +147,12 @@ def document_frequencies(texts: DataFrame, text_col: str, counter: Counter, dims
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """TF-IDF rows of length one: (1 + log tf) * idf; an empty row stays zero."""
-    w = np.log1p(counts, dtype=np.float32) * idf.astype(np.float32)
-    norm = np.sqrt((w * w).sum(1, keepdims=True))
-    return w / np.where(norm > 0, norm, 1)
+    w = counts.astype(np.float32)
+    np.log1p(w, out=w)
+    w *= idf.astype(np.float32)
+    norm = np.sqrt(np.einsum("ij,ij->i", w, w))[:, None]
+    w /= np.where(norm > 0, norm, 1)
+    return w
 
 
 def smooth_idf(n: int, held: np.ndarray) -> np.ndarray:
