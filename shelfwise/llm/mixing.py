@@ -3,23 +3,22 @@
 A classifier learned from a labelled table gives every document posteriors over
 the domains. The rates solve a nonnegative least-squares problem, one variable
 per document: the expected tokens of each domain (rate x tokens x posterior)
-shall be its target. It is solved by projected gradient steps with momentum; a
-step needs only the totals per domain, so each one is a distributed sum of a few
-numbers. A rate is a function of its posteriors and of the past totals, hence
-nothing per document is stored between the steps and a lost task repeats them.
-
-Steps are taken in the metric of the documents' tokens, whose curvature is the
-largest eigenvalue of a small matrix; starting from rate 1, the solution changes
-the corpus as little as it can.
+shall be its target. Of all solutions it takes the one that changes the corpus
+least: rates nearest to 1, weighted by tokens. Such a rate is 1 + a weighted sum
+of the document's posteriors, cut at 0, so the unknowns are one number per
+domain. Newton steps find them; a step needs the totals per domain and a small
+matrix, a distributed sum of a few numbers. Nothing per document is stored
+between the steps and a lost task repeats them.
 
 Defined results: a null or empty text has no tokens and the classifier's view
 of an empty text; a domain without target has target 0; an unreachable target
-leaves the nearest mix; repeated rows have equal rates; without labels every
+leaves the nearest mix and a warning; repeated rows have equal rates; without labels every
 rate is 1. Of repeated labels of a document the lowest counts.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +35,14 @@ from shelfwise.llm.texts import LOWER, U, hashed_words, pieces, word_bounds
 #: Labelled documents the classifier is fitted on, all domains together.
 SAMPLE = 3072
 FIT_STEPS = 300
-STEPS = 40
-#: Largest difference between a domain's share and its target at which the steps end.
+#: Newton steps after which a fit that has not ended is an error.
+STEPS = 200
+#: Largest difference between a domain's total and its target, as a share of the target, at which the steps end.
 CLOSE = 1e-4
+#: Weight of the change against the squared distance from the targets: made smaller until the targets are met.
+CHANGE = [1e-2, 1e-4, 1e-6, 1e-8, 1e-10]
+#: Step lengths tried in one pass.
+LENGTHS = 0.5 ** np.arange(8)
 #: A rate this near to a whole number is that number of copies.
 SETTLE = 0.1
 #: Hash buckets of words, and how many of them the classifier looks at.
@@ -179,91 +183,94 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def followed(p: np.ndarray, steps: list[tuple[float, float, list[float]]], ahead: float = 0.0) -> np.ndarray:
-    """Rates after the given steps (momentum, step size, residuals), extrapolated by ``ahead``."""
-    rate = before = np.ones(len(p))
-    for momentum, size, residual in steps:
-        look = rate + momentum * (rate - before)
-        before, rate = rate, np.maximum(look - size * (p @ np.array(residual)), 0.0)
-    return rate + ahead * (rate - before)
+def rates_of(p: np.ndarray, pull: np.ndarray, most: float) -> np.ndarray:
+    """The rates that the pull of each domain gives rows of posteriors."""
+    return np.clip(1 + p @ np.asarray(pull, float), 0.0, most)
 
 
-def totals(mix: DataFrame, k: int, steps: list, ahead: float) -> np.ndarray:
-    """Expected tokens per domain of the extrapolated rates; every task sends its sums."""
+def totals(mix: DataFrame, pulls: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray]:
+    """Expected tokens per domain for each row of ``pulls``, and how those of the first change with its pull."""
+    m, k = pulls.shape
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(k)
+        held, change = np.zeros((m, k)), np.zeros((k, k))
         for batch in batches:
             if batch.num_rows:
-                p = _matrix(batch.column(1))
-                held += (followed(p, steps, ahead) * batch.column(0).to_numpy()) @ p
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k)), pa.array(held)], names=["d", "x"])
-
-    out = np.zeros(k)
+                p, tokens = _matrix(batch.column(1)), batch.column(0).to_numpy().astype(float)
+                for i in range(m):
+                    held[i] += (rates_of(p, pulls[i], most) * tokens) @ p
+                free = 1 + p @ pulls[0]
+                inner = p[(free >= 0) & (free <= most)]
+                change += (inner * tokens[(free >= 0) & (free <= most)][:, None]).T @ inner
+        x = np.concatenate([held.ravel(), change.ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(x))), pa.array(x)], names=["d", "x"])
+
+    out = np.zeros(m * k + k * k)
     for r in mix.select("tokens", "posterior").mapInArrow(add, "d long, x double").groupBy("d").agg(
             F.sum("x").alias("x")).collect():
         out[r["d"]] = r["x"]
-    return out
-
-
-def curvature(mix: DataFrame, k: int) -> np.ndarray:
-    """The token-weighted second moments of the posteriors."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((k, k))
-        for batch in batches:
-            if batch.num_rows:
-                p = _matrix(batch.column(1))
-                held += (p * batch.column(0).to_numpy()[:, None]).T @ p
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k * k)), pa.array(held.ravel())], names=["d", "x"])
-
-    out = np.zeros(k * k)
-    for r in mix.select("tokens", "posterior").mapInArrow(add, "d long, x double").groupBy("d").agg(
-            F.sum("x").alias("x")).collect():
-        out[r["d"]] = r["x"]
-    return out.reshape(k, k)
+    return out[:m * k].reshape(m, k), out[m * k:].reshape(k, k)
 
 
 def solve(mix: DataFrame, domains: list[str], targets: dict[str, float], budget: float | None = None,
-          anchor: str | None = None, steps: int = STEPS) -> list:
-    """The steps that fit the rates of (tokens, posterior) rows to the targets.
+          anchor: str | None = None, steps: int = STEPS, most: float = np.inf) -> dict:
+    """The pull of each domain that fits the rates of (tokens, posterior) rows, 0 to ``most``, to the targets.
 
     ``budget`` is the total of expected tokens (the corpus' own by default);
     with ``anchor`` it is chosen so that this domain keeps its present total.
+    Targets that no rates reach are named in a warning, with the nearest totals.
     """
     k = len(domains)
-    taken: list[tuple[float, float, list[float]]] = []
+    pull = np.zeros(k)
     if not k:
-        return taken
-    moments = curvature(mix, k)
-    tokens = moments.sum()
+        return {"pull": [], "most": most}
+    now, change = totals(mix, np.zeros((1, k)), np.inf)
+    now, tokens = now[0], now.sum()
     if not tokens > 0:
-        return taken
+        return {"pull": pull.tolist(), "most": most}
     weight = np.array([max(float(targets.get(d, 0.0)), 0.0) for d in domains])
     weight = weight / weight.sum() if weight.sum() > 0 else np.full(k, 1 / k)
-    now = moments.sum(1)
     if anchor in domains and weight[domains.index(anchor)] > 0:
         budget = now[domains.index(anchor)] / weight[domains.index(anchor)]
     goal = weight * (budget if budget is not None else tokens) / tokens
-    size = 1 / np.linalg.eigvalsh(moments / tokens).max()
-    t, momentum = 1.0, 0.0
-    for _ in range(steps):
-        residual = totals(mix, k, taken, momentum) / tokens - goal
-        if np.abs(residual).max() < CLOSE:
+    near = CLOSE * np.where(goal > 0, goal, goal[goal > 0].min(initial=1.0))
+    if most < 1:
+        now, change = totals(mix, pull[None], most)
+        now = now[0]
+    at, change, left = now / tokens, change / tokens, steps
+    for small in CHANGE:
+        while (np.abs(miss := at - goal + small * pull) > near / 4).any():
+            if not left:
+                raise RuntimeError(f"rates not fitted after {steps} steps, off by {np.abs(at - goal).max():.2e}")
+            left -= 1
+            step = -np.linalg.solve(change + small * np.eye(k), miss)
+            tried = pull + LENGTHS[:, None] * step
+            sums, matrix = totals(mix, tried, most)
+            slopes = (sums / tokens - goal + small * tried) @ step
+            # The longest step that does not go uphill at its end.
+            good = np.flatnonzero(slopes <= 1e-3 * abs(miss @ step))
+            best = int(good[0]) if len(good) else len(LENGTHS) - 1
+            pull = tried[best]
+            if best:
+                sums, matrix = totals(mix, pull[None], most)
+            at, change = sums[0] / tokens, matrix / tokens
+        if (np.abs(at - goal) <= near).all():
             break
-        taken.append((momentum, float(size), residual.tolist()))
-        t, last = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
-        momentum = float((last - 1) / t)
-    return taken
+    else:
+        off = ", ".join(f"{d} {x:.6f} for {g:.6f}" for d, x, g, n in zip(domains, at, goal, near) if abs(x - g) > n)
+        warnings.warn(f"no rates reach the targets; nearest totals, as shares of the tokens: {off}", stacklevel=2)
+    return {"pull": pull.tolist(), "most": most}
 
 
-def rated(mix: DataFrame, taken: list, id_col: str) -> DataFrame:
+def rated(mix: DataFrame, taken: dict, id_col: str) -> DataFrame:
     """Add rate and copies: the whole part of the rate and, by a hash of the id, one more for the rest."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = _matrix(batch.column(batch.schema.get_field_index("posterior"))) if batch.num_rows else np.zeros((0, 0))
-            yield batch.append_column("rate", pa.array(followed(p, taken)))
+            p = np.zeros((batch.num_rows, len(taken["pull"])))
+            if p.size:
+                p = _matrix(batch.column(batch.schema.get_field_index("posterior")))
+            yield batch.append_column("rate", pa.array(rates_of(p, taken["pull"], taken["most"])))
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in mix.schema]
     out = mix.mapInArrow(build, ", ".join([*fields, "rate double"]))

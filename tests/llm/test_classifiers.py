@@ -117,6 +117,34 @@ def test_rates_reach_the_targets(spark):
     assert all(abs(r["copies"] - r["rate"]) <= 1 for r in out.values())
 
 
+@pytest.mark.parametrize("shares,sure", [((0.76, 0.13, 0.11), 0.7), ((0.97, 0.02, 0.01), 0.95), ((0.1,) * 10, 0.7)])
+def test_rates_reach_the_targets_by_default(spark, shares, sure):
+    draw, k = np.random.RandomState(5), len(shares)
+    domain = draw.choice(k, 4000, p=shares)
+    p = draw.dirichlet(np.ones(k), 4000) * (1 - sure)
+    p[np.arange(4000), domain] += sure
+    tokens = draw.randint(1, 500, 4000)
+    names = [f"d{i}" for i in range(k)]
+    goal = np.array([0.92, 0.05, 0.03]) if k == 3 else np.arange(1, 11) / 55
+    rows = [(i, int(t), [float(x) for x in q]) for i, (t, q) in enumerate(zip(tokens, p))]
+    mix = spark.createDataFrame(rows, "doc_id long, tokens long, posterior array<double>")
+    now = tokens @ p / tokens.sum()
+    # Targets within what rates from 0 up can give.
+    goal = 0.5 * goal + 0.5 * now
+    out = mixing.rated(mix, mixing.solve(mix, names, dict(zip(names, goal))), "doc_id").orderBy("doc_id").collect()
+    rate = np.array([r["rate"] for r in out])
+    assert (rate >= 0).all()
+    assert ((rate * tokens) @ p / tokens.sum()) == pytest.approx(goal, rel=mixing.CLOSE)
+
+
+def test_unreachable_targets_are_named(spark):
+    mix = spark.createDataFrame([(i, 10, [0.6, 0.4]) for i in range(20)], "doc_id long, tokens long, posterior array<double>")
+    with pytest.warns(UserWarning, match="a 0.669231 for 0.900000, b 0.446154 for 0.100000"):
+        taken = mixing.solve(mix, ["a", "b"], {"a": 0.9, "b": 0.1})
+    rates = [r["rate"] for r in mixing.rated(mix, taken, "doc_id").collect()]
+    assert rates == pytest.approx([(0.9 * 0.6 + 0.1 * 0.4) / (0.6 ** 2 + 0.4 ** 2)] * 20, abs=1e-4)
+
+
 def test_an_unreachable_target_leaves_the_nearest_mix(spark):
     rows = [(i, 10, [1.0, 0.0]) for i in range(20)]
     mix = spark.createDataFrame(rows, "doc_id long, tokens long, posterior array<double>")
