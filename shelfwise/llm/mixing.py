@@ -43,8 +43,8 @@ CLOSE = 1e-4
 CHANGE = [1e-2, 1e-4, 1e-6, 1e-8, 1e-10]
 #: Step lengths tried in one pass.
 LENGTHS = 0.5 ** np.arange(8)
-#: A rate this near to a whole number is that number of copies.
-SETTLE = 0.1
+#: Rounding error of a rate: one this near below a whole number is that number of copies.
+NOISE = 1e-6
 #: Hash buckets of words, and how many of them the classifier looks at.
 WORD_BITS = 15
 TOLD_WORDS = 12
@@ -274,22 +274,23 @@ def rated(mix: DataFrame, taken: dict, id_col: str) -> DataFrame:
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in mix.schema]
     out = mix.mapInArrow(build, ", ".join([*fields, "rate double"]))
-    whole = F.floor(F.col("rate") + SETTLE)
+    whole = F.floor(F.col("rate") + NOISE)
     rest = F.col("rate") - whole
     draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
-    return out.withColumn("copies", (whole + F.when((rest > SETTLE) & (draw < rest), 1).otherwise(0)).cast("int"))
+    return out.withColumn("copies", (whole + F.when((rest > NOISE) & (draw < rest), 1).otherwise(0)).cast("int"))
 
 
 def mixed(documents: DataFrame, labelled: DataFrame, targets: dict[str, float], anchor: str | None = None,
-          id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain") -> DataFrame:
+          id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain",
+          most: float = np.inf) -> DataFrame:
     """(id, tokens, p_<domain>..., rate, copies) of every document.
 
-    ``labelled`` has one row per id with its domain.
+    ``labelled`` has one row per id with its domain. No rate is above ``most``.
     """
     docs = documents.select(F.col(id_col), F.col(text_col))
     model = fit_domains(docs, labelled, id_col, text_col, domain_col)
     mix = stored(posteriors(deal_out(docs), text_col, model, [id_col]), "posteriors")
-    taken = solve(mix, model["domains"], targets, anchor=anchor)
+    taken = solve(mix, model["domains"], targets, anchor=anchor, most=most)
     out = rated(mix, taken, id_col)
     return out.select(id_col, "tokens", *[F.get("posterior", F.lit(i)).alias(f"p_{d}")
                                           for i, d in enumerate(model["domains"])], "rate", "copies")

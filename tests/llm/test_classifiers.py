@@ -145,6 +145,37 @@ def test_unreachable_targets_are_named(spark):
     assert rates == pytest.approx([(0.9 * 0.6 + 0.1 * 0.4) / (0.6 ** 2 + 0.4 ** 2)] * 20, abs=1e-4)
 
 
+def test_copies_have_the_expected_totals(spark):
+    # A hot domain leaves the others rates of 0.053 and 0.033.
+    n = 9000
+    rows = [(i, 10, [float(i % 3 == d) for d in range(3)]) for i in range(n)]
+    mix = spark.createDataFrame(rows, "doc_id long, tokens long, posterior array<double>")
+    taken = mixing.solve(mix, ["clean", "poor", "toxic"], mixing.TARGETS, anchor="clean")
+    out = mixing.rated(mix, taken, "doc_id").collect()
+    copies = np.bincount([r["doc_id"] % 3 for r in out], [r["copies"] for r in out])
+    rates = np.bincount([r["doc_id"] % 3 for r in out], [r["rate"] for r in out])
+    assert copies[0] == n // 3
+    assert rates[1:] == pytest.approx([3000 * 5 / 92, 3000 * 3 / 92], rel=1e-3)
+    assert (np.abs(copies - rates) <= 4 * np.sqrt(rates)).all()
+
+
+def test_rates_keep_to_their_bound(spark):
+    # poor is rarer than its target: kept whole, never repeated; toxic reaches its own.
+    p = [[0.9, 0.1, 0.0]] * 60 + [[0.0, 1.0, 0.0]] + [[0.1, 0.0, 0.9]] * 30
+    rows = [(i, 10, q) for i, q in enumerate(p)]
+    mix = spark.createDataFrame(rows, "doc_id long, tokens long, posterior array<double>")
+    targets = {"clean": 0.6, "poor": 0.3, "toxic": 0.1}
+    with pytest.warns(UserWarning, match="no rates reach"):
+        taken = mixing.solve(mix, ["clean", "poor", "toxic"], targets, anchor="clean", most=1.0)
+    rate = np.array([r["rate"] for r in mixing.rated(mix, taken, "doc_id").orderBy("doc_id").collect()])
+    assert (rate >= 0).all() and (rate <= 1).all() and rate[60] == 1
+    p, best = np.array(p), np.ones(len(p))
+    goal = np.array([0.6, 0.3, 0.1]) * p[:, 0].sum() / 0.6
+    for _ in range(20000):
+        best = np.clip(best - 0.02 * p @ (best @ p - goal), 0, 1)
+    assert rate @ p == pytest.approx(best @ p, abs=1e-3)
+
+
 def test_an_unreachable_target_leaves_the_nearest_mix(spark):
     rows = [(i, 10, [1.0, 0.0]) for i in range(20)]
     mix = spark.createDataFrame(rows, "doc_id long, tokens long, posterior array<double>")
