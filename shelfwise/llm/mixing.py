@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from shelfwise.llm.texts import LOWER, U, hashed_words, pieces, word_bounds
 
 #: Labelled documents the classifier is fitted on, all domains together.
 SAMPLE = 3072
-FIT_STEPS = 300
+FIT_STEPS = 600
 #: Newton steps after which a fit that has not ended is an error.
 STEPS = 200
 #: Largest difference between a domain's total and its target, as a share of the target, at which the steps end.
@@ -45,9 +46,13 @@ CHANGE = [1e-2, 1e-4, 1e-6, 1e-8, 1e-10]
 LENGTHS = 0.5 ** np.arange(8)
 #: Rounding error of a rate: one this near below a whole number is that number of copies.
 NOISE = 1e-6
-#: Hash buckets of words, and how many of them the classifier looks at.
+#: Hash buckets of words, the level at which one is told from chance (over all buckets), and the weight of its presence.
 WORD_BITS = 15
-TOLD_WORDS = 12
+LEVEL = 0.01
+WORD_WEIGHT = 3
+#: Size of a fitting step and the pull of the classifier's weights towards 0.
+FIT_RATE = 0.05
+SHRINK = 1e-3
 
 
 def word_buckets(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -57,31 +62,57 @@ def word_buckets(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return flat >> WORD_BITS, flat & ((1 << WORD_BITS) - 1)
 
 
-def told_words(picked: DataFrame, domains: list) -> np.ndarray:
-    """The buckets whose presence in the sample says most about the domain (chi-squared)."""
+def held_buckets(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, buckets): the distinct words of each id's text, packed; of repeated ids the least counts."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, at in pieces(batch.column(1)):
+                rows, bucket = word_buckets(data, at)
+                ends = np.searchsorted(rows, np.arange(end - first + 1)) * 2
+                packed = pa.Array.from_buffers(pa.large_binary(), end - first, [
+                    None, pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(bucket.astype(np.uint16).tobytes())])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, end - first), packed.cast(pa.binary())], names=["id", "buckets"])
+
+    kind = texts.schema[id_col].dataType.simpleString()
+    rows = texts.where(F.col(id_col).isNotNull()).select(id_col, text_col)
+    return rows.mapInArrow(build, f"id {kind}, buckets binary").groupBy("id").agg(F.min("buckets").alias("buckets"))
+
+
+def told_words(texts: DataFrame, here: DataFrame, id_col: str, text_col: str, domains: list) -> np.ndarray:
+    """The buckets whose presence in the labelled texts depends on the domain (chi-squared, at ``LEVEL``).
+
+    All labelled rows count; packed words, not texts, meet the labels.
+    """
     k, size = len(domains), 1 << WORD_BITS
     number = {d: i for i, d in enumerate(domains)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            label = np.array([number[d] for d in batch.column(1).to_pylist()], int)
-            for first, end, data, at in pieces(batch.column(0)):
-                rows, bucket = word_buckets(data, at)
-                where, n = np.unique(label[first:end][rows] * size + bucket, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(where), pa.array(n)], names=["at", "n"])
-
-    shares = np.zeros(k)
-    for r in picked.groupBy("domain").count().collect():
-        shares[number[r["domain"]]] = r["count"]
-    sums = picked.select("text", "domain").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
-    held = np.zeros(k * size)
+            if not batch.num_rows:
+                continue
+            label = np.array([number[d] for d in batch.column(1).to_pylist()], np.int64)
+            packed = [np.frombuffer(b, np.uint16) for b in batch.column(0).to_pylist()]
+            flat = np.repeat(label, [len(b) for b in packed]) * size + np.concatenate(packed)
+            # The last place of a domain counts its rows.
+            where, n = np.unique(np.concatenate([flat, k * size + label]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(where), pa.array(n)], names=["at", "n"])
+
+    told = held_buckets(texts, id_col, text_col).join(
+        here.select(F.col(id_col).alias("id"), "domain").where(F.col("domain").isin(domains)), "id")
+    sums = told.select("buckets", "domain").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    held = np.zeros(k * size + k)
     for r in sums.collect():  # one row per domain and bucket at most
         held[r["at"]] = r["n"]
-    held = held.reshape(k, size)
+    shares, held = held[k * size:], held[:k * size].reshape(k, size)
     expected = shares[:, None] * held.sum(0) / max(shares.sum(), 1)
     absent = shares[:, None] - expected
     chi = ((held - expected) ** 2 * (1 / np.maximum(expected, 1e-9) + 1 / np.maximum(absent, 1e-9))).sum(0)
-    return np.sort(np.argsort(-np.where(held.sum(0) > 0, chi, 0), kind="stable")[:TOLD_WORDS])
+    # The quantile of chi-squared by Wilson and Hilferty.
+    spread = 2 / (9 * max(k - 1, 1))
+    least = max(k - 1, 1) * (1 - spread + NormalDist().inv_cdf(1 - LEVEL / size) * np.sqrt(spread)) ** 3
+    return np.flatnonzero((held.sum(0) > 0) & (chi > least))
 
 
 def domain_counter(chosen: np.ndarray):
@@ -101,7 +132,20 @@ def domain_counter(chosen: np.ndarray):
 
 def features(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """TF-IDF of the shapes and the plain presence of the chosen words."""
-    return np.concatenate([weighted(counts[:, :SHAPE_DIMS], idf), 10 * counts[:, SHAPE_DIMS:].astype(np.float32)], axis=1)
+    return np.concatenate([weighted(counts[:, :SHAPE_DIMS], idf), WORD_WEIGHT * counts[:, SHAPE_DIMS:].astype(np.float32)], axis=1)
+
+
+def scores(data: np.ndarray, at: np.ndarray, m: dict) -> np.ndarray:
+    """What the model says of each text, before softmax; words are added one by one, without a column each."""
+    w = m["weights"]
+    out = (weighted(shape_counts(data, at), m["idf"]) @ w[:SHAPE_DIMS] + w[-1] + m["shift"]).astype(float)
+    place = np.full(1 << WORD_BITS, -1)
+    place[m["chosen"]] = np.arange(len(m["chosen"]))
+    rows, bucket = word_buckets(data, at)
+    rows, bucket = rows[place[bucket] >= 0], place[bucket[place[bucket] >= 0]]
+    for c in range(out.shape[1]):
+        out[:, c] += np.bincount(rows, WORD_WEIGHT * w[SHAPE_DIMS + bucket, c], minlength=len(out))
+    return out
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -109,11 +153,16 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def fit_softmax(rows: np.ndarray, label: np.ndarray, k: int, steps: int = FIT_STEPS, rate: float = 0.3,
-                shrink: float = 1e-4) -> np.ndarray:
+def fit_softmax(rows: np.ndarray, label: np.ndarray, k: int, steps: int = FIT_STEPS, rate: float = FIT_RATE,
+                shrink: float = SHRINK) -> np.ndarray:
     """Weights (features + 1 x classes) of a softmax regression, by gradient steps with momentum."""
     rows = np.concatenate([rows, np.ones((len(rows), 1), rows.dtype)], 1)
     truth = np.eye(k, dtype=np.float32)[label]
+    # Half the largest eigenvalue of the mean outer product bounds the curvature; a step beyond 1 / it can diverge.
+    along = np.ones(rows.shape[1], rows.dtype)
+    for _ in range(20):
+        along = rows.T @ (rows @ (along / max(np.linalg.norm(along), 1e-12))) / max(len(rows), 1)
+    rate = min(rate, 2 / max(1.1 * float(np.linalg.norm(along)), 1e-9))
     w = np.zeros((rows.shape[1], k), np.float32)
     v = np.zeros_like(w)
     for _ in range(steps):
@@ -127,8 +176,9 @@ def fit_domains(texts: DataFrame, labelled: DataFrame, id_col: str, text_col: st
                 bound: int = SAMPLE) -> dict:
     """The classifier: fitted on equal parts per domain, its posteriors corrected to the domains' shares.
 
-    Document frequencies count all texts and shares all labels; only ids meet
-    the labels in a join, texts are fetched for the sample alone.
+    Document frequencies count all texts, shares all labels and word statistics
+    all labelled texts; only ids and packed words meet the labels in a join,
+    texts are fetched for the sample alone.
     """
     here = labelled.where(F.col(domain_col).isNotNull()).select(id_col, F.col(domain_col).alias("domain")).join(
         texts.select(id_col).distinct(), id_col, "left_semi")
@@ -144,7 +194,7 @@ def fit_domains(texts: DataFrame, labelled: DataFrame, id_col: str, text_col: st
     ids = sample_ids(here, id_col, ["domain"], bound)
     picked = stored(deal_out(texts).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
         F.broadcast(ids), "id"), "labelled-texts")
-    chosen = told_words(picked, domains)
+    chosen = told_words(deal_out(texts), here, id_col, text_col, domains)
     rows = counted(picked, "text", ["id", "domain"], domain_counter(chosen)).orderBy("id").collect()[:bound]
     label = np.array([domains.index(r["domain"]) for r in rows])
     weights = fit_softmax(features(unpack(rows, SHAPE_DIMS + len(chosen)), idf), label, len(domains))
@@ -161,13 +211,11 @@ def posteriors(df: DataFrame, text_col: str, model: dict, keep: list[str]) -> Da
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         k = len(m["domains"])
-        count = domain_counter(m["chosen"]) if k else None
         for batch in batches:
             for first, end, data, at in pieces(batch.column(batch.num_columns - 1)):
                 p = np.zeros((end - first, 0))
                 if k:
-                    x = features(count(data, at), m["idf"])
-                    p = softmax(x @ m["weights"][:-1] + m["weights"][-1] + m["shift"])
+                    p = softmax(scores(data, at, m))
                 tokens = np.bincount(word_bounds(data, at)[2], minlength=end - first)
                 out = batch.slice(first, end - first).select(range(batch.num_columns - 1))
                 out = out.append_column("tokens", pa.array(tokens.astype(np.int64)))

@@ -145,6 +145,21 @@ def test_unreachable_targets_are_named(spark):
     assert rates == pytest.approx([(0.9 * 0.6 + 0.1 * 0.4) / (0.6 ** 2 + 0.4 ** 2)] * 20, abs=1e-4)
 
 
+def test_domains_told_by_many_words(spark):
+    # Forty words tell the domain, each of them in few documents; a word in all of them tells nothing.
+    draw = random.Random(2)
+    words = [["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(40)] for _ in range(2)]
+    rows = [(i, " ".join(["the", *draw.sample(words[i % 2], 4)]), "ab"[i % 2]) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, domain string").repartition(4)
+    told = docs.where("doc_id < 1500").select("doc_id", "domain")
+    chosen = mixing.told_words(docs, told, "doc_id", "text", ["a", "b"])
+    buckets = mixing.word_buckets(*features.as_bytes(__import__("pyarrow").array([" ".join(words[0] + words[1])])))[1]
+    assert set(chosen) == set(buckets)
+    model = mixing.fit_domains(docs, told, "doc_id", "text", "domain", bound=400)
+    out = mixing.posteriors(docs.where("doc_id >= 1500"), "text", model, ["doc_id"]).collect()
+    assert np.mean([np.argmax(r["posterior"]) == r["doc_id"] % 2 for r in out]) > 0.99
+
+
 def test_copies_have_the_expected_totals(spark):
     # A hot domain leaves the others rates of 0.053 and 0.033.
     n = 9000
