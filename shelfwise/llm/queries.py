@@ -144,3 +144,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     labelled = mixing.label_domains(table(spark, sf_dir, "labels"))
     return mixing.mixed(table(spark, sf_dir, "documents"), labelled, mixing.TARGETS)
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.runs import runs_report
+    from shelfwise.llm.shared import deal_out
+
+    return runs_report(deal_out(table(spark, sf_dir, "documents").select("doc_id", "text")))

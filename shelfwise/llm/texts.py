@@ -127,3 +127,17 @@ def hash_of(text: str) -> int:
     """The hash that ``hashed_words`` gives a single word."""
     column = pa.array([text])
     return int(hashed_words(*as_bytes(column))[0][0])
+
+
+def coded_words(data: np.ndarray, at: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words, and per word its place among them, its start, its end and its row.
+
+    Unlike a hash this tells any two words apart.
+    """
+    starts, ends, rows = word_bounds(data, at)
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=offsets[1:])
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [
+        None, pa.py_buffer(offsets), pa.py_buffer(data[~_IS_SPACE[data]])])
+    coded = words.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), starts, ends, rows
