@@ -152,3 +152,28 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfwise.llm.shared import deal_out
 
     return runs_report(deal_out(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query("op13_lexical_search", r"""
+    WITH t AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM documents),
+    i AS (
+        SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+    a AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM d),
+    f AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+    w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, a GROUP BY term, docs),
+    s AS (
+        SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))) AS s
+        FROM f JOIN w USING (term) JOIN d USING (doc_id), a),
+    r AS (SELECT item_id, doc_id, sum(s)::BIGINT AS score FROM i JOIN s USING (term) GROUP BY ALL)
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+    FROM r WHERE score > 0
+    QUALIFY rank <= 20
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.blas_rank import rank_documents
+
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

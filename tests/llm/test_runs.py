@@ -87,7 +87,7 @@ def test_report_follows_the_definition_on_all_kinds_of_texts(spark):
     key = lambda r: (r[0] is None, r[0] or 0, str(r))
     assert sorted(got, key=key) == sorted((brute(*r) for r in rows), key=key)
     assert sum(zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows) > 15
-    assert sum(r[1] > 0 for r in got) > 25
+    assert sum(r[1] > 0 for r in got) > 15
 
 
 def test_a_shorter_piece_of_work_changes_nothing(spark, monkeypatch):
