@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.llm.licenses import report_sql
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -146,6 +148,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"), labelled, mixing.TARGETS)
 
 
+@query("op11_licenses", report_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.licenses import license_report
+    from shelfwise.llm.shared import deal_out
+
+    return license_report(deal_out(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 @query("op12_periodic_runs")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfwise.llm.runs import runs_report
