@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,8 +16,9 @@ from shelfwise.operators.joins import (
     HOT_GROUP, co_sums, drop_seen, merge_candidates,
 )
 from shelfwise.operators.ordering import (
-    dense_ids, rounded, rounded_blend, top_k, user_history,
+    HALF_NUDGE, dense_ids, rounded, rounded_blend, top_k, user_history,
 )
+from shelfwise.operators.top_products import top_products
 from shelfwise.session import stored
 
 # Common English function words, used when no stop list is given.
@@ -41,15 +40,11 @@ def mirror(pairs: DataFrame, value: Column, name: str) -> DataFrame:
     return pairs.select(both.alias("_e"), value.alias(name)).select("_e.*", name)
 
 
-def item_cosine(
-    interactions: DataFrame,
-    min_support: int = 1,
-    hot: int = HOT_GROUP,
-) -> DataFrame:
-    """Cosine between the item columns of the count matrix as (item_id, other_id, similarity).
+def unit_counts(interactions: DataFrame, min_support: int = 1) -> DataFrame:
+    """(user_id, item_id, w): the columns of the count matrix at unit length.
 
-    ``min_support`` leaves out items with fewer interactions. Users with many
-    items are split, see ``co_sums``.
+    ``min_support`` leaves out items with fewer interactions. Dividing by the
+    norms here touches every row once, not every pair twice.
     """
     counts = user_item_counts(interactions)
     norms = counts.groupBy("item_id").agg(
@@ -57,14 +52,36 @@ def item_cosine(
     )
     if min_support > 1:
         norms = norms.where(F.col("_support") >= min_support)
-    # Dividing by the norms here touches every row once, not every pair twice.
-    unit = counts.join(norms, "item_id").select(
+    return counts.join(norms, "item_id").select(
         "user_id", "item_id", (F.col("n") / F.col("_norm")).alias("w")
     )
-    pairs = co_sums(unit, "user_id", "item_id", "w", hot)
+
+
+def item_cosine(
+    interactions: DataFrame,
+    min_support: int = 1,
+    hot: int = HOT_GROUP,
+) -> DataFrame:
+    """Cosine between the item columns of the count matrix as (item_id, other_id, similarity).
+
+    Every pair of items of a user; ``nearest_items`` is the way to the k best
+    of each item. Users with many items are split, see ``co_sums``.
+    """
+    pairs = co_sums(unit_counts(interactions, min_support), "user_id", "item_id", "w", hot)
     return mirror(pairs, rounded_blend(F.col("weight")), "similarity")
 
 
+def nearest_items(interactions: DataFrame, k: int, min_support: int = 1) -> DataFrame:
+    """The k items of the highest cosine for every item, by bounds instead of all pairs."""
+    rows = unit_counts(interactions, min_support).select(
+        F.col("item_id").alias("member"), F.col("user_id").alias("column"), F.col("w").alias("weight")
+    )
+    return top_products(rows, k, "columns", nudge=HALF_NUDGE).select(
+        F.col("member").alias("item_id"), F.col("other").alias("other_id"),
+        F.col("score").alias("similarity"), "rank",
+    )
+
+
 def similar_items(edges: DataFrame, seeds: DataFrame | None, k: int = 100) -> DataFrame:
     """The k nearest items of every distinct seed, or of every item without ``seeds``.
 
@@ -77,19 +94,21 @@ def similar_items(edges: DataFrame, seeds: DataFrame | None, k: int = 100) -> Da
     return top_k(near, k, by="similarity", tie="other_id", per="item_id")
 
 
-def similar_items_dot(counts: DataFrame, k: int = 3, hot: int = HOT_GROUP) -> DataFrame:
-    pairs = co_sums(counts, "user_id", "item_id", "n", hot)
-    dots = mirror(pairs, F.col("weight").cast("bigint"), "dot")
-    return top_k(dots, k, by="dot", tie="other_id", per="item_id")
+def _largest_dots(counts: DataFrame, member: str, column: str, other: str, k: int) -> DataFrame:
+    rows = counts.select(F.col(member).alias("member"), F.col(column).alias("column"), F.col("n").alias("weight"))
+    return top_products(rows, k, digits=None).select(
+        F.col("member").alias(member), F.col("other").alias(other), F.col("score").cast("bigint").alias("dot"), "rank"
+    )
 
 
-def similar_users(counts: DataFrame, k: int = 3, hot: int = HOT_GROUP) -> DataFrame:
-    """The k users with the highest dot product of count vectors; popular items are split."""
-    pairs = co_sums(counts, "item_id", "user_id", "n", hot)
-    dots = mirror(pairs, F.col("weight").cast("bigint"), "dot").withColumnsRenamed(
-        {"item_id": "user_id", "other_id": "other_user"}
-    )
-    return top_k(dots, k, by="dot", tie="other_user", per="user_id")
+def similar_items_dot(counts: DataFrame, k: int = 3) -> DataFrame:
+    """The k items with the highest dot product of count vectors (counts above 0)."""
+    return _largest_dots(counts, "item_id", "user_id", "other_id", k)
+
+
+def similar_users(counts: DataFrame, k: int = 3) -> DataFrame:
+    """The k users with the highest dot product of count vectors (counts above 0)."""
+    return _largest_dots(counts, "user_id", "item_id", "other_user", k)
 
 
 def recommend_from_neighbors(counts: DataFrame, neighbours: DataFrame, k: int = 3) -> DataFrame:
@@ -240,36 +259,18 @@ def top_idf_terms(postings: DataFrame, n: int = 10) -> DataFrame:
     return top_k(terms, n, by="idf", tie="term")
 
 
-def content_vectors(postings: DataFrame, max_terms: int = 500) -> DataFrame:
-    """Dense (item_id, embedding) over the vocabulary, which is a bounded number of terms."""
-
-    @F.pandas_udf("array<double>")
-    def dense(term_ids: pd.Series, weights: pd.Series) -> pd.Series:
-        out = np.zeros((len(term_ids), max_terms))
-        rows = np.repeat(np.arange(len(term_ids)), [len(t) for t in term_ids])
-        if len(rows):
-            out[rows, np.concatenate(term_ids.to_list())] = np.concatenate(weights.to_list())
-        return pd.Series(list(out))
-
-    entries = F.collect_list(F.struct("term_id", "weight")).alias("_w")
-    sparse = postings.groupBy("item_id").agg(entries)
-    return sparse.select("item_id", dense("_w.term_id", "_w.weight").alias("embedding"))
-
-
-def similar_by_content(
-    postings: DataFrame, seeds: DataFrame, k: int = 100, max_terms: int = 500
-) -> DataFrame:
+def similar_by_content(postings: DataFrame, seeds: DataFrame, k: int = 100) -> DataFrame:
     """TF-IDF cosine top-k of every seed: (item_id, other_id, similarity, rank).
 
-    Frequent terms are shared by most texts, so instead of joining postings the
-    short term vectors are stored once and compared block by block.
+    Texts are packed as inverted lists with the largest weight per term; a text
+    meets a block of others only if these weights let it into its k best.
     """
-    dense = stored(content_vectors(postings, max_terms), "term-vectors")
-    wanted = seeds.select("item_id").distinct()
-    queries = dense.join(wanted, "item_id", "left_semi").withColumnRenamed("item_id", "query_id")
-    found = block_top_k(queries, dense, k, skip_self=True, positive_only=True)
-    return found.select(
-        F.col("query_id").alias("item_id"), F.col("item_id").alias("other_id"),
+    rows = postings.select(
+        F.col("item_id").alias("member"), F.col("term_id").alias("column"), "weight"
+    )
+    wanted = seeds.select(F.col("item_id").alias("member"))
+    return top_products(rows, k, "columns", wanted=wanted).select(
+        F.col("member").alias("item_id"), F.col("other").alias("other_id"),
         F.col("score").alias("similarity"), "rank",
     )
 

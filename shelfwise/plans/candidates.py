@@ -31,7 +31,7 @@ def cosine(v: Views) -> DataFrame:
 )
 def cosine_purchases(v: Views) -> DataFrame:
     """The ten nearest items of every item bought, over all purchases."""
-    return similarity.similar_items(similarity.item_cosine(v.purchases), None, 10)
+    return similarity.nearest_items(v.purchases, 10)
 
 
 @query("f02_similar_items", "SELECT * FROM v_near_items WHERE rank <= 20")

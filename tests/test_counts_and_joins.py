@@ -63,13 +63,12 @@ def test_co_pairs_count_repeats(spark, hot):
     assert {(r["item_a"], r["1"]) for r in wide} == {(0, want[0, 1]), (1, want[1, 1])}
 
 
-@pytest.mark.parametrize("hot", [2, 1000])
-def test_users_and_votes(interactions, hot):
+def test_users_and_votes(interactions):
     m = matrix()
     dots = m @ m.T
     np.fill_diagonal(dots, -1)
     held = counts.user_item_counts(interactions)
-    near = similarity.similar_users(held, 3, hot)
+    near = similarity.similar_users(held, 3)
     got = {(r.user_id, r["rank"]): (r.other_user, r.dot) for r in near.collect()}
     for u in range(12):
         order = sorted((-dots[u, v], v) for v in range(12) if dots[u, v] > 0)[:3]
