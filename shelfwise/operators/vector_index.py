@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -10,8 +12,8 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import vectors as V
 from shelfwise.functions.checks import vector_dim_check
-from shelfwise.operators.blocks import _scores, block_top_k, small_matrix
-from shelfwise.operators.ordering import ratio, rounded, top_k
+from shelfwise.operators.blocks import _matrix, _pick, _round, _scores, block_top_k, paired_blocks, small_matrix
+from shelfwise.operators.ordering import SCORE_DIGITS, ratio, rounded, top_k
 from shelfwise.session import cut_lineage, stored
 
 MODEL_CODES = 16_384
@@ -126,16 +128,38 @@ def ivf_build(
     return nearest_code(unit, centroids, "cell"), centroids
 
 
+def nearest_cells(queries: DataFrame, centroids: DataFrame, nprobe: int) -> DataFrame:
+    """(query_id, embedding, cell): each query once per cell of its nprobe nearest centroids.
+
+    Nearest by the rounded squared distance, lowest code on ties. Centroids
+    that fit a task travel to the queries, which then are read once and not shuffled.
+    """
+    model = small_matrix(centroids, MODEL_CODES)
+    if model is None:
+        cells = block_top_k(
+            queries, centroids.select(F.col("code").alias("item_id"), "embedding"), nprobe, metric="l2"
+        )
+        return cells.select("query_id", F.col("item_id").alias("cell")).join(queries, "query_id")
+    if not len(model[0]):
+        return queries.withColumn("cell", F.lit(0).cast("bigint"))
+    shared = queries.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("array<bigint>")
+    def nearest(embedding: pd.Series) -> pd.Series:
+        codes, points = shared.value
+        x = np.array(embedding.tolist(), dtype=np.float64).reshape(-1, points.shape[1])
+        distance = _round(_scores(x, points, "l2"), 10.0**SCORE_DIGITS)
+        return pd.Series(list(codes[np.argsort(distance, axis=1, kind="stable")[:, :nprobe]]))
+
+    return queries.select("query_id", "embedding", F.explode(nearest("embedding")).alias("cell"))
+
+
 def ivf_search(
     index: DataFrame, centroids: DataFrame, queries: DataFrame, k: int, nprobe: int = 50
 ) -> DataFrame:
     """Exact top-k inside the nprobe nearest cells of each query."""
     unit = queries.select("query_id", V.l2_normalize(V.as_doubles("embedding")).alias("embedding"))
-    cells = block_top_k(
-        unit, centroids.select(F.col("code").alias("item_id"), "embedding"), nprobe, metric="l2"
-    )
-    probes = cells.select("query_id", F.col("item_id").alias("cell")).join(unit, "query_id")
-    return block_top_k(stored(probes, "probes"), index, k)
+    return block_top_k(nearest_cells(unit, centroids, nprobe), index, k)
 
 
 def sub_vectors(vectors: DataFrame, m: int, dim: int, key: str = "item_id") -> DataFrame:
@@ -182,8 +206,8 @@ def _pq_model(codebooks: DataFrame) -> np.ndarray:
     return rows.reshape(parts, -1, rows.shape[1])
 
 
-def pq_encode(vectors: DataFrame, codebooks: DataFrame) -> DataFrame:
-    """(item_id, codes): the nearest sub-centroid of every part."""
+def pq_encode(vectors: DataFrame, codebooks: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(item_id, codes) and the kept columns: the nearest sub-centroid of every part."""
     shared = vectors.sparkSession.sparkContext.broadcast(_pq_model(codebooks))
 
     @F.pandas_udf("array<int>")
@@ -194,7 +218,7 @@ def pq_encode(vectors: DataFrame, codebooks: DataFrame) -> DataFrame:
         codes = [_scores(x[:, p], books[p], "l2").argmin(axis=1) for p in range(parts)]
         return pd.Series(list(np.stack(codes, axis=1).astype(np.int32)))
 
-    return vectors.select("item_id", encode(V.as_doubles("embedding")).alias("codes"))
+    return vectors.select("item_id", *keep, encode(V.as_doubles("embedding")).alias("codes"))
 
 
 def pq_decode(codes: DataFrame, codebooks: DataFrame) -> DataFrame:
@@ -211,13 +235,123 @@ def pq_decode(codes: DataFrame, codebooks: DataFrame) -> DataFrame:
     return codes.select("item_id", decode("codes").alias("embedding"))
 
 
-def pq_search(codes: DataFrame, codebooks: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Top-k by the distance between the query and the item's sub-centroids.
+def pq_lloyd_codebooks(
+    vectors: DataFrame, m: int, dim: int, bits: int = 8, iters: int = 2
+) -> DataFrame:
+    """(sub, code, embedding): plain K-means of all parts at once, from the lowest ids.
+
+    A step is one pass: tasks send sums per part and code, whose number is a
+    parameter. A code without members keeps its place.
+    """
+    spark = vectors.sparkSession
+    width = dim // m
+    points = vectors.select(V.as_doubles("embedding").alias("embedding"))
+    books = _pq_model(pq_first_k_codebooks(vectors, m, dim, bits))
+    for _ in range(iters):
+        shared = spark.sparkContext.broadcast(books)
+
+        def add(batches):
+            model = shared.value
+            parts, codes, width = model.shape
+            n, total = np.zeros((parts, codes)), np.zeros(model.shape)
+            for batch in batches:
+                if batch.num_rows:
+                    x = _matrix(pa.chunked_array([batch.column(0)])).reshape(-1, parts, width)
+                    for p in range(parts):
+                        near = _scores(x[:, p], model[p], "l2").argmin(axis=1)
+                        n[p] += np.bincount(near, minlength=codes)
+                        np.add.at(total[p], near, x[:, p])
+            sub, code = np.nonzero(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sub), pa.array(code), pa.array(n[sub, code]), pa.array(list(total[sub, code]), pa.list_(pa.float64()))],
+                names=["sub", "code", "n", "total"])
+
+        sums = points.mapInArrow(add, "sub long, code long, n double, total array<double>")
+        means = ", ".join(f"sum(total[{i}]) / sum(n)" for i in range(width))
+        books = books.copy()
+        for r in sums.groupBy("sub", "code").agg(F.expr(f"array({means})").alias("mean")).collect():
+            books[r["sub"], r["code"]] = r["mean"]
+    parts, codes, _ = books.shape
+    table = pa.table({
+        "sub": np.repeat(np.arange(parts), codes), "code": np.tile(np.arange(codes), parts),
+        "embedding": pa.array(list(books.reshape(parts * codes, -1)), pa.list_(pa.float64()))})
+    return spark.createDataFrame(table)
 
-    The sum over parts of query-to-sub-centroid distances is the squared
-    distance to the decoded vector, so codes are stored and decoded in blocks.
+
+def cell_residuals(vectors: DataFrame, centroids: DataFrame, key: str = "item_id") -> DataFrame:
+    """(key, cell, embedding): vectors with a cell, less the centroid of the cell."""
+    middle = centroids.select(F.col("code").alias("cell"), F.col("embedding").alias("_c"))
+    small = small_matrix(centroids, MODEL_CODES) is not None
+    joined = vectors.join(F.broadcast(middle) if small else middle, "cell")
+    return joined.select(key, "cell", V.minus("embedding", "_c").alias("embedding"))
+
+
+def ivfpq_build(vectors: DataFrame, centroids: DataFrame, codebooks: DataFrame) -> DataFrame:
+    """(item_id, cell, codes): cell lists that hold the codes of what the centroid leaves."""
+    inside = cell_residuals(nearest_code(build_flat(vectors), centroids, "cell"), centroids)
+    return pq_encode(inside, codebooks, keep=["cell"])
+
+
+def _coded_top_k(probes: DataFrame, index: DataFrame, codebooks: DataFrame, k: int) -> DataFrame:
+    """Top-k by the sum over parts of distances between a query's part and the sub-centroids.
+
+    ``probes`` (query_id, embedding[, cell]), ``index`` (item_id, codes[, cell]).
+    A block makes one table of distances per query (parts x sub-centroids) and
+    adds up what the codes point to; items are codes from end to end.
     """
-    return block_top_k(queries, pq_decode(codes, codebooks), k, metric="l2")
+    shared = probes.sparkSession.sparkContext.broadcast(_pq_model(codebooks))
+    q, x, keys = paired_blocks(probes, index)
+    q = q.select(*keys, "query_id", F.col("embedding").cast("array<double>"))
+    x = x.select(*keys, "item_id", "codes")
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        if left.num_rows == 0 or right.num_rows == 0:
+            none = pa.array([], pa.int64())
+            return pa.table({"query_id": none, "item_id": none, "score": pa.array([], pa.float64())})
+        books = shared.value
+        parts, _, width = books.shape
+        by_id = np.argsort(right["item_id"].to_numpy(), kind="stable")
+        ids, query_ids = right["item_id"].to_numpy()[by_id], left["query_id"].to_numpy()
+        codes = _matrix(right["codes"]).astype(np.int64)[by_id]
+        points = _matrix(left["embedding"]).reshape(-1, parts, width)
+        distance = np.zeros((len(points), len(ids)))
+        for p in range(parts):
+            distance += _scores(points[:, p], books[p], "l2")[:, codes[:, p]]
+        distance = _round(distance, 10.0**SCORE_DIGITS)
+        best = _pick(np.where(np.isnan(distance), np.inf, distance), k, True)
+        rows = np.repeat(np.arange(len(query_ids)), best.shape[1])
+        score = distance[rows, best.ravel()]
+        keep = ~np.isnan(score)
+        return pa.table({"query_id": query_ids[rows][keep], "item_id": ids[best.ravel()][keep], "score": score[keep]})
+
+    found = q.groupBy(*keys).cogroup(x.groupBy(*keys)).applyInArrow(
+        search, "query_id bigint, item_id bigint, score double"
+    )
+    return top_k(found, k, per="query_id", ascending=True)
+
+
+def pq_search(codes: DataFrame, codebooks: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """Top-k over all codes by the distance between the query and the item's sub-centroids."""
+    return _coded_top_k(queries.select("query_id", "embedding"), codes.select("item_id", "codes"), codebooks, k)
+
+
+def ivfpq_search(
+    index: DataFrame, centroids: DataFrame, codebooks: DataFrame, queries: DataFrame, k: int, nprobe: int = 50
+) -> DataFrame:
+    """Top-k by codes inside the nprobe nearest cells of each query; only their lists are compared."""
+    unit = queries.select("query_id", V.l2_normalize(V.as_doubles("embedding")).alias("embedding"))
+    probes = cell_residuals(nearest_cells(unit, centroids, nprobe), centroids, "query_id")
+    return _coded_top_k(probes, index, codebooks, k)
+
+
+def rerank_exact(found: DataFrame, vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """The k best of the found (query_id, item_id) by the inner product of the unit vectors themselves."""
+    unit = build_flat(vectors).withColumnRenamed("embedding", "_x")
+    asked = queries.select("query_id", V.l2_normalize(V.as_doubles("embedding")).alias("_q"))
+    scored = found.select("query_id", "item_id").join(unit, "item_id").join(asked, "query_id").select(
+        "query_id", "item_id", rounded(V.dot("_q", "_x")).alias("score")
+    )
+    return top_k(scored, k, per="query_id")
 
 
 def hash_buckets(

@@ -9,7 +9,7 @@ from shelfwise.functions.text import GENRE_FLAGS, genre_flags_to_array
 from shelfwise.operators import vector_index
 from shelfwise.operators.sequences import session_sentences
 from shelfwise.plans.catalog import query
-from shelfwise.plans.views import Views
+from shelfwise.plans.views import STEPS, Views
 from shelfwise.session import scratch_path
 from shelfwise.sources import readers, writers
 
@@ -215,12 +215,7 @@ def recommendations_json(v: Views) -> DataFrame:
     "a09_save_load_index",
     f"""SELECT u.item_id, n.code AS cell, CAST(generate_subscripts(u.embedding, 1) - 1 AS BIGINT)
           AS dim, round(unnest(u.embedding), 6) AS x
-        FROM v_unit u JOIN ({'''SELECT item_id, code FROM (
-            SELECT r.item_id, b.code, row_number() OVER (PARTITION BY r.item_id ORDER BY
-              2 - 2 * list_dot_product(r.embedding, b.embedding), b.code) AS n
-            FROM v_unit r CROSS JOIN (SELECT row_number() OVER (ORDER BY item_id) - 1 AS code,
-              embedding FROM (SELECT * FROM v_unit ORDER BY item_id LIMIT 16)) b) WHERE n = 1'''}) n
-        USING (item_id)""",
+        FROM v_unit u JOIN v_nearU_{STEPS} n USING (item_id)""",
 )
 def saved_index(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "index")

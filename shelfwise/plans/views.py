@@ -17,7 +17,7 @@ from shelfwise.functions import vectors as V
 from shelfwise.functions.text import daypart, epoch_micros
 from shelfwise.operators import counts, similarity, vector_index
 from shelfwise.operators.semantic_ids import (
-    assign_semantic_ids, fit_codebooks, residual_quantize,
+    assign_semantic_ids, fit_codebooks, level_of, residual_quantize,
 )
 from shelfwise.session import stored
 from shelfwise.sources.readers import read_interaction_log, read_texts
@@ -32,6 +32,7 @@ DAYPART_TAGS = [
 DIM = 64
 SIZES = [16, 8]
 STEPS = 2
+PARTS, BITS = 16, 4
 
 
 class Views:
@@ -148,7 +149,18 @@ class Views:
 
     @cached_property
     def seed_codebook(self) -> DataFrame:
-        return vector_index.first_k_codebook(self.unit, SIZES[0])
+        """Centroids of the clustered indexes, fitted on all unit vectors."""
+        return level_of(fit_codebooks(self.unit, SIZES[:1], init="first_k", iters=STEPS), 0)
+
+    @cached_property
+    def cell_parts(self) -> DataFrame:
+        """What the centroid of its cell leaves of each unit vector."""
+        cells = vector_index.nearest_code(self.unit, self.seed_codebook, "cell")
+        return stored(vector_index.cell_residuals(cells, self.seed_codebook), "cell-residuals")
+
+    @cached_property
+    def part_codebooks(self) -> DataFrame:
+        return vector_index.pq_lloyd_codebooks(self.cell_parts, PARTS, DIM, BITS, STEPS)
 
     @cached_property
     def codebooks(self) -> DataFrame:
@@ -171,9 +183,10 @@ class Views:
         return assign_semantic_ids(self.items, self.codes)
 
 
-def _lloyd_sql(level: int, size: int, steps: int) -> dict[str, str]:
+def _lloyd_sql(level: int | str, size: int, steps: int, after: int | str | None = None) -> dict[str, str]:
     """CTEs that fit one level from the first K ids, assign codes and take residuals."""
     source = f"v_res{level}"
+    after = level + 1 if isinstance(level, int) else after
     views = {
         f"v_book{level}_0": f"""SELECT row_number() OVER (ORDER BY item_id) - 1 AS code, embedding
             FROM (SELECT item_id, embedding FROM {source} ORDER BY item_id LIMIT {size})"""
@@ -190,7 +203,8 @@ def _lloyd_sql(level: int, size: int, steps: int) -> dict[str, str]:
                   FROM v_near{level}_{step} n JOIN {source} r USING (item_id))
                 GROUP BY code, dim) GROUP BY code) m USING (code)"""
     views[f"v_near{level}_{steps}"] = _nearest_sql(source, f"v_book{level}_{steps}")
-    views[f"v_res{level + 1}"] = f"""
+    if after is not None:
+        views[f"v_res{after}"] = f"""
         SELECT r.item_id,
                list_transform(list_zip(r.embedding, b.embedding), lambda p: p[1] - p[2])
                  AS embedding
@@ -199,6 +213,19 @@ def _lloyd_sql(level: int, size: int, steps: int) -> dict[str, str]:
     return views
 
 
+def _parts_sql() -> dict[str, str]:
+    """CTEs of the sub-codebooks: every part of the cells' residuals fitted on its own."""
+    width = DIM // PARTS
+    views: dict[str, str] = {}
+    for p in range(PARTS):
+        views[f"v_resP{p}"] = f"SELECT item_id, embedding[{p * width + 1}:{(p + 1) * width}] AS embedding FROM v_resC"
+        views |= _lloyd_sql(f"P{p}", 2**BITS, STEPS)
+    for name, table in (("v_part_codes", f"SELECT item_id, {{p}} AS part, code FROM v_nearP{{p}}_{STEPS}"),
+                        ("v_part_books", f"SELECT {{p}} AS part, code, embedding FROM v_bookP{{p}}_{STEPS}")):
+        views[name] = " UNION ALL ".join(table.format(p=p) for p in range(PARTS))
+    return views
+
+
 def _nearest_sql(source: str, book: str) -> str:
     return f"""SELECT item_id, code FROM (
             SELECT r.item_id, b.code, row_number() OVER (PARTITION BY r.item_id ORDER BY
@@ -263,6 +290,10 @@ VIEW_SQL: dict[str, str] = {
     "v_res0": "SELECT item_id, embedding FROM v_vectors",
     **_lloyd_sql(0, SIZES[0], STEPS),
     **_lloyd_sql(1, SIZES[1], STEPS),
+    # The clustered indexes: cells of the unit vectors, sub-codebooks of the residuals.
+    "v_resU": "SELECT item_id, embedding FROM v_unit",
+    **_lloyd_sql("U", SIZES[0], STEPS, after="C"),
+    **_parts_sql(),
     "v_ids": f"""SELECT item_id, a.code AS c0, b.code AS c1
         FROM v_near0_{STEPS} a JOIN v_near1_{STEPS} b USING (item_id)""",
     "v_levels": """SELECT item_id, CAST(0 AS BIGINT) AS level, c0 AS code FROM v_ids
@@ -293,6 +324,6 @@ VIEW_SQL |= {
 COMPUTED_ONCE = {
     name for name in VIEW_SQL
     if name.startswith(("v_near", "v_book", "v_res", "v_edges", "v_profiles", "v_requests",
-                        "v_ids", "v_unit", "v_queries", "v_interactions",
+                        "v_ids", "v_unit", "v_queries", "v_interactions", "v_part",
                         "v_tf", "v_vocab", "v_post", "v_content"))
 }

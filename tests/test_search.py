@@ -257,3 +257,57 @@ def test_reloaded_clustered_index_is_searchable(spark, rows, tmp_path):
     again = index.ivf_search(
         writers.load_index(spark, path), writers.load_centroids(spark, path), asked, 5, nprobe=2)
     assert rows(again) == rows(index.ivf_search(cells, centroids, asked, 5, nprobe=2))
+
+
+def trained(spark, n=300, parts=3, bits=3):
+    centers = 3 * RNG.normal(size=(6, DIM))
+    x = centers[RNG.integers(0, 6, n)] + 0.4 * RNG.normal(size=(n, DIM))
+    vectors = frame(spark, x)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    book = semantic_ids.level_of(semantic_ids.fit_codebooks(index.build_flat(vectors), [6], init="first_k"), 0)
+    cells = index.nearest_code(index.build_flat(vectors), book, "cell")
+    books = index.pq_lloyd_codebooks(index.cell_residuals(cells, book), parts, DIM, bits, iters=3)
+    return x, unit, vectors, book, books
+
+
+def test_part_codebooks_follow_plain_lloyd(spark):
+    x = RNG.normal(size=(60, DIM))
+    books = {(r.sub, r.code): r.embedding for r in index.pq_lloyd_codebooks(frame(spark, x).repartition(3), 2, DIM, 2, iters=4).collect()}
+    for p in range(2):
+        part = x[:, 3 * p:3 * p + 3]
+        c = part[:4].copy()
+        for _ in range(4):
+            near = ((part[:, None] - c[None]) ** 2).sum(2).argmin(1)
+            c = np.array([part[near == j].mean(0) if (near == j).any() else c[j] for j in range(4)])
+        assert np.allclose([books[p, j] for j in range(4)], c)
+
+
+@pytest.mark.parametrize("nprobe", [2, 6])
+def test_coded_search_is_the_distance_to_centroid_plus_codes(spark, nprobe):
+    x, unit, vectors, book, books = trained(spark)
+    q = RNG.normal(size=(9, DIM))
+    q /= np.linalg.norm(q, axis=1, keepdims=True)
+    coded = {r.item_id: (r.cell, r.codes) for r in index.ivfpq_build(vectors, book, books).collect()}
+    center = {r.code: np.array(r.embedding) for r in book.collect()}
+    sub = {(r["sub"], r.code): np.array(r.embedding) for r in books.collect()}
+    rebuilt = np.array([center[coded[i][0]] + np.concatenate([sub[p, c] for p, c in enumerate(coded[i][1])]) for i in range(len(x))])
+    built = index.ivfpq_build(vectors, book, books)
+    found = index.ivfpq_search(built, book, books, frame(spark, q, "query_id"), 7, nprobe)
+    assert "decode" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {(r.query_id, r["rank"]): (r.item_id, r.score) for r in found.collect()}
+    for i in range(9):
+        near = sorted(center, key=lambda c: (round(((q[i] - center[c]) ** 2).sum(), 6), c))[:nprobe]
+        order = sorted((round(((q[i] - rebuilt[j]) ** 2).sum(), 6), j) for j in range(len(x)) if coded[j][0] in near)[:7]
+        assert [got[i, r + 1][0] for r in range(7)] == [j for _, j in order]
+    best = index.rerank_exact(
+        index.ivfpq_search(built, book, books, frame(spark, q, "query_id"), 60, 6), vectors, frame(spark, q, "query_id"), 7)
+    exact = index.search_flat(index.build_flat(vectors), frame(spark, q, "query_id"), 7)
+    assert index.recall_at_k(best, exact).first()["recall"] >= 0.9
+
+
+def test_nearest_cells_of_a_large_codebook_are_the_same(spark, monkeypatch, rows):
+    book = index.local_codebook(spark, np.arange(9), RNG.normal(size=(9, DIM)))
+    queries = frame(spark, RNG.normal(size=(20, DIM)), "query_id")
+    want = rows(index.nearest_cells(queries, book, 4), "query_id", "cell")
+    monkeypatch.setattr(index, "MODEL_CODES", 3)
+    assert rows(index.nearest_cells(queries, book, 4), "query_id", "cell") == want and len(want) == 80
