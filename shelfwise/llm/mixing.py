@@ -3,17 +3,22 @@
 A classifier learned from a labelled table gives every document posteriors over
 the domains. The rates solve a nonnegative least-squares problem, one variable
 per document: the expected tokens of each domain (rate x tokens x posterior)
-shall be its target. Of all solutions it takes the one that changes the corpus
-least: rates nearest to 1, weighted by tokens. Such a rate is 1 + a weighted sum
-of the document's posteriors, cut at 0, so the unknowns are one number per
-domain. Newton steps find them; a step needs the totals per domain and a small
-matrix, a distributed sum of a few numbers. Nothing per document is stored
-between the steps and a lost task repeats them.
+shall be its target. It is solved by distributed projected gradients: from the
+rate 1, a step takes a multiple of the gradient (posterior times the domains'
+misses) from every rate and projects it on 0 to the bound. Each pass tries
+several steps at once, of spectral and fixed lengths and with the misses scaled
+by the curvature of the rates that are not at a bound, and takes the one that
+comes nearest to the targets; it ends when every total is within ``CLOSE`` of
+its target, or no step comes nearer. A step is one number per domain, so a
+task replays the steps taken so far on its rows; nothing per document is
+stored between them, and a lost task repeats them.
 
 Defined results: a null or empty text has no tokens and the classifier's view
 of an empty text; a domain without target has target 0; an unreachable target
-leaves the nearest mix and a warning; repeated rows have equal rates; without labels every
-rate is 1. Of repeated labels of a document the lowest counts.
+leaves the nearest mix and a warning; equal rows have equal rates, and rows that
+occur more than once draw their copies one by one; without labels every
+rate is 1. Of repeated labels of a document the lowest counts, of the texts of a
+repeated id the one with the lowest hash is learned from.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.features import (
-    LETTER, SHAPE_DIMS, counted, document_frequencies, sample_ids, shape_counts, smooth_idf, unpack, weighted,
+    LETTER, SHAPE_DIMS, document_frequencies, sample_ids, shape_counts, smooth_idf, weighted,
 )
 from shelfwise.llm.shared import deal_out, stored
 from shelfwise.llm.texts import LOWER, U, hashed_words, pieces, word_bounds
@@ -36,14 +41,14 @@ from shelfwise.llm.texts import LOWER, U, hashed_words, pieces, word_bounds
 #: Labelled documents the classifier is fitted on, all domains together.
 SAMPLE = 3072
 FIT_STEPS = 600
-#: Newton steps after which a fit that has not ended is an error.
+#: Gradient steps after which a fit that has not ended is an error.
 STEPS = 200
 #: Largest difference between a domain's total and its target, as a share of the target, at which the steps end.
 CLOSE = 1e-4
-#: Weight of the change against the squared distance from the targets: made smaller until the targets are met.
-CHANGE = [1e-2, 1e-4, 1e-6, 1e-8, 1e-10]
-#: Step lengths tried in one pass.
-LENGTHS = 0.5 ** np.arange(8)
+#: A step must bring the distance down by this share, or the steps end.
+GAIN = 1e-7
+#: Lengths tried in a pass: of the plain gradient, over its largest curvature, and of the scaled ones.
+LENGTHS, SCALED = (1.0, 4.0, 16.0, 64.0), (1.0, 0.5, 0.2)
 #: Rounding error of a rate: one this near below a whole number is that number of copies.
 NOISE = 1e-6
 #: Hash buckets of words, the level at which one is told from chance (over all buckets), and the weight of its presence.
@@ -103,8 +108,8 @@ def told_words(texts: DataFrame, here: DataFrame, id_col: str, text_col: str, do
         here.select(F.col(id_col).alias("id"), "domain").where(F.col("domain").isin(domains)), "id")
     sums = told.select("buckets", "domain").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
     held = np.zeros(k * size + k)
-    for r in sums.collect():  # one row per domain and bucket at most
-        held[r["at"]] = r["n"]
+    sums = sums.toArrow()  # one row per domain and bucket at most
+    held[sums["at"].to_numpy()] = sums["n"].to_numpy()
     shares, held = held[k * size:], held[:k * size].reshape(k, size)
     expected = shares[:, None] * held.sum(0) / max(shares.sum(), 1)
     absent = shares[:, None] - expected
@@ -115,24 +120,36 @@ def told_words(texts: DataFrame, here: DataFrame, id_col: str, text_col: str, do
     return np.flatnonzero((held.sum(0) > 0) & (chi > least))
 
 
-def domain_counter(chosen: np.ndarray):
-    """Counts of shapes, and which of the chosen buckets a text holds."""
-    place = np.full(1 << WORD_BITS, -1)
+def sampled_features(picked: DataFrame, chosen: np.ndarray, idf: np.ndarray) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
+    """Labels of the sampled texts, their shapes as weights, and rows and places of the chosen words they hold."""
+    place = np.full(1 << WORD_BITS, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
 
-    def count(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-        rows, bucket = word_buckets(data, at)
-        held = np.zeros((len(at) - 1, len(chosen)), np.int64)
-        seen = place[bucket] >= 0
-        held[rows[seen], place[bucket[seen]]] = 1
-        return np.concatenate([shape_counts(data, at), held], axis=1)
-
-    return count
-
-
-def features(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """TF-IDF of the shapes and the plain presence of the chosen words."""
-    return np.concatenate([weighted(counts[:, :SHAPE_DIMS], idf), WORD_WEIGHT * counts[:, SHAPE_DIMS:].astype(np.float32)], axis=1)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, at in pieces(batch.column(2)):
+                shapes = np.minimum(shape_counts(data, at), 65535).astype(np.uint16)
+                rows, bucket = word_buckets(data, at)
+                rows, bucket = rows[place[bucket] >= 0], place[bucket[place[bucket] >= 0]]
+                ends = np.searchsorted(rows, np.arange(end - first + 1))
+                out = batch.slice(first, end - first).select([0, 1])
+                out = out.append_column("shapes", pa.array([x.tobytes() for x in shapes], pa.binary()))
+                yield out.append_column("words", pa.array([bucket[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()))
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in picked.select("id", "domain").schema]
+    # At most ``bound`` rows: an array of shapes each, and the few words that were chosen.
+    held = picked.select("id", "domain", "text").mapInArrow(count, ", ".join([*fields, "shapes binary", "words binary"])).toArrow()
+    held = held.sort_by("id")
+    rows = np.zeros((held.num_rows, SHAPE_DIMS), np.float32)
+    words = []
+    at = 0
+    for batch in held.to_batches(max_chunksize=256):
+        counts = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(batch.num_rows, SHAPE_DIMS)
+        rows[at:at + batch.num_rows] = weighted(counts, idf)
+        words += [np.frombuffer(w, np.int32) for w in batch.column(3).to_pylist()]
+        at += batch.num_rows
+    of = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    return held["domain"].to_pylist(), rows, of, np.concatenate([*words, np.zeros(0, np.int32)]).astype(np.int64)
 
 
 def scores(data: np.ndarray, at: np.ndarray, m: dict) -> np.ndarray:
@@ -154,20 +171,42 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 def fit_softmax(rows: np.ndarray, label: np.ndarray, k: int, steps: int = FIT_STEPS, rate: float = FIT_RATE,
-                shrink: float = SHRINK) -> np.ndarray:
-    """Weights (features + 1 x classes) of a softmax regression, by gradient steps with momentum."""
-    rows = np.concatenate([rows, np.ones((len(rows), 1), rows.dtype)], 1)
+                shrink: float = SHRINK, of: np.ndarray | None = None, word: np.ndarray | None = None, n_words: int = 0) -> np.ndarray:
+    """Weights (features + words + 1 x classes) of a softmax regression, by gradient steps with momentum.
+
+    ``of`` and ``word`` are the rows and numbers of the words that rows hold;
+    words and the constant have no columns, so memory is that of ``rows``.
+    """
+    none = np.zeros(0, np.int64)
+    of, word = (none, none) if of is None else (of, word)
+    n, dims = rows.shape
+
+    def forward(w: np.ndarray) -> np.ndarray:
+        out = rows @ w[:dims] + w[-1]
+        for c in range(w.shape[1]):
+            out[:, c] += np.bincount(of, WORD_WEIGHT * w[dims + word, c], minlength=n)
+        return out
+
+    def back(error: np.ndarray) -> np.ndarray:
+        out = np.zeros((dims + n_words + 1, error.shape[1]), np.float32)
+        out[:dims] = rows.T @ error
+        for c in range(error.shape[1]):
+            out[dims:-1, c] = np.bincount(word, WORD_WEIGHT * error[of, c], minlength=n_words)
+        out[-1] = error.sum(0)
+        return out
+
     truth = np.eye(k, dtype=np.float32)[label]
     # Half the largest eigenvalue of the mean outer product bounds the curvature; a step beyond 1 / it can diverge.
-    along = np.ones(rows.shape[1], rows.dtype)
+    along = np.ones((dims + n_words + 1, 1), np.float32)
     for _ in range(20):
-        along = rows.T @ (rows @ (along / max(np.linalg.norm(along), 1e-12))) / max(len(rows), 1)
+        along = back(forward(along / max(float(np.linalg.norm(along)), 1e-12)).astype(np.float32)) / max(n, 1)
     rate = min(rate, 2 / max(1.1 * float(np.linalg.norm(along)), 1e-9))
-    w = np.zeros((rows.shape[1], k), np.float32)
+    w = np.zeros((dims + n_words + 1, k), np.float32)
     v = np.zeros_like(w)
     for _ in range(steps):
-        ahead = w + 0.9 * v
-        v = 0.9 * v - rate * (rows.T @ (softmax(rows @ ahead) - truth) / len(rows) + shrink * ahead)
+        ahead = w + np.float32(0.9) * v
+        slope = back((softmax(forward(ahead)) - truth).astype(np.float32)) / np.float32(max(n, 1))
+        v = np.float32(0.9) * v - np.float32(rate) * (slope + np.float32(shrink) * ahead)
         w = w + v
     return w
 
@@ -192,12 +231,14 @@ def fit_domains(texts: DataFrame, labelled: DataFrame, id_col: str, text_col: st
     n, held = document_frequencies(deal_out(texts), text_col, shape_counts, SHAPE_DIMS)
     idf = smooth_idf(n, held)
     ids = sample_ids(here, id_col, ["domain"], bound)
-    picked = stored(deal_out(texts).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        F.broadcast(ids), "id"), "labelled-texts")
+    picked = deal_out(texts).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
+    # One text per id: of repeated ids that with the lowest hash. Tasks keep one each before the shuffle.
+    picked = stored(picked.groupBy("id", "domain").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("t")).select(
+        "id", "domain", "t.text"), "labelled-texts")
     chosen = told_words(deal_out(texts), here, id_col, text_col, domains)
-    rows = counted(picked, "text", ["id", "domain"], domain_counter(chosen)).orderBy("id").collect()[:bound]
-    label = np.array([domains.index(r["domain"]) for r in rows])
-    weights = fit_softmax(features(unpack(rows, SHAPE_DIMS + len(chosen)), idf), label, len(domains))
+    named, rows, of, word = sampled_features(picked, chosen, idf)
+    label = np.array([domains.index(d) for d in named], np.int64)
+    weights = fit_softmax(rows, label, len(domains), of=of, word=word, n_words=len(chosen))
     fitted = np.bincount(label, minlength=len(domains)) / len(label)
     return {"domains": domains, "idf": idf, "chosen": chosen, "weights": weights,
             "shift": np.log(prior / prior.sum() / np.maximum(fitted, 1e-9))}
@@ -231,101 +272,115 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def rates_of(p: np.ndarray, pull: np.ndarray, most: float) -> np.ndarray:
-    """The rates that the pull of each domain gives rows of posteriors."""
-    return np.clip(1 + p @ np.asarray(pull, float), 0.0, most)
+def rates_of(p: np.ndarray, steps: list, most: float) -> np.ndarray:
+    """The rates of rows of posteriors after gradient steps, each projected on 0 to ``most``."""
+    rate = np.full(len(p), min(1.0, most))
+    for u in steps:
+        rate = np.clip(rate - p @ np.asarray(u, float), 0.0, most)
+    return rate
 
 
-def totals(mix: DataFrame, pulls: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray]:
-    """Expected tokens per domain for each row of ``pulls``, and how those of the first change with its pull."""
-    m, k = pulls.shape
+def totals(mix: DataFrame, steps: list, tried: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray]:
+    """Expected tokens per domain after each of the tried next steps, and the curvature of the rates inside their bounds."""
+    m, k = tried.shape
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, change = np.zeros((m, k)), np.zeros((k, k))
+        held, curve = np.zeros((m, k)), np.zeros((m, k, k))
         for batch in batches:
             if batch.num_rows:
                 p, tokens = _matrix(batch.column(1)), batch.column(0).to_numpy().astype(float)
+                base = rates_of(p, steps, most)
                 for i in range(m):
-                    held[i] += (rates_of(p, pulls[i], most) * tokens) @ p
-                free = 1 + p @ pulls[0]
-                inner = p[(free >= 0) & (free <= most)]
-                change += (inner * tokens[(free >= 0) & (free <= most)][:, None]).T @ inner
-        x = np.concatenate([held.ravel(), change.ravel()])
+                    rate = np.clip(base - p @ tried[i], 0.0, most)
+                    held[i] += (rate * tokens) @ p
+                    inner = (rate > 0) & (rate < most)
+                    curve[i] += (p[inner] * tokens[inner][:, None]).T @ p[inner]
+        x = np.concatenate([held.ravel(), curve.ravel()])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(x))), pa.array(x)], names=["d", "x"])
 
-    out = np.zeros(m * k + k * k)
+    out = np.zeros(m * k + m * k * k)
     for r in mix.select("tokens", "posterior").mapInArrow(add, "d long, x double").groupBy("d").agg(
             F.sum("x").alias("x")).collect():
         out[r["d"]] = r["x"]
-    return out[:m * k].reshape(m, k), out[m * k:].reshape(k, k)
+    return out[:m * k].reshape(m, k), out[m * k:].reshape(m, k, k)
 
 
 def solve(mix: DataFrame, domains: list[str], targets: dict[str, float], budget: float | None = None,
           anchor: str | None = None, steps: int = STEPS, most: float = np.inf) -> dict:
-    """The pull of each domain that fits the rates of (tokens, posterior) rows, 0 to ``most``, to the targets.
+    """The gradient steps that fit the rates of (tokens, posterior) rows, 0 to ``most``, to the targets.
 
     ``budget`` is the total of expected tokens (the corpus' own by default);
     with ``anchor`` it is chosen so that this domain keeps its present total.
     Targets that no rates reach are named in a warning, with the nearest totals.
     """
     k = len(domains)
-    pull = np.zeros(k)
     if not k:
-        return {"pull": [], "most": most}
-    now, change = totals(mix, np.zeros((1, k)), np.inf)
-    now, tokens = now[0], now.sum()
+        return {"steps": [], "most": most}
+    now, whole = totals(mix, [], np.zeros((1, k)), np.inf)
+    now, whole, tokens = now[0], whole[0], now.sum()
     if not tokens > 0:
-        return {"pull": pull.tolist(), "most": most}
+        return {"steps": [], "most": most}
     weight = np.array([max(float(targets.get(d, 0.0)), 0.0) for d in domains])
     weight = weight / weight.sum() if weight.sum() > 0 else np.full(k, 1 / k)
     if anchor in domains and weight[domains.index(anchor)] > 0:
         budget = now[domains.index(anchor)] / weight[domains.index(anchor)]
     goal = weight * (budget if budget is not None else tokens) / tokens
     near = CLOSE * np.where(goal > 0, goal, goal[goal > 0].min(initial=1.0))
-    if most < 1:
-        now, change = totals(mix, pull[None], most)
-        now = now[0]
-    at, change, left = now / tokens, change / tokens, steps
-    for small in CHANGE:
-        while (np.abs(miss := at - goal + small * pull) > near / 4).any():
-            if not left:
-                raise RuntimeError(f"rates not fitted after {steps} steps, off by {np.abs(at - goal).max():.2e}")
-            left -= 1
-            step = -np.linalg.solve(change + small * np.eye(k), miss)
-            tried = pull + LENGTHS[:, None] * step
-            sums, matrix = totals(mix, tried, most)
-            slopes = (sums / tokens - goal + small * tried) @ step
-            # The longest step that does not go uphill at its end.
-            good = np.flatnonzero(slopes <= 1e-3 * abs(miss @ step))
-            best = int(good[0]) if len(good) else len(LENGTHS) - 1
-            pull = tried[best]
-            if best:
-                sums, matrix = totals(mix, pull[None], most)
-            at, change = sums[0] / tokens, matrix / tokens
-        if (np.abs(at - goal) <= near).all():
+    sums, curve = totals(mix, [], np.zeros((1, k)), most)
+    at, free, whole = sums[0] / tokens, curve[0] / tokens, whole / tokens
+    largest = float(np.linalg.eigvalsh(whole).max())
+    taken, spectral = [], 1.0
+    while (np.abs(at - goal) > near / 4).any():
+        if len(taken) == steps:
+            raise RuntimeError(f"rates not fitted after {steps} steps, off by {np.abs(at - goal).max():.2e}")
+        miss = at - goal
+        tried = [miss / largest * x for x in (spectral, *LENGTHS)]
+        for matrix, ridge in ((free, 1e-6), (whole, 1e-6), (whole, 1e-2)):
+            scaled = np.linalg.solve(matrix + ridge * largest * np.eye(k), miss)
+            tried += [scaled * x for x in SCALED]
+        sums, curve = totals(mix, taken, np.array(tried), most)
+        distance = ((sums / tokens - goal) ** 2).sum(1)
+        best = int(distance.argmin())
+        if distance[best] >= (1 - GAIN) * (miss @ miss):
             break
-    else:
+        moved = sums[best] / tokens - at
+        # The step that a quadratic with the change just seen would ask for (Barzilai and Borwein).
+        step = tried[best]
+        spectral = float(np.clip(step @ step / max(-(step @ moved), 1e-300) * largest, 0.1, 1e6))
+        taken.append(step.tolist())
+        at, free = sums[best] / tokens, curve[best] / tokens
+    if (np.abs(at - goal) > near).any():
         off = ", ".join(f"{d} {x:.6f} for {g:.6f}" for d, x, g, n in zip(domains, at, goal, near) if abs(x - g) > n)
         warnings.warn(f"no rates reach the targets; nearest totals, as shares of the tokens: {off}", stacklevel=2)
-    return {"pull": pull.tolist(), "most": most}
+    return {"steps": taken, "most": most}
 
 
 def rated(mix: DataFrame, taken: dict, id_col: str) -> DataFrame:
-    """Add rate and copies: the whole part of the rate and, by a hash of the id, one more for the rest."""
+    """Add rate and copies: the whole part of the rate and, by a draw, one more for the rest.
+
+    The draw is a hash of the id and, if the rows have it, of ``text_hash``.
+    Rows equal in both (these are counted) also take their place in the table,
+    so that a group of equal rows keeps its expected share.
+    """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = np.zeros((batch.num_rows, len(taken["pull"])))
-            if p.size:
-                p = _matrix(batch.column(batch.schema.get_field_index("posterior")))
-            yield batch.append_column("rate", pa.array(rates_of(p, taken["pull"], taken["most"])))
-
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in mix.schema]
-    out = mix.mapInArrow(build, ", ".join([*fields, "rate double"]))
+            p = batch.schema.get_field_index("posterior")
+            p = _matrix(batch.column(p)) if batch.num_rows and taken["steps"] else np.zeros((batch.num_rows, 0))
+            yield batch.append_column("rate", pa.array(rates_of(p, taken["steps"], taken["most"])))
+
+    same = F.xxhash64(F.col(id_col).cast("string"), *([F.col("text_hash")] if "text_hash" in mix.columns else []))
+    keyed = mix.withColumn("same", same).withColumn("place", F.monotonically_increasing_id())
+    often = keyed.groupBy("same").agg(F.count("*").alias("n")).where("n > 1").select("same", F.lit(True).alias("often"))
+    keyed = keyed.join(often, "same", "left")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema]
+    out = keyed.mapInArrow(build, ", ".join([*fields, "rate double"]))
     whole = F.floor(F.col("rate") + NOISE)
     rest = F.col("rate") - whole
-    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
-    return out.withColumn("copies", (whole + F.when((rest > NOISE) & (draw < rest), 1).otherwise(0)).cast("int"))
+    hashed = F.xxhash64(F.col("same"), F.when(F.col("often"), F.col("place")), F.lit("mix"))
+    draw = F.pmod(hashed, F.lit(1 << 30)) / float(1 << 30)
+    copies = (whole + F.when((rest > NOISE) & (draw < rest), 1).otherwise(0)).cast("int")
+    return out.withColumn("copies", copies).drop("same", "place", "often")
 
 
 def mixed(documents: DataFrame, labelled: DataFrame, targets: dict[str, float], anchor: str | None = None,
@@ -337,7 +392,8 @@ def mixed(documents: DataFrame, labelled: DataFrame, targets: dict[str, float],
     """
     docs = documents.select(F.col(id_col), F.col(text_col))
     model = fit_domains(docs, labelled, id_col, text_col, domain_col)
-    mix = stored(posteriors(deal_out(docs), text_col, model, [id_col]), "posteriors")
+    docs = docs.withColumn("text_hash", F.xxhash64(text_col))
+    mix = stored(posteriors(deal_out(docs), text_col, model, [id_col, "text_hash"]), "posteriors")
     taken = solve(mix, model["domains"], targets, anchor=anchor, most=most)
     out = rated(mix, taken, id_col)
     return out.select(id_col, "tokens", *[F.get("posterior", F.lit(i)).alias(f"p_{d}")

@@ -235,3 +235,50 @@ def test_words_of_bytes():
     want = [(i, hash_of(w.decode())) for i, t in enumerate(texts) for w in (t or "").encode().lower().split()]
     assert list(zip(rows.tolist(), words.tolist())) == want
     assert F is not None
+
+
+def test_copies_of_null_and_repeated_ids_are_drawn_row_by_row(spark):
+    rows = [(None, 10, [1.0], i) for i in range(400)] + [(7, 10, [1.0], 5)] * 400 + [(8, 10, [1.0], i) for i in range(400)]
+    mix = spark.createDataFrame(rows, "doc_id long, tokens long, posterior array<double>, text_hash long").repartition(5)
+    out = mixing.rated(mix, {"steps": [[0.5]], "most": np.inf}, "doc_id")
+    assert out.columns == [*mix.columns, "rate", "copies"]
+    kept = [sum(r.copies for r in out.where(c).collect()) for c in ("doc_id is null", "doc_id = 7", "doc_id = 8")]
+    assert all(abs(n - 200) < 60 for n in kept) and out.count() == 1200
+
+
+def test_steps_are_projected_gradients(spark):
+    # With the plain gradient alone (one domain, one length) the loop is the textbook one.
+    p, tokens = np.array([[1.0], [0.5], [0.2]]), np.array([10.0, 20.0, 5.0])
+    rate = np.ones(3)
+    for u in ([0.4], [0.9], [-0.2]):
+        rate = np.clip(rate - p @ np.array(u), 0, 1)
+    assert mixing.rates_of(p, [[0.4], [0.9], [-0.2]], 1.0) == pytest.approx(rate)
+    mix = spark.createDataFrame([(int(t), [float(x) for x in q]) for t, q in zip(tokens, p)], "tokens long, posterior array<double>")
+    sums, curve = mixing.totals(mix, [[0.4], [0.9]], np.array([[-0.2], [0.0]]), 1.0)
+    assert sums[0] == pytest.approx((rate * tokens) @ p)
+    inner = (rate > 0) & (rate < 1)
+    assert curve[0] == pytest.approx((p[inner] * tokens[inner][:, None]).T @ p[inner])
+
+
+def test_words_without_columns_fit_as_with_columns():
+    draw = np.random.RandomState(1)
+    rows, held = draw.rand(80, 6).astype(np.float32), draw.rand(80, 9) < 0.3
+    label = (held[:, 0] | (rows[:, 1] > 0.7)).astype(int)
+    of, word = np.nonzero(held)
+    sparse = mixing.fit_softmax(rows, label, 2, steps=150, of=of, word=word, n_words=9)
+    dense = mixing.fit_softmax(np.concatenate([rows, mixing.WORD_WEIGHT * held.astype(np.float32)], 1), label, 2, steps=150)
+    assert sparse == pytest.approx(dense, abs=1e-3)
+
+
+def test_one_repeated_id_among_the_labelled_leaves_the_others(spark):
+    rows = [(1, f"hot text {i % 3}") for i in range(300)] + [(i, f"plain words {i} abc") for i in range(2, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    told = spark.createDataFrame([(i, "a" if i % 2 else "b") for i in range(1, 300)], "doc_id long, domain string")
+    seen = []
+    plain = mixing.fit_softmax
+    mixing.fit_softmax = lambda rows, label, *a, **b: (seen.append(len(rows)), plain(rows, label, *a, **b))[1]
+    try:
+        mixing.mixed(docs.withColumn("tokens", F.lit(1)).withColumn("rate", F.lit("x")), told, {"a": 0.5, "b": 0.5}).count()
+    finally:
+        mixing.fit_softmax = plain
+    assert seen == [299]
