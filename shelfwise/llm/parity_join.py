@@ -39,6 +39,7 @@ WORDS = 5
 #: The threshold as a fraction of whole numbers: similarity of at least NUM / DEN.
 NUM, DEN = 80, 100
 LEAST_WORDS = 64
+LEAST_BITS = 1024
 HELD = 1 << 20
 #: Entries of a bucket of the word join, and members of a tile of a large group.
 BUCKET_ROWS = 1 << 19
@@ -89,14 +90,16 @@ def digests(rows: np.ndarray, code: np.ndarray, n_rows: int) -> tuple[np.ndarray
 
 
 def bit_sketches(rows: np.ndarray, code: np.ndarray, size: np.ndarray) -> list[bytes]:
-    """Parity of the shingles on each bit of a sketch; its bits grow with the size, 64 at least.
+    """Parity of the shingles on each bit of a sketch; its bits grow with the size, ``LEAST_BITS`` at least.
+
+    In small sets few bits would let many pairs pass that are not linked.
 
     A sketch folds onto half its bits by exclusive or, so two of different
     lengths are compared at the shorter one.
     """
     band = np.zeros(len(size), np.int64)
     band[size > 0] = np.floor(np.log2(size[size > 0])).astype(np.int64)
-    bits = np.int64(64) << np.maximum(band - 5, 0)
+    bits = np.maximum(np.int64(64) << np.maximum(band - 5, 0), LEAST_BITS)
     offset = np.append(0, np.cumsum(bits))
     at = offset[rows] + (code & (bits[rows] - 1).astype(U)).astype(np.int64)
     odd = (np.bincount(at, minlength=int(offset[-1])) & 1).astype(np.uint8)
