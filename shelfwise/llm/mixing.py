@@ -42,11 +42,11 @@ from shelfwise.llm.texts import LOWER, U, hashed_words, pieces, word_bounds
 SAMPLE = 3072
 FIT_STEPS = 600
 #: Gradient steps after which a fit ends, with a warning where a target is not met.
-STEPS = 200
+STEPS = 100
 #: Largest difference between a domain's total and its target, as a share of the target, at which the steps end.
 CLOSE = 1e-4
 #: A step must bring the distance down by this share, or the steps end.
-GAIN = 1e-4
+GAIN = 1e-7
 #: Lengths tried in a pass: of the plain gradient, over its largest curvature, and of the scaled ones.
 LENGTHS, SCALED = (1.0, 4.0, 16.0, 64.0), (1.0, 0.5, 0.2)
 #: Rounding error of a rate: one this near below a whole number is that number of copies.
