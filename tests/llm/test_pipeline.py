@@ -58,8 +58,8 @@ def test_an_empty_table_passes_through(spark, folder):
 
 
 def test_registry():
-    names = [f"op{n}_" for n in range(1, 11)]
-    assert all(sum(q.startswith(n) for q in QUERIES) == 1 for n in names) and len(QUERIES) == 10
+    names = [f"op{n}_" for n in range(1, 14)]
+    assert all(sum(q.startswith(n) for q in QUERIES) == 1 for n in names) and len(QUERIES) == 13
     assert QUERIES.items() <= entry.queries().items() and "pipeline" in entry.queries()
     assert set(ORACLES) <= set(QUERIES)
 
