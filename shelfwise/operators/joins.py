@@ -12,8 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.operators.bitmaps import key_bitmaps, members, united
 from shelfwise.operators.blocks import block_products
-from shelfwise.operators.ordering import top_k
+from shelfwise.operators.ordering import dense_ids, top_k
+from shelfwise.operators.spread import spread_join
 from shelfwise.session import stored
 
 HOT_GROUP = 4096
@@ -61,16 +63,33 @@ def add_signal(
 def genre_overlap_join(
     requests: DataFrame, owned: DataFrame, items: DataFrame, key: str = "request_id"
 ) -> DataFrame:
-    """(key, item) where the item shares a genre with any item the key owns.
+    """Distinct (key, item) where the item shares a genre with any item the key owns.
 
-    The key side is reduced to its distinct genres first, so a long history
-    costs no more than the number of genres.
+    Items of a genre are bitmaps, and the bitmaps are united once per distinct
+    set of wanted genres, not per request. Only the last step writes items, from
+    one array per set and bucket; requests with the same wanted genres are dealt
+    over parts. Null genres and null keys match nothing.
     """
+    index = stored(dense_ids(items, "item_id", "place").withColumn("place", F.col("place") + 1), "places")
     tagged = items.select("item_id", F.explode("genres").alias("genre"))
-    wanted = (
-        requests.select(key).join(owned, key).join(tagged, "item_id").select(key, "genre").distinct()
+    maps = stored(key_bitmaps(tagged.join(index, "item_id"), "genre"), "genre-bitmaps")
+    genres = tagged.groupBy("item_id").agg(F.collect_set("genre").alias("genres"))
+    owning = stored(
+        requests.select(key).where(F.col(key).isNotNull()).join(owned.select(key, "item_id"), key), "owning"
     )
-    return wanted.join(tagged, "genre").select(key, "item_id").distinct()
+    wanted = stored(
+        spread_join(owning, genres, "item_id").select(key, F.explode("genres").alias("genre"))
+        .groupBy(key).agg(F.sort_array(F.collect_set("genre")).alias("wanted")),
+        "wanted-genres",
+    )
+    ids = index.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
+        F.sort_array(F.collect_list(F.struct("place", "item_id")))["item_id"].alias("ids")
+    )
+    sets = united(wanted.select("wanted").distinct(), maps, "wanted", "genre")
+    found = sets.join(ids, "bucket").select("wanted", members("bits").alias("_at"), "ids").select(
+        "wanted", F.transform("_at", lambda at: F.get("ids", at)).alias("_items")
+    )
+    return spread_join(wanted, found, "wanted").select(key, F.explode("_items").alias("item_id"))
 
 
 def co_sums(

@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 from shelfwise.functions import vectors as V
 from shelfwise.functions.text import words
 from shelfwise.functions.draws import draw as draw_of
+from shelfwise.operators.bitmaps import BUCKET, first_common, key_bitmaps, united
 from shelfwise.operators.blocks import block_top_k
 from shelfwise.operators.counts import popularity, user_item_counts
 from shelfwise.operators.joins import (
     HOT_GROUP, co_sums, drop_seen, merge_candidates,
 )
 from shelfwise.operators.ordering import (
-    HALF_NUDGE, dense_ids, rounded, rounded_blend, top_k, user_history,
+    HALF_NUDGE, dense_ids, global_position, rounded, rounded_blend, top_k, user_history,
 )
+from shelfwise.operators.spread import spread_join
 from shelfwise.operators.top_products import top_products
 from shelfwise.session import stored
 
@@ -315,53 +317,85 @@ def popular_in_genre(
     Both given: items in both sets; one given: that one; nothing left: all
     rated items. Ordered by popularity, unrated items count 0.
 
-    An item in both sets has one genre of each, so the n best items per genre
-    pair hold the n best of every combination. Requests with the same genres
-    share one list.
+    Items are numbered in that order and the items of a genre are bitmaps over
+    these places, so the first n common bits of a profile's two unions are its
+    list. Profiles (distinct pairs of genre sets) read the buckets of places in
+    growing ranges and end as soon as they have n items. Requests with the same
+    profile share one list.
     """
-    genres = items.select("item_id", F.explode(F.array_distinct("genres")).alias("genre"))
-    seed = (
-        requests.where(F.col("seed_item_id").isNotNull())
-        .join(genres.withColumnRenamed("item_id", "seed_item_id"), "seed_item_id")
-        .groupBy("request_id").agg(F.sort_array(F.collect_set("genre")).alias("seed_genres"))
-    )
-    owned = user_history(interactions).join(genres, "item_id", "left").groupBy("user_id").agg(
-        F.sort_array(F.collect_set("genre")).alias("user_genres"), F.lit(True).alias("has_history")
-    )
+    ids = items.select("item_id").distinct()
+    scores = stored(popularity(interactions), "popularity")
+    scored = ids.join(scores, "item_id", "left").withColumn("popularity", F.coalesce("popularity", F.lit(0.0)))
+    ranked = stored(
+        global_position(scored, [F.col("popularity").desc(), F.col("item_id").asc()], "place"), "popular-places"
+    )
+    tagged = items.select("item_id", F.explode(F.array_distinct("genres")).alias("genre"))
+    genres = stored(tagged.groupBy("item_id").agg(F.collect_set("genre").alias("genres")), "item-genres")
+    maps = stored(key_bitmaps(tagged.join(ranked, "item_id"), "genre"), "popular-bitmaps")
+
+    none = F.array().cast("array<string>")
+    requests = stored(requests, "requests")
+    seeds = requests.where(F.col("seed_item_id").isNotNull()).select("request_id", "seed_item_id")
+    seed = spread_join(seeds, genres.withColumnRenamed("item_id", "seed_item_id"), "seed_item_id").select(
+        "request_id", F.sort_array("genres").alias("seed_genres")
+    )
+    history = stored(user_history(interactions), "history")
+    owned = spread_join(history, genres, "item_id").select(
+        "user_id", F.explode("genres").alias("genre")
+    ).groupBy("user_id").agg(F.sort_array(F.collect_set("genre")).alias("user_genres"))
+    known = history.select("user_id").distinct().withColumn("has_history", F.lit(True))
+    owned = known.join(owned, "user_id", "left").withColumn("user_genres", F.coalesce("user_genres", none))
     s, u = F.col("seed_genres"), F.col("user_genres")
-    both = F.flatten(
-        F.transform(s, lambda a: F.transform(u, lambda b: F.struct(a.alias("g1"), b.alias("g2"))))
-    )
-    alone = F.transform(F.coalesce(s, u), lambda a: F.struct(a.alias("g1"), a.alias("g2")))
-    pairs = F.when(s.isNotNull() & F.col("has_history"), both).otherwise(alone)
-    profiled = (
+    one, other = F.coalesce(s, u, none), F.coalesce(u, s, none)
+    profiled = stored(
         requests.join(seed, "request_id", "left").join(owned, "user_id", "left")
-        .select(*requests.columns, F.array_distinct(F.coalesce(
-            pairs, F.array().cast("array<struct<g1:string,g2:string>>"))).alias("pairs"))
-    )
-    scores = popularity(interactions)
-    scored = items.select("item_id", F.array_distinct("genres").alias("genres")).join(
-        scores, "item_id", "left"
-    ).withColumn("popularity", F.coalesce("popularity", F.lit(0.0)))
-    by_pair = scored.select(
-        "item_id", "popularity", "genres", F.explode("genres").alias("g1")
-    ).select("item_id", "popularity", "g1", F.explode("genres").alias("g2"))
-    best = top_k(by_pair, n, by="popularity", per=["g1", "g2"]).drop("rank")
-    asked = profiled.groupBy("pairs").agg(F.count("*").alias("_n"))
-    lists = (
-        asked.select("pairs", F.explode("pairs").alias("_p"))
-        .select("pairs", "_p.g1", "_p.g2").join(best, ["g1", "g2"])
-        .select("pairs", "item_id", "popularity").distinct()
-    )
-    lists = top_k(lists, n, by="popularity", per="pairs")
-    direct = profiled.join(lists, "pairs").drop("pairs")
-    empty = asked.join(lists.select("pairs").distinct(), "pairs", "left_anti").select("pairs")
-    fallback = profiled.join(empty, "pairs", "left_semi").drop("pairs")
+        .select(*requests.columns, one.alias("one"), other.alias("other")),
+        "profiles",
+    )
+    lists = _first_of_profiles(profiled.select("one", "other").distinct(), maps, ranked, n)
+    listed = lists.join(ranked, "place").groupBy("one", "other").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "item_id", "popularity"))).alias("_list")
+    )
+    listed = stored(listed, "profile-lists")
+    direct = spread_join(profiled, listed, ["one", "other"])
+    empty = profiled.join(listed, ["one", "other"], "left_anti")
     everything = top_k(scores, n, by="popularity")
-    listed = fallback.select(
-        "*", F.explode(pool_list(everything, ["item_id", "popularity"])).alias("_p")
-    ).select(*requests.columns, "_p.item_id", "_p.popularity", F.col("_p.rank").alias("rank"))
-    return direct.unionByName(listed)
+    fallback = empty.withColumn("_list", pool_list(everything, ["item_id", "popularity"]))
+    return direct.unionByName(fallback).select("*", F.explode("_list").alias("_p")).select(
+        *requests.columns, "_p.item_id", "_p.popularity", F.col("_p.rank").cast("bigint").alias("rank")
+    )
+
+
+def _first_of_profiles(profiles: DataFrame, maps: DataFrame, ranked: DataFrame, n: int) -> DataFrame:
+    """(one, other, place, rank): the first n places with a genre of both sets of each profile."""
+    last = ranked.agg(F.coalesce(F.max("place"), F.lit(0))).first()[0]
+    buckets = -(-last // BUCKET)
+    todo, found, low, done = profiles.withColumn("_have", F.array().cast("array<bigint>")), [], 1, False
+    while not done:
+        high = 2 * low - 1
+        near = maps.where(F.col("bucket").between(low, high))
+        sets = todo.select(F.explode(F.array("one", "other")).alias("set")).distinct()
+        bits = stored(united(sets, near, "set", "genre"), "profile-bits")
+        a = bits.select(F.col("set").alias("one"), "bucket", F.col("bits").alias("_a"))
+        b = bits.select(F.col("set").alias("other"), "bucket", F.col("bits").alias("_b"))
+        both = spread_join(spread_join(todo.select("one", "other"), a, "one"), b, ["other", "bucket"])
+        places = both.select("one", "other", first_common("_a", "_b", "bucket", n).alias("_p"))
+        new = places.groupBy("one", "other").agg(F.flatten(F.collect_list("_p")).alias("_new"))
+        taken = F.concat("_have", F.coalesce("_new", F.array().cast("array<bigint>")))
+        visited = stored(
+            todo.join(new, ["one", "other"], "left")
+            .select("one", "other", F.slice(F.sort_array(taken), 1, n).alias("_have")),
+            "profile-places",
+        )
+        done = high >= buckets
+        found.append(visited if done else visited.where(F.size("_have") >= n))
+        todo, low = visited.where(F.size("_have") < n), high + 1
+    lists = found[0]
+    for more in found[1:]:
+        lists = lists.unionByName(more)
+    return lists.select("one", "other", F.posexplode("_have").alias("_at", "place")).select(
+        "one", "other", "place", (F.col("_at") + 1).cast("bigint").alias("rank")
+    )
 
 
 def hybrid_candidates(content: DataFrame, behaviour: DataFrame, k: int = 100) -> DataFrame:
