@@ -19,7 +19,8 @@ from shelfwise.operators.joins import (
 from shelfwise.operators.ordering import (
     HALF_NUDGE, dense_ids, global_position, rounded, rounded_blend, top_k, user_history,
 )
-from shelfwise.operators.spread import spread_join
+from shelfwise.operators.set_joins import nearest_sets
+from shelfwise.operators.spread import HOT_ROWS, spread_join
 from shelfwise.operators.top_products import top_products
 from shelfwise.session import stored
 
@@ -156,24 +157,23 @@ def tag_overlaps(sets: DataFrame, hot: int = HOT_GROUP) -> DataFrame:
     return both.unionByName(itself)
 
 
-def similar_by_tags(items: DataFrame, k: int, hot: int = HOT_GROUP) -> DataFrame:
-    """Jaccard top-k of every item, itself left out, zero overlap left out.
+def similar_by_tags(items: DataFrame, k: int, hot: int = HOT_ROWS) -> DataFrame:
+    """Jaccard top-k of every item, itself left out, zero overlap left out; null tags are none.
 
     All items of a tag set share one candidate list. Its k + 1 best items are
     enough for each of them, so only the k + 1 lowest ids of a set are needed.
     """
-    keyed = items.select(
-        "item_id",
-        F.array_join(
-            F.sort_array(F.array_distinct(F.coalesce("tags", F.array().cast("array<string>")))), "|"
-        ).alias("tag_set"),
-    )
-    low_ids = top_k(keyed, k + 1, by="item_id", tie="item_id", per="tag_set", ascending=True)
-    low_ids = low_ids.select(F.col("tag_set").alias("other_set"), F.col("item_id").alias("other_id"))
-    candidates = tag_overlaps(tag_sets(items), hot).join(low_ids, "other_set")
-    lists = top_k(candidates, k + 1, by="similarity", tie="other_id", per="tag_set")
-    own = keyed.join(lists.select("tag_set", "other_id", "similarity"), "tag_set")
-    own = own.where(F.col("item_id") != F.col("other_id")).drop("tag_set")
+    no_tags = F.array().cast("array<string>")
+    tags = F.sort_array(F.array_distinct(F.array_compact(F.coalesce("tags", no_tags))))
+    keyed = stored(items.select("item_id", tags.alias("tags")).where(F.size("tags") > 0), "tagged-items")
+    sets = keyed.groupBy("tags").agg(F.min("item_id").alias("low"), F.count("*").alias("items"))
+    near = nearest_sets(sets, k + 1, hot)
+    low_ids = top_k(keyed, k + 1, by="item_id", tie="item_id", per="tags", ascending=True)
+    low_ids = low_ids.select(F.col("tags").alias("other"), F.col("item_id").alias("other_id"))
+    lists = top_k(near.join(low_ids, "other"), k + 1, by="similarity", tie="other_id", per="tags")
+    packed = lists.groupBy("tags").agg(F.collect_list(F.struct("other_id", "similarity")).alias("_list"))
+    own = spread_join(keyed, packed, "tags", hot).select("item_id", F.explode("_list").alias("_o"))
+    own = own.select("item_id", "_o.*").where(F.col("item_id") != F.col("other_id"))
     return top_k(own, k, by="similarity", tie="other_id", per="item_id")
 
 
