@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators.joins import attach_metadata
 from shelfwise.operators.ordering import global_position, ratio, rounded, rounded_blend, top_k
+from shelfwise.operators.spread import spread_join
+from shelfwise.operators.sweeps import SWEEP_ROWS, best_spans
 from shelfwise.session import stored
 
 
@@ -268,12 +270,12 @@ def score_vs_seeds(
     with 1, an unknown candidate scores 0. Only existing edges to candidates are
     joined; the zeros enter through the number of seeds.
     """
-    known_seeds = seeds.select("user_id", "item_id").join(known.select("item_id"), "item_id")
+    known_seeds = stored(seeds.select("user_id", "item_id").join(known.select("item_id"), "item_id"), "known-seeds")
     seed_counts = known_seeds.groupBy("user_id").agg(F.count("*").alias("_seeds"))
     wanted = candidates.select("user_id", "item_id").distinct()
     targets = wanted.select(F.col("item_id").alias("other_id")).distinct()
     block = edges.join(targets, "other_id", "left_semi")
-    near = known_seeds.join(block, "item_id").select(
+    near = spread_join(known_seeds, block, "item_id").select(
         "user_id", F.col("other_id").alias("item_id"), "similarity"
     )
     near = near.unionByName(known_seeds.withColumn("similarity", F.lit(1.0)))
@@ -340,41 +342,40 @@ def median_activity_user(df: DataFrame) -> DataFrame:
 
 
 def serving_plan(
-    rates: DataFrame, interval_hours: int, visits: int, top: int = 3
+    rates: DataFrame, interval_hours: int, visits: int, top: int = 3, group_rows: int = SWEEP_ROWS
 ) -> DataFrame:
     """Share of the visits each item gets per interval, from all earlier intervals.
 
     In the first interval every item gets 1/N; later the ``top`` items by mean
-    earlier rate (an interval without data counts 0) get 1/top each.
+    earlier rate (an interval without data counts 0) get 1/top each. Rates are 0
+    or more, a null rate counts 0, rows without item are left out, and several
+    rows of an item in one interval count with their mean.
+
+    Means of one interval share their denominator, so only changes of the sums
+    are swept, see ``best_spans``; what is ranked is the few best of each group.
     """
     step = interval_hours * 3600
     slot = F.floor(F.unix_seconds(F.col("interval_start").cast("timestamp")) / step)
-    rates = rates.select(slot.alias("slot"), "item_id", "rate")
-    bounds = rates.agg(F.struct(F.min("slot").alias("_a"), F.max("slot").alias("_b")))
-    items = rates.select("item_id").distinct()
-    grid = (
-        items.select("item_id", bounds.scalar().alias("_s"))
-        .select("item_id", "_s._a", F.explode(F.sequence("_s._a", "_s._b")).alias("slot"))
-        .withColumn("_items", items.agg(F.count("*")).scalar())
+    rates = stored(
+        rates.where(F.col("item_id").isNotNull())
+        .groupBy(slot.alias("slot"), "item_id").agg(F.avg(F.coalesce("rate", F.lit(0.0))).alias("rate")),
+        "slot-rates",
     )
-    earlier = Window.partitionBy("item_id").orderBy("slot").rowsBetween(
-        Window.unboundedPreceding, -1
+    spans = best_spans(rates, top, group_rows)
+    means = spans.select("item_id", "total", "_a", F.explode(F.sequence("since", "until")).alias("slot")).select(
+        (F.col("slot") - F.col("_a")).alias("interval"), "item_id",
+        rounded(F.col("total") / (F.col("slot") - F.col("_a"))).alias("mean_rate"),
     )
-    means = grid.join(rates, ["slot", "item_id"], "left").select(
-        "slot", "item_id", "_a", "_items",
-        rounded(F.avg(F.coalesce("rate", F.lit(0.0))).over(earlier)).alias("mean_rate"),
-    )
-    later = top_k(means.where(F.col("slot") > F.col("_a")), top, by="mean_rate", per="slot")
-    first = means.where(F.col("slot") == F.col("_a"))
-    share = F.when(F.col("slot") == F.col("_a"), 1.0 / F.col("_items")).otherwise(
-        F.lit(1.0) / top
+    later = top_k(means, top, by="mean_rate", per="interval").drop("rank")
+    later = later.withColumn("_share", F.lit(1.0) / top)
+    items = rates.select("item_id").distinct()
+    first = items.select(
+        F.lit(0).cast("long").alias("interval"), "item_id", F.lit(None).cast("double").alias("mean_rate"),
+        (1.0 / items.agg(F.count("*")).scalar()).alias("_share"),
     )
-    served = later.drop("rank").unionByName(first)
-    return served.select(
-        (F.col("slot") - F.col("_a")).alias("interval"),
-        "item_id",
-        "mean_rate",
-        rounded(share).alias("share"),
+    share = F.col("_share")
+    return later.unionByName(first).select(
+        "interval", "item_id", "mean_rate", rounded(share).alias("share"),
         F.floor(share * visits).cast("bigint").alias("planned"),
     )
 

@@ -118,7 +118,7 @@ def recommend_from_neighbors(counts: DataFrame, neighbours: DataFrame, k: int =
     """Votes = similar users that hold an item the user lacks."""
     held = counts.select(F.col("user_id").alias("other_user"), "item_id")
     votes = (
-        neighbours.select("user_id", "other_user").join(held, "other_user")
+        spread_join(stored(neighbours.select("user_id", "other_user"), "neighbours"), held, "other_user")
         .groupBy("user_id", "item_id").agg(F.count("*").alias("votes"))
     )
     unseen = drop_seen(votes, counts.select("user_id", "item_id"))
@@ -427,7 +427,7 @@ def routed_candidates(
     by_user = requests.where(F.col("seed_item_id").isNull() & F.col("user_id").isNotNull())
     by_none = requests.where(F.col("seed_item_id").isNull() & F.col("user_id").isNull())
     near = top_k(edges, k, by="similarity", tie="other_id", per="item_id")
-    a = by_seed.join(near.withColumnRenamed("item_id", "seed_item_id"), "seed_item_id").select(
+    a = spread_join(by_seed, near.withColumnRenamed("item_id", "seed_item_id"), "seed_item_id").select(
         "request_id", F.lit("similar").alias("route"), F.col("other_id").alias("item_id"),
         F.col("similarity").alias("score"), "rank",
     )
