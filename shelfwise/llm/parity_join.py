@@ -320,18 +320,38 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
         compare, "a long, b long")
 
 
-def pairs_between(groups: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFrame:
+def newly_joined(root: dict, own: int, others: np.ndarray, apart: np.ndarray) -> list[int]:
+    """Places of others that join a class of components not joined with ``own`` before, the nearest of each."""
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
+    order = np.argsort(apart, kind="stable")
+    _, first = np.unique(others[order], return_index=True)
+    out = []
+    for at in order[np.sort(first)]:
+        a, b = find(int(own)), find(int(others[at]))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append(int(at))
+    return out
+
+
+def pairs_between(members: DataFrame, parts: DataFrame, forest: bool) -> DataFrame:
     """Pairs (a, b) that share a word, lie in different components and may be linked.
 
     Groups that are one component are dropped; a large group is cut into tiles,
     so that a task compares two tiles of it at most. Groups with one leader have
     mostly the same members and go to one task, which passes a pair on once.
+    With ``forest`` a task passes on only pairs that join components it has not
+    joined yet, so fewer pairs than it has members; without, it passes on all.
     """
-    member = groups.select("word", "leader", "node").join(
-        nodes.select("node", "first_id", "n", "sketch"), "node").join(
-        parts.withColumnRenamed("node", "first_id"), "first_id", "left").withColumn(
+    placed_in = parts.withColumnRenamed("node", "first_id")
+    member = members.join(placed_in, "first_id", "left").withColumn(
         "component", F.coalesce("component", "first_id")).drop("first_id")
-    member = stored(member, "members")
     mixed = member.groupBy("word").agg(F.count("*").alias("size"), F.min("component").alias("x"),
                                        F.max("component").alias("y")).where("x <> y").select("word", "size")
     mixed = stored(mixed, "mixed")
@@ -355,6 +375,7 @@ def pairs_between(groups: DataFrame, nodes: DataFrame, parts: DataFrame) -> Data
         new[1:] = (word[1:] != word[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
         cuts = np.append(np.flatnonzero(new), len(word))
         found = [np.zeros((0, 2), np.int64)]
+        root = {}
         for s, e in zip(cuts[:-1], cuts[1:]):
             members = np.arange(s, e)
             # Linked sets lie in one band or in neighbours, so sketches have one length or its double.
@@ -372,7 +393,10 @@ def pairs_between(groups: DataFrame, nodes: DataFrame, parts: DataFrame) -> Data
                     m = n[both[at]]
                     at = at[np.minimum(m, n[i]) * DEN >= np.maximum(m, n[i]) * NUM]
                     apart = np.bitwise_count(rows[at] ^ rows[k]).sum(1, dtype=np.int64)
-                    at = both[at[apart <= most_apart(n[both[at]] + n[i])]]
+                    near = apart <= most_apart(n[both[at]] + n[i])
+                    at, apart = both[at[near]], apart[near]
+                    if forest:
+                        at = at[newly_joined(root, part[i], part[at], apart)]
                     found.append(np.sort(np.stack([np.full(len(at), node[i]), node[at]], 1), 1))
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
@@ -400,10 +424,15 @@ def jaccard_classes(documents: DataFrame, id_col: str = "doc_id", text_col: str
     as_ids = lambda links: links.join(id_of("a"), "a").join(id_of("b"), "b").select("id_a", "id_b")
     links = stored(as_ids(verified(first, nodes, docs)), "links")
     parts = stored(components(links, "id_a", "id_b"), "parts")
-    rest = stored(pairs_between(groups, nodes, parts), "pairs").join(first, ["a", "b"], "left_anti")
-    rest = stored(rest, "pairs")
-    if not rest.isEmpty():
+    members = stored(groups.select("word", "leader", "node").join(
+        nodes.select("node", "first_id", "n", "sketch"), "node"), "members")
+    # A forest of likely links joins most components; then every pair between those still apart is taken.
+    for forest in (True, False):
+        rest = stored(pairs_between(members, parts, forest).join(first, ["a", "b"], "left_anti"), "pairs")
+        if rest.isEmpty():
+            continue
         more = stored(as_ids(verified(rest, nodes, docs)), "links")
+        first = first.union(rest)
         if not more.isEmpty():
             known = parts.select(F.col("node").alias("id_a"), F.col("component").alias("id_b"))
             parts = stored(components(known.union(more), "id_a", "id_b"), "parts")

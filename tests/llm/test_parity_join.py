@@ -124,3 +124,27 @@ def test_short_sketches_are_lengthened():
     code = np.array([(i << 24) * 64 for i in range(1, len(code) + 1)], np.uint64)  # all in one word
     part, band, differ = P.bands(np.array([len(code)]))[0]
     assert P.factor_needed(rows, code, 1, part, band, differ)[0] > 1
+
+
+def test_a_forest_joins_each_class_once():
+    root = {}
+    assert P.newly_joined(root, 1, np.array([2, 3, 2, 4]), np.array([5, 1, 3, 2])) == [1, 3, 2]
+    assert P.newly_joined(root, 4, np.array([2, 3, 9]), np.array([0, 0, 7])) == [2]
+    assert P.newly_joined(root, 9, np.array([1]), np.array([0])) == []
+
+
+def test_links_the_forest_leaves_out_are_found_after_it(spark, monkeypatch):
+    """An empty forest must not end the search: the pass over all pairs follows."""
+    seen = []
+    plain = P.pairs_between
+
+    def passes(members, parts, forest):
+        seen.append(forest)
+        found = plain(members, parts, forest)
+        return found.limit(0) if forest else found
+
+    monkeypatch.setattr(P, "pairs_between", passes)
+    docs = documents(6)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in P.jaccard_classes(df).collect()}
+    assert got == brute(docs) and seen == [True, False]
