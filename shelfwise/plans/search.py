@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import vectors as V
+from shelfwise.operators import live_index
 from shelfwise.operators import vector_index as index
 from shelfwise.operators.ordering import rounded
 from shelfwise.plans.catalog import query
@@ -167,30 +168,71 @@ def recall(v: Views) -> DataFrame:
     return index.recall_at_k(ivf_search(v), exact, sample=None)
 
 
-@query(
-    "h10_add_items",
-    f"""WITH {CELL_SQL}, v_new AS (SELECT item_id, list_transform(u.embedding, lambda x: -x)
+NEW_SQL = f"""{CELL_SQL}, v_new AS (SELECT item_id, list_transform(u.embedding, lambda x: -x)
             AS embedding FROM v_unit u JOIN v_vectors v USING (item_id) WHERE v.label % 2 = 0
           UNION ALL SELECT item_id + 1000000, u.embedding FROM v_unit u
             JOIN v_vectors v USING (item_id) WHERE v.label % 2 = 1),
           v_new_cell AS (SELECT item_id, embedding, code AS cell FROM (
             SELECT u.item_id, u.embedding, c.code, row_number() OVER (PARTITION BY u.item_id
               ORDER BY {sq_sql('u.embedding', 'c.embedding')}, c.code) AS n
-            FROM v_new u CROSS JOIN v_cent c) WHERE n = 1)
-        SELECT item_id, cell, round(list_sum(embedding), 6) AS total FROM (
-          SELECT item_id, embedding, cell FROM v_new_cell UNION ALL
-          SELECT u.item_id, u.embedding, c.cell FROM v_unit u JOIN v_cell c USING (item_id)
-          ANTI JOIN v_new n ON n.item_id = u.item_id)""",
-)
-def added(v: Views) -> DataFrame:
-    """Even labels come again with the opposite vector, odd labels as new items."""
-    cells, centroids = ivf_index(v)
+            FROM v_new u CROSS JOIN v_cent c) WHERE n = 1),
+          v_whole AS (SELECT item_id, embedding, cell FROM v_new_cell UNION ALL
+            SELECT u.item_id, u.embedding, c.cell FROM v_unit u JOIN v_cell c USING (item_id)
+            ANTI JOIN v_new n ON n.item_id = u.item_id)"""
+
+
+def arrivals(v: Views) -> DataFrame:
     even = F.col("label") % 2 == 0
-    new = v.vectors.select(
+    return v.vectors.select(
         F.when(even, F.col("item_id")).otherwise(F.col("item_id") + 1_000_000).alias("item_id"),
         F.when(even, F.transform("embedding", lambda x: -x)).otherwise(F.col("embedding"))
         .alias("embedding"),
     )
+
+
+@query(
+    "h10_add_items",
+    f"""WITH {NEW_SQL}
+        SELECT item_id, cell, round(list_sum(embedding), 6) AS total FROM v_whole""",
+)
+def added(v: Views) -> DataFrame:
+    """Even labels come again with the opposite vector, odd labels as new items."""
+    cells, centroids = ivf_index(v)
     total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
-    whole = index.add_items(cells.select("item_id", "embedding", "cell"), new, centroids)
+    whole = index.add_items(cells.select("item_id", "embedding", "cell"), arrivals(v), centroids)
     return whole.select("item_id", "cell", rounded(total).alias("total"))
+
+
+LIVE_SQL = f"""WITH {IVF_SQL}, {NEW_SQL.removeprefix(CELL_SQL + ", ")}
+    SELECT query_id, item_id, score, row_number() OVER (PARTITION BY query_id
+      ORDER BY score DESC, item_id) AS rank FROM (
+      SELECT p.query_id, x.item_id, round(list_dot_product(q.embedding, x.embedding), 6) AS score
+      FROM v_probe p JOIN v_queries q USING (query_id) JOIN v_whole x USING (cell)
+      WHERE x.item_id % 5 <> 0)
+    QUALIFY rank <= 20"""
+
+
+def live_search(v: Views, compact_last: bool) -> DataFrame:
+    """A base, a compacted batch of arrivals, a batch of removals; then a search."""
+    path = scratch_path(v.spark, "live-index")
+    cells, centroids = ivf_index(v)
+    live_index.create_live(cells, path)
+    live_index.add_changes(arrivals(v), path, 0, centroids)
+    live_index.compact(v.spark, path)
+    gone = live_index.live_rows(v.spark, path).where("item_id % 5 = 0")
+    live_index.remove_items(gone, path, 1)
+    if compact_last:
+        live_index.compact(v.spark, path)
+    return live_index.search_live(path, centroids, v.profile_queries, 20, nprobe=PROBES)
+
+
+@query("h10_live_search", LIVE_SQL)
+def fresh_search(v: Views) -> DataFrame:
+    """Removals are still changes beside the base."""
+    return live_search(v, False)
+
+
+@query("h10_compacted_search", LIVE_SQL)
+def compacted_search(v: Views) -> DataFrame:
+    """The same search when everything is in the base."""
+    return live_search(v, True)

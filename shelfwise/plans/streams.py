@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import vectors as V
+from shelfwise.operators import live_index
 from shelfwise.operators.ordering import rounded
 from shelfwise.plans.catalog import query
-from shelfwise.plans.search import CELL_SQL
+from shelfwise.plans.search import CELL_SQL, IVF_SQL, PROBES, ivf_index
 from shelfwise.plans.views import Views
 from shelfwise.session import scratch_path
 from shelfwise.sources.readers import is_folder
@@ -64,3 +65,19 @@ def added(v: Views) -> DataFrame:
     total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
     current = jobs.read_index(v.spark.read.parquet(out))
     return current.select("item_id", "cell", rounded(total).alias("total"))
+
+
+@query("k02_stream_live_search", f"WITH {IVF_SQL} SELECT * FROM v_ivf WHERE rank <= 20")
+def live_search(v: Views) -> DataFrame:
+    """All vectors arrive as a stream over a base of every third one, reversed; then a compaction."""
+    arriving = stream_table(v, "embeddings").select(
+        F.col("vec_id").alias("item_id"), V.as_doubles("embedding").alias("embedding")
+    )
+    cells, centroids = ivf_index(v)
+    path = scratch_path(v.spark, "live-index")
+    turned = cells.where("item_id % 3 = 0").withColumn("embedding", F.transform("embedding", lambda x: -x))
+    live_index.create_live(turned, path)
+    state = scratch_path(v.spark, "live-state")
+    jobs.stream_live_changes(arriving, path, state, centroids).awaitTermination()
+    live_index.compact(v.spark, path)
+    return live_index.search_live(path, centroids, v.profile_queries, 20, nprobe=PROBES)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.operators.counts import response_rate
+from shelfwise.operators.live_index import add_changes
 from shelfwise.operators.ordering import top_k
 from shelfwise.operators.vector_index import build_flat, nearest_code
 
@@ -61,6 +62,25 @@ def stream_add_items(
     )
 
 
+def stream_live_changes(
+    stream: DataFrame, path: str, checkpoint: str, centroids: DataFrame, first_batch: int = 0
+) -> StreamingQuery:
+    """Feed arriving vectors (null: removed) to a live index; searches see each batch when it is written.
+
+    Batches are numbered from ``first_batch``; a job with a new checkpoint must
+    start behind the last batch of the one before.
+    """
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        add_changes(batch, path, first_batch + batch_id, centroids)
+
+    return (
+        stream.writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
 def read_index(batches: DataFrame) -> DataFrame:
     """The current index from the batch folders: the newest row of every id.
 
