@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +15,7 @@ from shelfwise.functions.vectors import dot
 from shelfwise.operators.blocks import block_logsumexp
 from shelfwise.operators.joins import future_events
 from shelfwise.operators.ordering import rounded
+from shelfwise.session import cut_lineage, stored
 
 END_OF_TEXT = "<|endoftext|>"
 
@@ -51,26 +56,121 @@ def mark_sessions(events: DataFrame, gap_minutes: int = 30, slice_hours: int = 1
     ).drop("_slice", "_local", "_first", "_opened")
 
 
+def _openings(users: pa.Array, us: np.ndarray, gap: int, before: tuple | None) -> np.ndarray:
+    """Whether each row opens a session; without a row before, the first one does not."""
+    opens = np.zeros(len(us), dtype=bool)
+    changed = pc.not_equal(users.slice(1), users.slice(0, len(us) - 1))
+    opens[1:] = changed.to_numpy(zero_copy_only=False) | (np.diff(us) >= gap)
+    if before is not None:
+        opens[0] = users[0].as_py() != before[0] or us[0] - before[1] >= gap
+    return opens
+
+
+def _slice_edges(ordered: DataFrame, gap: int) -> dict[int, int]:
+    """Start of the session that each slice begins in.
+
+    Slices send one row each (first and last event, newest opening inside); the
+    driver, which schedules every slice anyway, carries openings over them.
+    """
+    user_type = ordered.schema["user_id"].dataType.simpleString()
+
+    def edges(batches):
+        first = last = opened = None
+        for batch in batches:
+            if batch.num_rows:
+                users, us = batch.column(0), batch.column(1).to_numpy()
+                heads = np.flatnonzero(_openings(users, us, gap, last))
+                first = first or (users[0].as_py(), int(us[0]))
+                last = users[-1].as_py(), int(us[-1])
+                opened = int(us[heads[-1]]) if len(heads) else opened
+        if first is not None:
+            row = [TaskContext.get().partitionId(), *first, *last, opened]
+            types = [pa.int32(), users.type, pa.int64(), users.type, pa.int64(), pa.int64()]
+            names = ["slice", "user_a", "first", "user_b", "last", "opened"]
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=names)
+
+    schema = (f"slice int, user_a {user_type}, first bigint, user_b {user_type}, "
+              "last bigint, opened bigint")
+    begins, running, before = {}, None, None
+    for e in sorted(ordered.select("user_id", "event_us").mapInArrow(edges, schema).collect()):
+        goes_on = before is not None and e["user_a"] == before[0] and e["first"] - before[1] < gap
+        begins[e["slice"]] = running if goes_on else e["first"]
+        running = begins[e["slice"]] if e["opened"] is None else e["opened"]
+        before = e["user_b"], e["last"]
+    return begins
+
+
+def session_pieces(events: DataFrame, value: str = "item_id", gap_minutes: int = 30) -> DataFrame:
+    """(user_id, session_us, slice, piece, whole, values): sessions in pieces of at most one Arrow batch.
+
+    Events (user_id, item_id, event_us[, value]); the order is by time, then
+    item. Rows without user or time are left out, a null value stays. Events are
+    range-partitioned by (user, time), sorted and checkpointed; one pass over
+    each slice cuts the sessions, so neither a user nor a session is a group and
+    a session of any length costs a task one batch. ``whole`` marks pieces that
+    are complete sessions; the others are in order by (slice, piece).
+    """
+    gap = gap_minutes * 60_000_000
+    order = list(dict.fromkeys(["user_id", "event_us", "item_id", value]))
+    known = events.where(F.col("user_id").isNotNull() & F.col("event_us").isNotNull()).select(*order)
+    ordered = cut_lineage(known.repartitionByRange(*order).sortWithinPartitions(*order))
+    begins = _slice_edges(ordered, gap)
+
+    def cut(batches):
+        here = TaskContext.get().partitionId()
+        start, before, count = begins.get(here), None, 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            users, us = batch.column(0), batch.column(1).to_numpy()
+            opens = _openings(users, us, gap, before)
+            heads = np.flatnonzero(opens)
+            starts = us[heads]
+            if not opens[0]:
+                heads, starts = np.r_[0, heads], np.r_[start, starts]
+            whole = np.ones(len(heads), dtype=bool)
+            whole[0], whole[-1] = bool(opens[0]) and len(heads) > 1, False
+            bounds = np.r_[heads, len(us)].astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [users.take(pa.array(heads)), pa.array(starts.astype(np.int64)),
+                 pa.array(np.full(len(heads), here, dtype=np.int32)),
+                 pa.array(count + np.arange(len(heads), dtype=np.int64)), pa.array(whole),
+                 pa.ListArray.from_arrays(pa.array(bounds), batch.column(2))],
+                names=["user_id", "session_us", "slice", "piece", "whole", "values"])
+            start, count = int(starts[-1]), count + len(heads)
+            before = users[-1].as_py(), int(us[-1])
+
+    types = {c: ordered.schema[c].dataType.simpleString() for c in ("user_id", value)}
+    return ordered.select("user_id", "event_us", value).mapInArrow(
+        cut, f"user_id {types['user_id']}, session_us bigint, slice int, piece bigint, "
+             f"whole boolean, values array<{types[value]}>")
+
+
+def _joined_pieces(pieces: DataFrame) -> DataFrame:
+    """(user_id, session_us, values): only sessions that a batch cut are brought together, by piece."""
+    pieces = stored(pieces, "session-pieces")
+    parts = pieces.where("not whole").groupBy("user_id", "session_us").agg(
+        F.sort_array(F.collect_list(F.struct("slice", "piece", "values"))).alias("_p"))
+    together = parts.select(
+        "user_id", "session_us", F.flatten(F.transform("_p", lambda p: p["values"])).alias("values"))
+    return pieces.where("whole").select("user_id", "session_us", "values").unionByName(together)
+
+
 def build_sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
     """(user_id, session_us, items in time order): one row per session."""
-    marked = mark_sessions(events, gap_minutes)
-    ordered = F.sort_array(F.collect_list(F.struct("event_us", "item_id")))
-    return marked.groupBy("user_id", "session_us").agg(ordered.alias("_e")).select(
-        "user_id", "session_us", F.transform("_e", lambda e: e["item_id"]).alias("items")
-    )
+    sessions = _joined_pieces(session_pieces(events, "item_id", gap_minutes))
+    return sessions.withColumnRenamed("values", "items")
 
 
 def session_sentences(events: DataFrame, ids: DataFrame, gap_minutes: int = 30) -> DataFrame:
     """One sentence of item tokens per session; items without an id are left out."""
-    marked = mark_sessions(events, gap_minutes)
     tokens = ids.select("item_id", sid_token("semantic_id").alias("token"))
-    spoken = marked.join(tokens, "item_id")
-    ordered = F.sort_array(F.collect_list(F.struct("event_us", "item_id", "token")))
-    sessions = spoken.groupBy("user_id", "session_us").agg(ordered.alias("_t"))
-    text = F.concat_ws(" ", F.transform("_t", lambda t: t["token"]))
+    pieces = session_pieces(events.join(tokens, "item_id", "left"), "token", gap_minutes)
+    spoken = pieces.withColumn("values", F.array_compact("values"))
+    sessions = _joined_pieces(spoken).where(F.size("values") > 0)
     return sessions.select(
         "user_id", "session_us",
-        F.concat_ws(" ", text, F.lit(END_OF_TEXT)).alias("sentence"),
+        F.concat_ws(" ", F.concat_ws(" ", "values"), F.lit(END_OF_TEXT)).alias("sentence"),
     )
 
 
