@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,3 +32,31 @@ def draw_sql(seed: int, *keys: str) -> str:
         for _ in range(2):
             x = f"(({x} * {x} + {SHIFT}) % {PRIME})"
     return x
+
+
+def draw_of(seed: int, *keys: int) -> int:
+    """The same for plain numbers."""
+    x = seed
+    for key in keys:
+        x = ((key % PRIME + 1) * FACTOR + x * CARRY) % PRIME
+        for _ in range(2):
+            x = (x * x + SHIFT) % PRIME
+    return x
+
+
+def normal(seed: int, *keys: Column | str) -> Column:
+    """A draw from the standard normal distribution for whole-number keys."""
+    u, v = ((draw(seed + i, *keys) + 0.5) / F.lit(float(PRIME)) for i in (1, 2))
+    return F.sqrt(-2 * F.log(u)) * F.cos(v * F.lit(2 * math.pi))
+
+
+def normal_sql(seed: int, *keys: str) -> str:
+    """The same as SQL."""
+    u, v = (f"(({draw_sql(seed + i, *keys)} + 0.5e0) / {float(PRIME)!r}e0)" for i in (1, 2))
+    return f"(sqrt(-2 * ln({u})) * cos({v} * {2 * math.pi!r}e0))"
+
+
+def normal_of(seed: int, *keys: int) -> float:
+    """The same for plain numbers."""
+    u, v = ((draw_of(seed + i, *keys) + 0.5) / PRIME for i in (1, 2))
+    return math.sqrt(-2 * math.log(u)) * math.cos(v * 2 * math.pi)

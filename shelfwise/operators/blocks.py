@@ -184,13 +184,18 @@ def block_top_k(
     return top_k(found, k, per="query_id", ascending=ascending)
 
 
-def block_distance_sums(points: DataFrame, label: str, tile: int = QUERY_BLOCK) -> DataFrame:
+def block_distance_sums(
+    points: DataFrame, label: str, tile: int = QUERY_BLOCK, probes: DataFrame | None = None
+) -> DataFrame:
     """Per point and label: the sum of Euclidean distances to the label's points.
 
     ``points`` (item_id, embedding, label). Only sums leave a block, never pairs.
+    With ``probes`` (query_id, embedding, cell) only those labels (cell) of each point.
     """
     queries = points.select(F.col("item_id").alias("query_id"), "embedding")
     index = points.select("item_id", F.col(label).alias("_label"), "embedding")
+    if probes is not None:
+        queries, index = probes, index.withColumn("cell", F.col("_label").cast("bigint"))
     q, x, keys = paired_blocks(queries, index, tile, tile)
     q = q.select(*keys, "query_id", F.col("embedding").cast("array<double>"))
     x = x.select(*keys, "item_id", "_label", F.col("embedding").cast("array<double>"))

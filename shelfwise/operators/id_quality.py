@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import vectors as V
-from shelfwise.operators.blocks import block_distance_sums
+from shelfwise.operators.blocks import QUERY_BLOCK, _matrix, block_distance_sums
 from shelfwise.operators.ordering import ratio, rounded, top_k
 from shelfwise.session import stored
 
@@ -16,6 +18,9 @@ from shelfwise.session import stored
 USAGE_TARGET = 80.0
 COLLAPSE_LIMIT = 0.05
 COHERENCE_CUT = 0.5
+# Numbers of a model of label moments: labels x dimensions^2, 64 MB.
+MOMENTS = 1 << 23
+BOUND_SLACK = 1e-9
 GRADES = {
     "reconstruction": (0.9, 0.8),
     "silhouette": (0.4, 0.3),
@@ -116,16 +121,116 @@ def reconstruction_metrics(pairs: DataFrame) -> DataFrame:
     )
 
 
-def silhouette(points: DataFrame, label: str = "label") -> DataFrame:
+def _label_sums(points: DataFrame, labels: np.ndarray, add: Callable, width: int) -> np.ndarray:
+    """One row of ``width`` sums per label: ``add(rows, place)`` over all points of a label in a batch.
+
+    Tasks send a row per label they saw; a label's rows are as many as tasks.
+    """
+    def partial(batches):
+        total, seen = np.zeros((len(labels), width)), np.zeros(len(labels), dtype=bool)
+        for batch in batches:
+            if batch.num_rows:
+                x, place = _matrix(pa.chunked_array([batch.column(0)])), np.searchsorted(labels, batch.column(1))
+                for p in np.unique(place):
+                    total[p] += add(x[place == p], p)
+                    seen[p] = True
+        place = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(place), pa.array(list(total[place]), pa.list_(pa.float64()))], names=["place", "sums"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        return pa.table({"place": table["place"][:1],
+                         "sums": pa.array([_matrix(table["sums"]).sum(axis=0)], pa.list_(pa.float64()))})
+
+    schema = "place bigint, sums array<double>"
+    merged = points.mapInArrow(partial, schema).groupBy("place").applyInArrow(merge, schema)
+    total = np.zeros((len(labels), width))
+    for r in merged.toLocalIterator():
+        total[r["place"]] = r["sums"]
+    return total
+
+
+def near_labels(points: DataFrame, label: str = "label", bound: int = MOMENTS) -> DataFrame | None:
+    """(query_id, embedding, cell): each point with its own label and those that may have the least mean distance.
+
+    With mean m and variance w of the squared distances to a label's points,
+    their mean distance lies between sqrt(m) * (1 - w / (2 m^2)) and sqrt(m),
+    and is at least the distance to the centroid. Both moments follow exactly
+    from the label's centroid, covariance and third and fourth moments, so a
+    label whose lower bound is above another one's upper bound is left out.
+    None if labels x dimensions^2 exceeds ``bound`` (the model travels to the tasks).
+    """
+    some = points.select(F.size("embedding").alias("dim")).first()
+    if some is None:
+        return None
+    dim = some["dim"]
+    most = bound // (dim * dim) if dim > 0 else 0
+    sizes = points.groupBy(F.col(label).alias("l")).agg(F.count("*").alias("n")).limit(most + 1).collect()
+    if len(sizes) > most:
+        return None
+    labels, n = (np.array(x) for x in zip(*sorted((r["l"], r["n"]) for r in sizes)))
+    rows = points.select(V.as_doubles("embedding").alias("embedding"), F.col(label).cast("bigint").alias("l"))
+    n = n[:, None].astype(np.float64)
+    centres = _label_sums(rows, labels, lambda x, p: x.sum(axis=0), dim) / n
+
+    def central(x: np.ndarray, p: int) -> np.ndarray:
+        r = x - centres[p]
+        square = (r * r).sum(axis=1)
+        return np.concatenate([[square.sum(), square @ square], square @ r, (r.T @ r).ravel()])
+
+    moments = _label_sums(rows, labels, central, 2 + dim + dim * dim) / n
+    model = labels, centres, moments[:, 0], moments[:, 1], moments[:, 2:2 + dim], moments[:, 2 + dim:]
+    shared = points.sparkSession.sparkContext.broadcast(model)
+
+    def choose(batches):
+        labels, centres, second, fourth, third, spread = shared.value
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            x, own = _matrix(pa.chunked_array([batch.column(1)])), np.searchsorted(labels, batch.column(2))
+            low, high = np.empty((len(x), len(labels))), np.empty((len(x), len(labels)))
+            for p in range(len(labels)):
+                u = x - centres[p]
+                away = (u * u).sum(axis=1)
+                mean = away + second[p]
+                w = 4 * ((u @ spread[p].reshape(dim, dim)) * u).sum(axis=1) - 4 * u @ third[p]
+                w = np.maximum(w + fourth[p] - second[p] ** 2, 0.0)
+                high[:, p] = np.sqrt(mean)
+                part = np.divide(w, 2 * mean * mean, out=np.zeros(len(x)), where=mean > 0)
+                low[:, p] = np.maximum(high[:, p] * (1 - part), np.sqrt(away))
+            here = np.arange(len(x))
+            high[here, own] = np.inf
+            # Bounds are widened by more than their rounding; what is not a number is compared.
+            near = ~(low * (1 - BOUND_SLACK) > high.min(axis=1, keepdims=True) * (1 + BOUND_SLACK))
+            near[here, own] = True
+            row, place = np.nonzero(near)
+            taken = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(labels[place])],
+                names=["query_id", "embedding", "cell"])
+
+    ready = points.select("item_id", V.as_doubles("embedding").alias("embedding"), F.col(label).cast("bigint").alias("l"))
+    return ready.mapInArrow(choose, "query_id bigint, embedding array<double>, cell bigint")
+
+
+def silhouette(
+    points: DataFrame, label: str = "label", bound: int = MOMENTS, whole: int = QUERY_BLOCK
+) -> DataFrame:
     """One row: exact Euclidean silhouette; singletons count 0, fewer than 2 labels give -1.
 
-    The distance sums are exact and need every pair once, in blocks; only
-    (point, label) sums are shuffled.
+    A point is compared with its own label and the labels that can be nearest
+    (``near_labels``); a table of at most ``whole`` points, which is one block
+    anyway, or with too many labels for that model, is compared as a whole, with
+    the same result. Sums are exact, and only (point, label) sums are shuffled.
+    Rows without label are left out.
     """
-    points = stored(points.select("item_id", "embedding", label), "points")
+    points = stored(points.select("item_id", "embedding", label).where(F.col(label).isNotNull()), "points")
     sizes = points.groupBy(F.col(label).alias("other")).agg(F.count("*").alias("members"))
     own = points.select("item_id", F.col(label).alias("own"))
-    sums = block_distance_sums(points, label).join(sizes, "other").join(own, "item_id")
+    probes = near_labels(points, label, bound) if points.count() > whole else None
+    if probes is not None:
+        probes = stored(probes, "near-labels")
+    sums = block_distance_sums(points, label, probes=probes).join(sizes, "other").join(own, "item_id")
     same = F.col("other") == F.col("own")
     inner = F.max(F.when(same, ratio(F.col("distance"), F.col("members") - 1)))
     outer = F.min(F.when(~same, F.col("distance") / F.col("members")))

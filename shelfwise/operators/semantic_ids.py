@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import vectors as V
+from shelfwise.functions.draws import normal
 from shelfwise.operators.blocks import small_matrix
 from shelfwise.operators.ordering import leaf_numbers, rounded
 from shelfwise.operators.vector_index import (
@@ -219,14 +220,19 @@ def reset_dead_codes(
     codebook: DataFrame, usage: DataFrame, threshold: float = 1.0, seed: int = 42,
     noise: float = NOISE,
 ) -> DataFrame:
-    """Codes used less than ``threshold`` take a live centroid plus noise and size 1.
+    """Codes used less than ``threshold`` take a live centroid plus noise; their running counts start anew.
 
-    Which live code is taken depends on the code and the seed only, so a
-    repeated task draws the same. Returns (code, embedding, dead).
+    Returns (code, embedding, dead, cluster_size, embed_avg): a code set anew has
+    size 1 and its own vector as running sum. Other codes keep these columns of
+    ``codebook``; where it has none, the size is the usage and the sum is the
+    vector times the size. Without any live code all stay as they are. Which live
+    code and which noise is drawn depends on code, dimension and seed only.
     """
     used = codebook.join(usage, "code", "left")
-    dead = F.coalesce("used", F.lit(0)) < threshold
-    marked = used.select("code", "embedding", dead.alias("dead"))
+    count = F.coalesce("used", F.lit(0))
+    size = F.col("cluster_size") if "cluster_size" in codebook.columns else count
+    marked = used.select("code", "embedding", (count < threshold).alias("dead"), size.cast("double").alias("_size"),
+                         *[c for c in ("embed_avg",) if c in codebook.columns])
     live = marked.where(~F.col("dead")).select(
         (F.row_number().over(Window.orderBy("code")) - 1).cast("bigint").alias("_place"),
         F.col("embedding").alias("_live"),
@@ -234,17 +240,14 @@ def reset_dead_codes(
     n_live = live.agg(F.count("*")).scalar()
     place = F.pmod(F.col("code") * PICK_STEP + seed, F.greatest(n_live, F.lit(1)))
     drawn = marked.withColumn("_place", place).join(live, "_place", "left")
-    far = F.lit(float(2**53))
-
-    def uniform(i: Column, salt: int) -> Column:
-        return (F.pmod(F.xxhash64("code", i, F.lit(seed + salt)), F.lit(2**53)) + 0.5) / far
-
-    def shaken(x: Column, i: Column) -> Column:
-        radius = F.sqrt(-2 * F.log(uniform(i, 1)))
-        return x + F.lit(noise) * radius * F.cos(uniform(i, 2) * F.lit(6.283185307179586))
-
-    fresh = F.transform("_live", shaken) if noise else F.col("_live")
-    revived = F.when(F.col("dead") & F.col("_live").isNotNull(), fresh)
-    return drawn.select(
-        "code", F.coalesce(revived, F.col("embedding")).alias("embedding"), "dead"
+    revived = F.col("dead") & F.col("_live").isNotNull()
+    fresh = F.transform("_live", lambda x, i: x + F.lit(noise) * normal(seed, F.col("code"), i)) if noise else F.col("_live")
+    reset = drawn.withColumn("_reset", revived).withColumn(
+        "embedding", F.when(revived, fresh).otherwise(F.col("embedding"))
+    ).withColumn("cluster_size", F.when(revived, F.lit(1.0)).otherwise(F.col("_size")))
+    total = F.col("embed_avg") if "embed_avg" in codebook.columns else F.transform(
+        "embedding", lambda x: x * F.col("cluster_size"))
+    return reset.select(
+        "code", "embedding", "dead", "cluster_size",
+        F.when(F.col("_reset"), F.col("embedding")).otherwise(total).alias("embed_avg"),
     )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import vectors as V
 from shelfwise.functions.checks import vector_dim_check
+from shelfwise.functions.draws import normal_of
 from shelfwise.operators.blocks import _matrix, _pick, _round, _scores, block_top_k, paired_blocks, small_matrix
 from shelfwise.operators.ordering import SCORE_DIGITS, ratio, rounded, top_k
 from shelfwise.session import cut_lineage, stored
@@ -360,9 +361,10 @@ def hash_buckets(
 ) -> DataFrame:
     """One row per hash table with the vector's bucket as ``cell``.
 
-    A bucket is the sign pattern against ``bits`` random hyperplanes.
+    A bucket is the sign pattern against ``bits`` random hyperplanes, whose
+    numbers are draws by (plane, dimension), so that SQL has the same planes.
     """
-    planes = np.random.default_rng(seed).standard_normal((tables * bits, dim))
+    planes = np.array([[normal_of(seed, b, d) for d in range(dim)] for b in range(tables * bits)])
     shared = vectors.sparkSession.sparkContext.broadcast(planes)
 
     @F.pandas_udf("array<bigint>")

@@ -201,6 +201,12 @@ def crosses(v: Views) -> DataFrame:
     return cells.select("item_id", F.col("dim").cast("bigint").alias("dim"), rounded("x").alias("x"))
 
 
+@query("b01_require_columns", "SELECT count(*) AS events, count(item_id) AS with_item FROM v_interactions")
+def required(v: Views) -> DataFrame:
+    events = checks.require_columns(v.events, ["user_id", "item_id", "event_us"])
+    return events.agg(F.count("*").alias("events"), F.count("item_id").alias("with_item"))
+
+
 @query(
     "b17_vector_dim_check",
     f"""SELECT count(*) AS vectors, CAST(coalesce(sum(CASE WHEN len(embedding) <> {DIM}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.functions.draws import normal_sql
 from shelfwise.operators import id_quality as quality
 from shelfwise.operators import semantic_ids as sids
 from shelfwise.operators.ordering import rounded
@@ -224,6 +225,35 @@ def revived(v: Views) -> DataFrame:
     return cells(fresh, "code", "dead")
 
 
+@query(
+    "i15_reset_with_noise",
+    f"""WITH v_m AS (SELECT b.code, b.embedding, coalesce(n, 0) AS n FROM v_book0_0 b LEFT JOIN
+          (SELECT code, count(*) AS n FROM v_near0_0 GROUP BY code) USING (code)),
+        v_live AS (SELECT row_number() OVER (ORDER BY code) - 1 AS place, embedding FROM v_m
+          WHERE n >= {DEAD_BELOW}),
+        v_new AS (SELECT m.code, m.n, m.n < {DEAD_BELOW} AS dead,
+            m.n < {DEAD_BELOW} AND l.embedding IS NOT NULL AS revived,
+            CASE WHEN m.n < {DEAD_BELOW} THEN coalesce(l.embedding, m.embedding) ELSE m.embedding
+            END AS embedding FROM v_m m LEFT JOIN v_live l
+          ON l.place = (m.code * 7919 + 42) % greatest((SELECT count(*) FROM v_live), 1)),
+        v_x AS (SELECT code, n, dead, revived, CAST(generate_subscripts(embedding, 1) - 1 AS BIGINT)
+            AS dim, unnest(embedding) AS x FROM v_new),
+        v_y AS (SELECT code, dead, dim, CASE WHEN revived THEN 1.0e0 ELSE CAST(n AS DOUBLE) END AS size,
+            CASE WHEN revived THEN x + 0.01e0 * {normal_sql(42, "code", "dim")} ELSE x END AS y FROM v_x)
+        SELECT code, dead, dim, round(y, 6) AS x, size AS cluster_size, round(y * size, 6) AS total
+        FROM v_y""",
+)
+def revived_with_noise(v: Views) -> DataFrame:
+    book = first_k_codebook(v.vectors, K0)
+    used = sids.assign_codes(v.vectors, book).groupBy("code").agg(F.count("*").alias("used"))
+    fresh = sids.reset_dead_codes(book, used, threshold=DEAD_BELOW)
+    both = F.arrays_zip(F.col("embedding").alias("x"), F.col("embed_avg").alias("total"))
+    return fresh.select("code", "dead", "cluster_size", F.posexplode(both).alias("dim", "_b")).select(
+        "code", "dead", F.col("dim").cast("bigint").alias("dim"), "cluster_size",
+        rounded("_b.x").alias("x"), rounded("_b.total").alias("total"),
+    )
+
+
 def rebuilt_pairs(v: Views) -> DataFrame:
     return v.quantized.select("item_id", "embedding", F.col("quantized").alias("rebuilt"))
 
@@ -272,6 +302,12 @@ def silhouette_first(v: Views) -> DataFrame:
     return quality.silhouette(coded_points(v), "first")
 
 
+@query("i17_silhouette_near", silhouette_sql(f"c0 * {K1} + c1"))
+def silhouette_near(v: Views) -> DataFrame:
+    """By the bounds, however small the table is."""
+    return quality.silhouette(coded_points(v), "prefix", whole=0)
+
+
 @query("i17_silhouette_prefix", silhouette_sql(f"c0 * {K1} + c1"))
 def silhouette_prefix(v: Views) -> DataFrame:
     return quality.silhouette(coded_points(v), "prefix")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import vectors as V
+from shelfwise.functions.draws import normal_sql
 from shelfwise.operators import live_index
 from shelfwise.operators import vector_index as index
 from shelfwise.operators.ordering import rounded
@@ -150,11 +151,39 @@ def reloaded_search(v: Views) -> DataFrame:
     return index.ivf_search(loaded, writers.load_centroids(v.spark, path), v.profile_queries, 20, nprobe=PROBES)
 
 
-@query("h08_lsh_search")
+def lsh_sql(tables: int, bits: int) -> str:
+    """All items that share a bucket with the query, by the same planes."""
+    def buckets(of: str, key: str) -> str:
+        return f"""(SELECT {key}, b // {bits} AS t, sum(CASE WHEN list_dot_product(embedding, plane) > 0
+            THEN 1 << (b % {bits}) ELSE 0 END) AS bucket FROM {of} CROSS JOIN v_plane GROUP BY ALL)"""
+    return f"""{FLAT_SQL}, v_plane AS (SELECT b, list(g ORDER BY d) AS plane FROM (SELECT b, d,
+          {normal_sql(42, "b", "d")} AS g FROM (SELECT unnest(range({tables * bits})) AS b)
+          CROSS JOIN (SELECT unnest(range({DIM})) AS d)) GROUP BY b),
+        v_met AS (SELECT DISTINCT query_id, item_id FROM {buckets("v_queries", "query_id")} q
+          JOIN {buckets("v_unit", "item_id")} x USING (t, bucket)),
+        v_lsh AS (SELECT query_id, item_id, f.score, row_number() OVER (PARTITION BY query_id
+          ORDER BY f.score DESC, item_id) AS rank FROM v_met JOIN v_flat f USING (query_id, item_id))"""
+
+
+@query("h08_lsh_search", f"WITH {lsh_sql(8, 6)} SELECT * FROM v_lsh WHERE rank <= 20")
 def lsh(v: Views) -> DataFrame:
     return index.lsh_search(v.unit, v.profile_queries, 20, DIM)
 
 
+@query(
+    "h08_lsh_recall",
+    f"""WITH {lsh_sql(16, 3)} SELECT count(l.item_id) AS hits, count(*) AS expected,
+          round(count(l.item_id) / count(*), 6) AS recall
+        FROM (SELECT * FROM v_flat WHERE rank <= 20) f LEFT JOIN
+          (SELECT * FROM v_lsh WHERE rank <= 20) l
+          ON l.query_id = f.query_id AND l.item_id = f.item_id""",
+)
+def lsh_recall(v: Views) -> DataFrame:
+    """Wide buckets (3 bits) in 16 tables."""
+    found = index.lsh_search(v.unit, v.profile_queries, 20, DIM, tables=16, bits=3)
+    return index.recall_at_k(found, index.search_flat(v.unit, v.profile_queries, 20))
+
+
 @query(
     "h09_recall_at_k",
     f"""WITH {IVF_SQL} SELECT count(i.item_id) AS hits, count(*) AS expected,

@@ -13,7 +13,7 @@ QUERIES = registered.QUERIES
 ORACLES = registered.ORACLES
 # Random or iterative fits, checked by their properties in the other tests.
 WITHOUT_SQL = {
-    "h04_ivf_build_kmeans", "h07_pq_recall", "h08_lsh_search", "i01_fit_codebooks_kmeans",
+    "h04_ivf_build_kmeans", "h07_pq_recall", "i01_fit_codebooks_kmeans",
 }
 
 

@@ -131,6 +131,24 @@ def test_silhouette_and_singletons(spark):
     assert id_quality.calinski_harabasz(same).first()[0] == 0.0
 
 
+@pytest.mark.parametrize("spread", [0.2, 1.0, 4.0])
+def test_near_labels_hold_the_nearest(spark, spread):
+    n, dim = 240, 12
+    label = np.r_[np.zeros(80, int), RNG.integers(1, 9, size=n - 81), [20]]
+    x = RNG.normal(size=(21, dim))[label] * 2 + spread * RNG.normal(size=(n, dim))
+    x[5] = x[6]
+    points = frame(spark, x, extra=[(int(v),) for v in label])
+    kept = {(r.query_id, r.cell) for r in id_quality.near_labels(points).collect()}
+    far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    for i in range(n):
+        mean = {v: far[i, label == v].mean() for v in set(label.tolist()) - {label[i]}}
+        assert (i, label[i]) in kept and (i, min(mean, key=mean.get)) in kept
+    assert len(kept) < n * 10 * (0.6 if spread < 4 else 1)
+    near, every = (id_quality.silhouette(points, bound=b, whole=0).first()[0] for b in (1 << 20, 1))
+    assert near == every
+
+
+
 def test_block_sums_over_tiles(spark):
     x = RNG.normal(size=(20, DIM))
     points = frame(spark, x, extra=[(i % 3,) for i in range(20)])
@@ -180,6 +198,15 @@ def test_dead_codes_with_noise_repeat(spark, rows):
     for _, v in first[2:]:
         gap = min(np.abs(np.array(v) - w).max() for w in live)
         assert 0 < gap < 0.1
+    state = {r.code: r for r in a.collect()}
+    assert [state[c].cluster_size for c in range(6)] == [5.0, 9.0, 1.0, 1.0, 1.0, 1.0]
+    assert state[3].embed_avg == state[3].embedding
+    assert np.allclose(state[1].embed_avg, 9 * np.array(state[1].embedding))
+    later = semantic_ids.reset_dead_codes(a.drop("dead"), used.where("code = 1"))
+    kept = {r.code: r for r in later.collect()}
+    assert kept[1] == state[1] and kept[0].cluster_size == 1.0 and kept[0].dead
+    nothing = semantic_ids.reset_dead_codes(book, used.where("code = 99"))
+    assert rows(nothing, "code", "embedding") == rows(book, "code", "embedding")
 
 
 def test_joint_score_against_numpy(spark):
