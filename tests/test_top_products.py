@@ -103,3 +103,15 @@ def test_empty_null_and_useless_rows(spark):
     assert tp.top_products(spark.createDataFrame([], kind), 3).collect() == []
     rows = [(None, 1, 1.0), (1, None, 1.0), (1, 2, 0.0), (1, 3, -1.0), (1, 4, None), (1, 5, 1.0), (2, 5, 2.0), (3, 6, 1.0)]
     assert got(tp.top_products(spark.createDataFrame(rows, kind), 3, digits=None)) == {(1, 1): (2, 2.0), (2, 1): (1, 2.0)}
+
+
+def test_only_full_lists_leave_the_search(spark, monkeypatch):
+    """However many blocks are visited, no more than k rows per member are given on."""
+    found, top_k = [], tp.top_k
+    monkeypatch.setattr(tp, "top_k", lambda df, *args, **names: found.append(df) or top_k(df, *args, **names))
+    monkeypatch.setattr(tp, "HELD", 40)
+    m, ids = data(6, 150, 12, 0.9, True), np.arange(150)
+    lists = got(tp.top_products(frame(spark, m, ids), 4, digits=None, block=10))
+    want = brute(m, ids, 4, None)
+    assert {p: j for p, (j, _) in lists.items()} == {p: j for p, (j, _) in want.items()}
+    assert found[0].count() == len(want)
