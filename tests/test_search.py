@@ -338,3 +338,25 @@ def test_nearest_cells_of_a_large_codebook_are_the_same(spark, monkeypatch, rows
     want = rows(index.nearest_cells(queries, book, 4), "query_id", "cell")
     monkeypatch.setattr(index, "MODEL_CODES", 3)
     assert rows(index.nearest_cells(queries, book, 4), "query_id", "cell") == want and len(want) == 80
+
+
+def test_an_item_in_several_cells_counts_once_and_only_full_lists_leave_a_task(spark, monkeypatch):
+    """Neither queries nor vectors are repeated per block: one row per query and place is given on."""
+    x, q = RNG.normal(size=(90, DIM)), RNG.normal(size=(9, DIM))
+    vectors, asked = frame(spark, x), frame(spark, q, "query_id")
+    cells = vectors.withColumn("cell", F.explode(F.array(F.col("item_id") % 3, F.lit(3), 4 + F.col("item_id") % 2)))
+    named = asked.withColumn("cells", F.sequence(F.lit(0).cast("long"), F.lit(5).cast("long")))
+    want = {(i, r + 1): int(j) for i in range(9) for r, j in enumerate(np.lexsort((range(90), -np.round(q @ x.T, 6)[i]))[:7])}
+    found = index.block_top_k(named, cells, 7, tile=8)
+    assert {(r.query_id, r["rank"]): r.item_id for r in found.collect()} == want
+    monkeypatch.setattr(blocks, "FILE_ROWS", 20)
+    given, top_k = [], blocks.top_k
+    monkeypatch.setattr(blocks, "top_k", lambda df, *args, **names: given.append(df) or top_k(df, *args, **names))
+    for tables, one in ((named, cells), (asked, vectors)):
+        again = index.block_top_k(tables, one, 7, tile=8)
+        assert {(r.query_id, r["rank"]): r.item_id for r in again.collect()} == want
+    monkeypatch.setattr(blocks, "QUERY_BLOCK", 1)
+    given.clear()
+    every = [index.block_top_k(asked.unionByName(asked.withColumn("query_id", F.col("query_id") + 100 * n)), vectors, 7, tile=8)
+             for n in (1, 2)]
+    assert not given and all(df.count() == 18 * 7 for df in every)
