@@ -13,8 +13,11 @@ CARRY = 69621
 SHIFT = 12820163
 
 
-def draw(seed: int, *keys: Column | str) -> Column:
-    """A number from 0 to PRIME - 1 for whole-number keys; two quadratic rounds per key."""
+def draw(seed: int | Column, *keys: Column | str) -> Column:
+    """A number from 0 to PRIME - 1 for whole-number keys; two quadratic rounds per key.
+
+    A draw of the first keys may be the seed for the rest of them.
+    """
     x = F.lit(seed).cast("bigint")
     for key in keys:
         k = F.pmod((F.col(key) if isinstance(key, str) else key).cast("bigint"), F.lit(PRIME))

@@ -74,6 +74,14 @@ def test_random_items(spark, k):
     assert sorted(map(tuple, got)) == sorted(map(tuple, again))
 
 
+def test_random_items_broadcast_no_draws(spark):
+    requests = spark.range(400).withColumnRenamed("id", "request_id")
+    items = spark.range(50).withColumnRenamed("id", "item_id")
+    plan = similarity.random_items(requests, items, 3)._jdf.queryExecution().executedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join [dense_id" in line)
+    assert "SortMergeJoin" in join
+
+
 def test_tags(spark, rows):
     items = spark.createDataFrame(
         [(1, ["a", "b"]), (2, ["b", "a"]), (3, ["b", "c"]), (4, []), (5, None), (6, ["z"])],
