@@ -55,6 +55,22 @@ def test_genre_overlap_of_nulls_repeats_and_empty(spark):
     assert joins.genre_overlap_join(requests, owned, items.limit(0)).count() == 0
 
 
+def test_genre_overlap_of_one_genre_is_made_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(joins, "KEYS_TOGETHER", 4)
+    items = spark.range(70_000).select(F.col("id").alias("item_id"), F.array(F.lit("a")).alias("genres"))
+    requests = spark.range(9).withColumnRenamed("id", "request_id")
+    owned = requests.withColumn("item_id", F.lit(5).cast("long"))
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        got = joins.genre_overlap_join(requests, owned, items).withColumn("part", F.spark_partition_id())
+        seen = got.groupBy("part").agg(F.count("*").alias("n"), F.sum("item_id").alias("items")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert len(seen) > 1
+    assert sum(r.n for r in seen) == 9 * 70_000 and sum(r["items"] for r in seen) == 9 * 69_999 * 35_000
+
+
 def popular_by_hand(requests, seen, items, n):
     counts = Counter(i for _, i in seen)
     most = max(counts.values(), default=1)
