@@ -247,13 +247,25 @@ def exposure_distribution(recs: DataFrame) -> DataFrame:
 
 
 def list_overlap(a: DataFrame, b: DataFrame, k: int, key: str = "user_id") -> DataFrame:
-    """Per request: items in both lists, and places of the k that changed."""
-    shared = a.select(key, "item_id").join(b.select(key, "item_id"), [key, "item_id"])
-    counts = shared.groupBy(key).agg(F.count("*").alias("n"))
-    kept = F.coalesce("n", F.lit(0)).cast("bigint")
+    """Per request: items in both lists, and places of the k that changed.
+
+    Rows of both lists are dealt by the request over a set number of parts and
+    counted there: neither list is taken for small, and a part holds whole
+    requests, so nothing is shuffled twice.
+    """
+    parts = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    rows = a.select(key, "item_id", one.alias("_a"), none.alias("_b")).unionByName(
+        b.select(key, "item_id", none.alias("_a"), one.alias("_b"))
+    )
+    items = rows.repartition(parts, key).groupBy(key, "item_id").agg(
+        F.sum("_a").alias("_a"), F.sum("_b").alias("_b")
+    )
+    met = F.when(F.col(key).isNotNull() & F.col("item_id").isNotNull(), F.col("_a") * F.col("_b"))
+    kept = F.coalesce(F.sum(met), F.lit(0)).cast("bigint")
     return (
-        a.select(key).distinct().join(counts, key, "left")
-        .select(key, kept.alias("shared"), (F.lit(k) - kept).cast("bigint").alias("changed"))
+        items.groupBy(key).agg(F.sum("_a").alias("_a"), kept.alias("shared")).where(F.col("_a") > 0)
+        .select(key, "shared", (F.lit(k) - F.col("shared")).cast("bigint").alias("changed"))
     )
 
 

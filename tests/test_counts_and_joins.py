@@ -199,3 +199,13 @@ def test_pair_sums_do_not_depend_on_the_way(spark, rows):
     assert rows(joins.co_sums(df, "g", "m", "w", dense=1)) == joined
     assert rows(joins.co_sums(df, "g", "m", "w", hot=1)) == joined
     assert len(joined) == 6
+
+
+def test_list_overlap_of_missing_and_unequal_lists(spark, rows):
+    schema = "user_id long, item_id long"
+    a = spark.createDataFrame([(1, 5), (1, 6), (2, 5), (3, None), (None, 5)], schema)
+    b = spark.createDataFrame([(1, 6), (1, 7), (3, None), (4, 5), (None, 5)], schema)
+    got = counts.list_overlap(a, b, 2)
+    assert rows(got, "user_id", "shared", "changed") == [(1, 1, 1), (2, 0, 2), (3, 0, 2), (None, 0, 2)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and plan.count("Exchange hashpartitioning") == 1
