@@ -33,6 +33,15 @@ def test_similar_by_tags(spark, k, hot):
     assert got == by_hand(items, k)
 
 
+def test_tag_lists_are_taken_without_a_ranking_per_item(spark):
+    items = spark.range(40).select(F.col("id").alias("item_id"), F.array(F.lit("a")).alias("tags"))
+    near = similarity.similar_by_tags(items, 3)
+    steps = near._jdf.queryExecution().executedPlan().toString().splitlines()
+    last = next(i for i, line in enumerate(steps) if "Join [tags" in line)
+    assert "SortMergeJoin" in steps[last] and not any("Window" in line for line in steps[:last])
+    assert near.count() == 120
+
+
 def test_pairs_above_finds_every_pair_once(spark):
     rng = random.Random(3)
     tags = {tuple(sorted(rng.sample("abcdefghij", rng.randint(1, 7)))) for _ in range(80)}
