@@ -190,12 +190,28 @@ def multi_token_labels(
     return ahead.select("anchor_id", "user_id", "item_id", "hours_ahead", weight.alias("weight"))
 
 
+def label_logits(labels: DataFrame, pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """``labels`` with the dot product of their user's and item's vectors; without either they are dropped.
+
+    ``pairs`` (user_id, item_id) are those that labels may hold. A user meets an
+    item in many labels, so vectors are joined to distinct pairs and only the
+    product to the labels. ``users`` and ``items`` have an ``embedding``.
+    """
+    used = pairs.select("user_id", "item_id").distinct()
+    vectors = used.join(items.select("item_id", F.col("embedding").alias("_i")), "item_id")
+    scored = vectors.join(users.select("user_id", F.col("embedding").alias("_u")), "user_id").select(
+        "user_id", "item_id", dot("_u", "_i").alias("logit")
+    )
+    return labels.join(stored(scored, "pair-logits"), ["user_id", "item_id"])
+
+
 def weighted_log_softmax_loss(labels: DataFrame, key: str = "anchor_id") -> DataFrame:
     """-sum(w * log_softmax(logit)) per key, the softmax over its labelled rows.
 
     ``labels`` (key, logit, weight). Two aggregations, so a key's rows are
-    never brought together.
+    never brought together; the labels are stored, as both read them.
     """
+    labels = stored(labels.select(key, "logit", "weight"), "label-logits")
     highest = labels.groupBy(key).agg(F.max("logit").alias("_m"))
     scaled = labels.join(highest, key)
     sums = scaled.groupBy(key).agg(

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.draws import draw_sql
-from shelfwise.functions.vectors import dot
 from shelfwise.operators import sequences
 from shelfwise.operators.ordering import rounded
 from shelfwise.plans.catalog import query
@@ -78,11 +77,8 @@ def labels(v: Views) -> DataFrame:
 )
 def label_loss(v: Views) -> DataFrame:
     found = sequences.multi_token_labels(anchors(v), rewards(v))
-    users = v.profiles.withColumnRenamed("embedding", "_u")
-    scored = found.join(users, "user_id").join(v.vectors.select("item_id", "embedding"), "item_id")
-    return sequences.weighted_log_softmax_loss(
-        scored.select("anchor_id", "weight", dot("_u", "embedding").alias("logit"))
-    )
+    scored = sequences.label_logits(found, rewards(v), v.profiles, v.vectors)
+    return sequences.weighted_log_softmax_loss(scored)
 
 
 def targets(v: Views) -> DataFrame:

@@ -73,3 +73,14 @@ def test_a_session_of_a_million_events_stays_within_batches(spark):
         F.max(F.size("values")).alias("longest"), F.sum(F.size("values")).alias("events"),
         F.count_distinct("session_us").alias("sessions"), F.max("session_us").alias("start")).first()
     assert found.asDict() == {"longest": 10_000, "events": 1_000_000, "sessions": 1, "start": 0}
+
+
+def test_label_logits_join_vectors_to_distinct_pairs(spark, rows):
+    labels = spark.createDataFrame([(a, 1, a % 2, 0.5) for a in range(6)] + [(9, 1, 7, 1.0), (9, None, 1, 1.0)],
+                                   "anchor_id long, user_id long, item_id long, weight double")
+    users = spark.createDataFrame([(1, [1.0, 2.0])], "user_id long, embedding array<double>")
+    items = spark.createDataFrame([(0, [3.0, 0.0]), (1, [0.0, 4.0]), (2, [1.0, 1.0])], "item_id long, embedding array<double>")
+    got = sequences.label_logits(labels, labels, users, items)
+    assert rows(got, "anchor_id", "logit") == [(a, 8.0 if a % 2 else 3.0) for a in range(6)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "embedding" not in plan and "_u" not in plan
