@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -50,6 +50,15 @@ def search_by_item(index: DataFrame, requests: DataFrame, k: int = 100) -> DataF
     return asked.join(found, "seed_item_id")
 
 
+def evaluated_once(udf: Callable) -> Callable:
+    """The function as one that Spark does not repeat.
+
+    A join on its result, or an explode of it, adds a filter that Spark moves below the
+    function; the function then runs twice, in a second Python worker per core.
+    """
+    return udf.asNondeterministic()
+
+
 def nearest_code(vectors: DataFrame, codebook: DataFrame, code: str = "code") -> DataFrame:
     """Add the code of the nearest centroid (squared distance, lowest code on ties).
 
@@ -75,7 +84,7 @@ def nearest_code(vectors: DataFrame, codebook: DataFrame, code: str = "code") ->
         x = np.array(embedding.tolist(), dtype=np.float64).reshape(-1, centroids.shape[1])
         return pd.Series(codes[_scores(x, centroids, "l2").argmin(axis=1)])
 
-    return vectors.withColumn(code, nearest(V.as_doubles("embedding")))
+    return vectors.withColumn(code, evaluated_once(nearest)(V.as_doubles("embedding")))
 
 
 def kmeans_codebook(
@@ -154,7 +163,7 @@ def probed_cells(queries: DataFrame, centroids: DataFrame, nprobe: int) -> DataF
         distance = _round(_scores(x, points, "l2"), 10.0**SCORE_DIGITS)
         return pd.Series(list(codes[np.argsort(distance, axis=1, kind="stable")[:, :nprobe]]))
 
-    return queries.select("query_id", "embedding", nearest("embedding").alias("cells"))
+    return queries.select("query_id", "embedding", evaluated_once(nearest)("embedding").alias("cells"))
 
 
 def nearest_cells(queries: DataFrame, centroids: DataFrame, nprobe: int) -> DataFrame:

@@ -158,6 +158,20 @@ def test_block_sums_over_tiles(spark):
         assert r.distance == pytest.approx(d[r.item_id, members].sum(), abs=1e-6)
 
 
+def python_nodes(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython")
+
+
+def test_codes_are_found_by_one_python_worker(spark):
+    """A join on the code, or an explode of the cells, does not repeat the function in a filter."""
+    vectors = frame(spark, RNG.normal(size=(30, DIM)))
+    book = index.settle_codebook(index.first_k_codebook(vectors, 4))
+    assert python_nodes(semantic_ids.lloyd_step(vectors, book)) == 1
+    assert python_nodes(semantic_ids.with_centroid(index.nearest_code(vectors, book), book)) == 1
+    queries = vectors.withColumnRenamed("item_id", "query_id")
+    assert python_nodes(index.nearest_cells(queries, book, 2).select("cell").distinct()) == 1
+
+
 def test_kmeans_codebooks(spark):
     vectors = frame(spark, RNG.normal(size=(60, DIM)))
     books = semantic_ids.fit_codebooks(vectors, [8, 4], init="kmeans")
