@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import vectors as V
-from shelfwise.operators.blocks import QUERY_BLOCK, _matrix, block_distance_sums
+from shelfwise.operators.blocks import LINES, QUERY_BLOCK, _matrix, block_distance_sums
 from shelfwise.operators.ordering import ratio, rounded, top_k
 from shelfwise.session import stored
 
@@ -184,9 +184,8 @@ def near_labels(points: DataFrame, label: str = "label", bound: int = MOMENTS) -
 
     def choose(batches):
         labels, centres, second, fourth, third, spread = shared.value
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        # Few rows at a time: a row leaves once per label that is near.
+        for batch in (b.slice(low, LINES) for b in batches for low in range(0, b.num_rows, LINES)):
             x, own = _matrix(pa.chunked_array([batch.column(1)])), np.searchsorted(labels, batch.column(2))
             low, high = np.empty((len(x), len(labels))), np.empty((len(x), len(labels)))
             for p in range(len(labels)):

@@ -12,7 +12,7 @@ from shelfwise.functions.draws import normal
 from shelfwise.operators.blocks import small_matrix
 from shelfwise.operators.ordering import leaf_numbers, rounded
 from shelfwise.operators.vector_index import (
-    MODEL_CODES, first_k_codebook, kmeans_codebook, nearest_code, settle_codebook,
+    MODEL_CODES, first_k_codebook, kmeans_codebook, nearest_code, residual_codes, settle_codebook,
 )
 from shelfwise.session import stored
 
@@ -92,9 +92,10 @@ def fit_codebooks(
 
 
 def residual_quantize(vectors: DataFrame, codebooks: DataFrame, levels: int) -> DataFrame:
-    """codes per level, the quantized sum and what is left, one narrow pass per level.
+    """codes per level, the quantized sum and what is left, in one narrow pass.
 
-    Also keeps ``inputs``: the vector each level quantized.
+    Also keeps ``inputs``: the vector each level quantized. Codebooks that fit a
+    task give the codes of all levels at once; with a larger one the levels are searched one after another.
     """
     out = vectors.withColumn("embedding", V.as_doubles("embedding"))
     out = out.withColumns(
@@ -104,9 +105,11 @@ def residual_quantize(vectors: DataFrame, codebooks: DataFrame, levels: int) ->
             "inputs": F.array().cast("array<array<double>>"),
         }
     )
-    for level in range(levels):
-        book = level_of(codebooks, level)
-        coded = nearest_code(out, book)
+    books = [level_of(codebooks, level) for level in range(levels)]
+    together = residual_codes(out, books, "_codes")
+    out = out if together is None else together
+    for level, book in enumerate(books):
+        coded = nearest_code(out, book) if together is None else out.withColumn("code", F.col("_codes")[level])
         # A skipped level has no centroids: its code is 0 and takes nothing away.
         out = with_centroid(coded, book) if not book.isEmpty() else coded.withColumn(
             "centroid", F.transform("embedding", lambda x: F.lit(0.0)))
@@ -117,7 +120,7 @@ def residual_quantize(vectors: DataFrame, codebooks: DataFrame, levels: int) ->
                 "embedding": V.minus("embedding", "centroid"),
             }
         ).drop("code", "centroid")
-    return out.withColumn("quantized", V.minus("original", "embedding")).withColumnsRenamed(
+    return out.drop("_codes").withColumn("quantized", V.minus("original", "embedding")).withColumnsRenamed(
         {"embedding": "residual", "original": "embedding"}
     )
 

@@ -87,6 +87,33 @@ def nearest_code(vectors: DataFrame, codebook: DataFrame, code: str = "code") ->
     return vectors.withColumn(code, evaluated_once(nearest)(V.as_doubles("embedding")))
 
 
+def residual_codes(vectors: DataFrame, codebooks: Sequence[DataFrame], codes: str = "codes") -> DataFrame | None:
+    """Add the codes of all levels, each found in what the centroids before leave, by one Python worker per core.
+
+    A level without centroids has code 0 and takes nothing away. None if a
+    level is larger than ``MODEL_CODES``, or none has any centroid.
+    """
+    models = [small_matrix(book, MODEL_CODES) for book in codebooks]
+    if any(m is None for m in models) or not any(len(m[0]) for m in models):
+        return None
+    shared = vectors.sparkSession.sparkContext.broadcast(models)
+
+    @F.pandas_udf("array<bigint>")
+    def nearest(embedding: pd.Series) -> pd.Series:
+        levels = shared.value
+        width = max(centroids.shape[1] for _, centroids in levels)
+        left = np.array(embedding.tolist(), dtype=np.float64).reshape(-1, width)
+        out = np.zeros((len(left), len(levels)), dtype=np.int64)
+        for level, (names, centroids) in enumerate(levels):
+            if len(names):
+                place = _scores(left, centroids, "l2").argmin(axis=1)
+                out[:, level] = names[place]
+                left = left - centroids[place]
+        return pd.Series(list(out))
+
+    return vectors.withColumn(codes, evaluated_once(nearest)(V.as_doubles("embedding")))
+
+
 def kmeans_codebook(
     vectors: DataFrame, k: int, seed: int = 42, max_iter: int = 20
 ) -> DataFrame:

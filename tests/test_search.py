@@ -172,6 +172,44 @@ def test_codes_are_found_by_one_python_worker(spark):
     assert python_nodes(index.nearest_cells(queries, book, 2).select("cell").distinct()) == 1
 
 
+def test_near_labels_over_several_slices(spark):
+    n = 2 * blocks.LINES + 7
+    x = RNG.normal(size=(n, DIM))
+    points = frame(spark, x, extra=[(i % 5,) for i in range(n)]).coalesce(1)
+    kept = id_quality.near_labels(points)
+    assert {r.query_id for r in kept.select("query_id").distinct().collect()} == set(range(n))
+    near, every = (id_quality.silhouette(points, bound=b, whole=0).first()[0] for b in (1 << 20, 1))
+    assert near == every
+
+
+@pytest.mark.parametrize("empty", [None, 0, 1, 2])
+def test_levels_are_quantized_by_one_python_worker(spark, monkeypatch, empty):
+    x = RNG.normal(size=(40, DIM))
+    vectors = frame(spark, x)
+    books = [RNG.normal(size=(k, DIM)) / (level + 1) for level, k in enumerate((5, 4, 3))]
+    rows = [(level, code, [float(t) for t in c]) for level, book in enumerate(books) if level != empty
+            for code, c in enumerate(book)]
+    table = spark.createDataFrame(rows, "level long, code long, embedding array<double>")
+    out = semantic_ids.residual_quantize(vectors, table, 3)
+    assert out.columns == ["item_id", "residual", "embedding", "codes", "inputs", "quantized"]
+    assert python_nodes(out) == 1
+    got = {r.item_id: r for r in out.collect()}
+    left = x.copy()
+    for level, book in enumerate(books):
+        near = np.zeros(40, int)
+        if level != empty:
+            near = ((left[:, None] - book[None]) ** 2).sum(2).argmin(1)
+        for i in range(40):
+            assert got[i].codes[level] == near[i] and got[i].inputs[level] == left[i].tolist()
+        if level != empty:
+            left = left - book[near]
+    assert all(got[i].residual == left[i].tolist() for i in range(40))
+    # A codebook that is too large to travel gives the same.
+    monkeypatch.setattr(index, "MODEL_CODES", 2)
+    large = {r.item_id: r for r in semantic_ids.residual_quantize(vectors, table, 3).collect()}
+    assert large == got
+
+
 def test_kmeans_codebooks(spark):
     vectors = frame(spark, RNG.normal(size=(60, DIM)))
     books = semantic_ids.fit_codebooks(vectors, [8, 4], init="kmeans")
