@@ -2,8 +2,9 @@
 
 Tasks count hashed bigrams, shards by the leading bits of the context's hash
 merge the counts, and each shard writes sorted arrays into the shared folder:
-bigram keys with counts, contexts with totals, words with continuation types.
-Workers map these files into memory and look up whole batches by binary search.
+bigram keys with counts and contexts with totals in one file, words with
+continuation types in another. Workers map these files into memory, without
+keeping them open, and look up whole batches by binary search.
 Discounts are a few sums over the shards, so nothing but sums reaches the
 driver. Model and work grow with the corpus and so does the number of shards.
 
@@ -35,6 +36,10 @@ HELD = 2 << 20
 SHARD_BYTES = 8 << 20
 LEAST_SHARDS = 64
 BIG = 255
+#: The arrays of a shard's two files: one by its contexts, one by its words.
+FILES = {"context": {"bigram": U, "count": np.uint8, "big_at": np.int64, "big": np.int64, "context": U,
+                     "total": np.int64, "n1": np.uint32, "n2": np.uint32, "n3": np.uint32},
+         "word": {"word": U, "types": np.int64, "tokens": np.int64}}
 
 COUNTS = pa.schema([("shard", pa.int32()), ("context", pa.binary()), ("run", pa.binary()),
                     ("word", pa.binary()), ("n", pa.binary())])
@@ -108,6 +113,13 @@ def _joined(column, kind) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
+def _put_arrays(path: str, kinds: dict[str, type], arrays: dict[str, np.ndarray]) -> None:
+    """Arrays in one file: their lengths, then each from a multiple of 8 bytes on."""
+    body = [np.ascontiguousarray(arrays[name], kind).tobytes() for name, kind in kinds.items()]
+    sizes = np.array([len(arrays[name]) for name in kinds], np.int64).tobytes()
+    put_file(path, iter([sizes, *[b + bytes(-len(b) % 8) for b in body]]))
+
+
 def _count_of_counts(n: np.ndarray) -> list[int]:
     return [int((n == i).sum()) for i in range(1, 5)]
 
@@ -155,11 +167,9 @@ def train(texts: DataFrame, text_col: str, folder: str) -> dict:
         big = np.flatnonzero(ranked >= BIG)
         first = _runs(context)
         sums = [np.add.reduceat(x, first) for x in (n, n == 1, n == 2, n >= 3)]
-        for name, values in (
-                ("bigram", keys[order]), ("count", np.minimum(ranked, BIG).astype(np.uint8)),
-                ("big_at", big), ("big", ranked[big]), ("context", context[first]), ("total", sums[0]),
-                *[(f"n{i}", sums[i].astype(np.uint32)) for i in (1, 2, 3)]):
-            put_file(f"{folder}/{name}-{shard:06d}", np.ascontiguousarray(values).tobytes())
+        _put_arrays(f"{folder}/context-{shard:06d}", FILES["context"], {
+            "bigram": keys[order], "count": np.minimum(ranked, BIG), "big_at": big, "big": ranked[big],
+            "context": context[first], "total": sums[0], **{f"n{i}": sums[i] for i in (1, 2, 3)}})
         order = np.argsort(word, kind="stable")
         first = _runs(word[order])
         words, tokens = word[order][first], np.add.reduceat(n[order], first)
@@ -181,8 +191,8 @@ def train(texts: DataFrame, text_col: str, folder: str) -> dict:
         first = _runs(word[order])
         types = np.add.reduceat(types[order].astype(np.int64), first)
         tokens = np.add.reduceat(tokens[order], first)
-        for name, values in (("word", word[order][first]), ("types", types), ("tokens", tokens)):
-            put_file(f"{folder}/{name}-{shard:06d}", np.ascontiguousarray(values).tobytes())
+        _put_arrays(f"{folder}/word-{shard:06d}", FILES["word"],
+                    {"word": word[order][first], "types": types, "tokens": tokens})
         row = {"shard": [shard], "vocabulary": [len(first)], "tokens": [int(tokens.sum())], "types": [int(types.sum())]}
         row |= {f"u{i + 1}": [n] for i, n in enumerate(_count_of_counts(types))}
         row |= {f"b{i}": [int(np.sum(table[f"b{i}"].to_numpy()))] for i in range(1, 5)}
@@ -205,37 +215,46 @@ def discounts(counts: list[int]) -> np.ndarray:
     return np.clip(raw, 0.0, [0, 1, 2, 3])
 
 
-_maps: dict[str, np.ndarray] = {}
+_maps: dict[str, dict[str, np.ndarray]] = {}
+
 
+def _mapped(path: str, kinds: dict[str, type]) -> dict[str, np.ndarray]:
+    """The arrays of a file of the model, mapped once per worker.
 
-def _mapped(path: str, kind) -> np.ndarray:
-    """An array of the model, mapped once per worker; a copy's name goes at once, its pages stay mapped."""
+    The file is closed again, as a worker needs as many as there are shards; a copy's name goes at once. Its
+    pages stay mapped.
+    """
     if path not in _maps:
         name, copied = local_copy(path)
-        _maps[path] = np.memmap(name, kind, "r") if os.path.getsize(name) else np.zeros(0, kind)
+        with pa.memory_map(name) as source:
+            data = source.read_buffer()
         if copied:
             os.unlink(name)
+        arrays, at = {}, 8 * len(kinds)
+        for (column, kind), n in zip(kinds.items(), np.frombuffer(data, np.int64, len(kinds))):
+            arrays[column] = np.frombuffer(data, kind, n, at)
+            at += -(-arrays[column].nbytes // 8) * 8
+        _maps[path] = arrays
     return _maps[path]
 
 
-def _found(folder: str, name: str, keys: np.ndarray, bits: int, columns: dict[str, type], shards: set[int]) -> dict:
+def _found(folder: str, file: str, name: str, keys: np.ndarray, bits: int, columns: list[str], shards: set[int]) -> dict:
     """Look sorted keys up in the sorted arrays of their shards; 0 where a key is absent."""
     out = {c: np.zeros(len(keys), np.int64) for c in columns}
     cuts = np.searchsorted(keys >> U(64 - bits), np.arange((1 << bits) + 1).astype(U))
     for s in np.flatnonzero(np.diff(cuts)):
         if int(s) not in shards:
             continue
-        have = _mapped(f"{folder}/{name}-{s:06d}", U)
-        own = keys[cuts[s]: cuts[s + 1]]
+        arrays = _mapped(f"{folder}/{file}-{s:06d}", FILES[file])
+        have, own = arrays[name], keys[cuts[s]: cuts[s + 1]]
         at = np.searchsorted(have, own)
         at[at == len(have)] = 0
         hit = have[at] == own
-        for c, kind in columns.items():
-            values = _mapped(f"{folder}/{c}-{s:06d}", kind)[at].astype(np.int64)
+        for c in columns:
+            values = arrays[c][at].astype(np.int64)
             if c == "count" and (values[hit] == BIG).any():
-                where = _mapped(f"{folder}/big_at-{s:06d}", np.int64)
                 big = np.flatnonzero(hit & (values == BIG))
-                values[big] = _mapped(f"{folder}/big-{s:06d}", np.int64)[np.searchsorted(where, at[big])]
+                values[big] = arrays["big"][np.searchsorted(arrays["big_at"], at[big])]
             out[c][cuts[s]: cuts[s + 1]] = np.where(hit, values, 0)
     return out
 
@@ -247,20 +266,19 @@ def token_logs(tokens: np.ndarray, before: np.ndarray, model: dict) -> tuple[np.
     low, high = (discounts([model[f"{k}{i}"] for i in range(1, 5)]) for k in "ub")
 
     word, of = np.unique(tokens, return_inverse=True)
-    w = _found(folder, "word", word, bits, {"types": np.int64, "tokens": np.int64}, shards)
+    w = _found(folder, "word", "word", word, bits, ["types", "tokens"], shards)
     spread = (low[1] * model["u1"] + low[2] * model["u2"] + low[3] * (v - model["u1"] - model["u2"])) / total_types
     if not v:
         spread = 1.0
     p_low = np.maximum(w["types"] - low[np.minimum(w["types"], 3)], 0) / total_types + spread / (v + 1)
 
     context, ctx = np.unique(before, return_inverse=True)
-    c = _found(folder, "context", context, bits,
-               {"total": np.int64, "n1": np.uint32, "n2": np.uint32, "n3": np.uint32}, set(model["context_shards"]))
+    c = _found(folder, "context", "context", context, bits, ["total", "n1", "n2", "n3"], set(model["context_shards"]))
     seen = c["total"] > 0
     back = np.where(seen, (high[1] * c["n1"] + high[2] * c["n2"] + high[3] * c["n3"]) / np.maximum(c["total"], 1), 1.0)
 
     keys, pair = np.unique(bigram_keys(before, tokens, bits), return_inverse=True)
-    n = _found(folder, "bigram", keys, bits, {"count": np.uint8}, set(model["context_shards"]))["count"][pair]
+    n = _found(folder, "context", "bigram", keys, bits, ["count"], set(model["context_shards"]))["count"][pair]
     p = np.maximum(n - high[np.minimum(n, 3)], 0) / np.maximum(c["total"], 1)[ctx] + back[ctx] * p_low[of]
     return w["tokens"][of], np.log10(p)
 

@@ -1,12 +1,15 @@
 """Every probability against a dictionary version; the distribution adds up to one."""
 
 import math
+import os
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from shelfwise.llm import kneser_ney as K
+from shelfwise.llm.texts import as_bytes
 
 TEXTS = ["the cat sat on the mat", "The cat ate", "the dog sat on the cat", "", None, "a\tb\x0bc  d", "É é THE the",
          "on the mat the cat sat", "zebra", "the " * 300, "Ünïcode wörds hère", "the cat sat on the mat"]
@@ -69,3 +72,14 @@ def test_counts_beyond_a_byte_and_empty_training(spark):
     assert K.lm_report(none).count() == 0
     empty = K.build_model(none, "text")
     assert [r["score"] for r in K.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), "text", empty, ["doc_id"]).collect()] == [0.0, 0.0]
+
+
+def test_a_worker_keeps_no_file_of_the_model_open(spark, monkeypatch):
+    monkeypatch.setattr(K, "LEAST_SHARDS", 256)
+    texts = [" ".join(f"w{i * j % 997}" for j in range(200)) for i in range(1, 20)]
+    model = K.build_model(spark.createDataFrame([(t,) for t in texts], "text string"), "text")
+    assert len(model["shards"]) > 200
+    seen, before, _ = K.sequences(*as_bytes(pa.array(texts)))
+    held = len(os.listdir("/proc/self/fd"))
+    count, _ = K.token_logs(seen, before, model)
+    assert count.min() > 0 and len(os.listdir("/proc/self/fd")) <= held + 5
