@@ -115,3 +115,25 @@ def test_only_full_lists_leave_the_search(spark, monkeypatch):
     want = brute(m, ids, 4, None)
     assert {p: j for p, (j, _) in lists.items()} == {p: j for p, (j, _) in want.items()}
     assert found[0].count() == len(want)
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-20, 1e20])
+def test_single_precision_only_screens_pairs(scale, monkeypatch):
+    draw = np.random.default_rng(5)
+    x = draw.random((600, 40)) * (draw.random((600, 40)) < 0.7)
+    x[300:] = x[:300] * (1 + 1e-7 * draw.random((300, 1)))  # nearer to one another than single precision can tell
+    x *= scale
+    sizes = (x > 0).sum(1)
+    block = tp.Block.of(np.arange(600), sizes, np.nonzero(x)[1], x[x > 0], np.ones(600, bool))
+    kinds, take = set(), tp.Lists._take
+    monkeypatch.setattr(tp.Lists, "_take", lambda self, rows, other, products, *a: (
+        kinds.add(products.dtype), take(self, rows, other, products, *a)))
+    lists = tp.Lists(block, 7, None)
+    lists.visit(block)
+    line, place, others, scores = lists.found()
+    assert kinds == {np.dtype(np.float32 if scale == 1.0 else np.float64)}
+    dots = x @ x.T
+    np.fill_diagonal(dots, -1)
+    want = np.lexsort((np.tile(np.arange(600), (600, 1)), -dots), axis=1)[:, :7]
+    assert (others.reshape(600, 7) == want).mean() > 0.999  # sums of another order may differ in the last digit
+    assert np.allclose(scores.reshape(600, 7), np.take_along_axis(dots, want, 1), rtol=1e-14, atol=0)
